@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents
 from .encoding import round_trip_digest, token_counts
 from .fingerprints import fingerprints
+from .langid import language_digest
 from .packing import blocks_digest
 from .secrets import secrets_digest
 from .sharding import shard
+from .simhash import near_groups_digest
 
 BYTE_VOCABULARY, WORD_VOCABULARY, END_ID = "byte_bpe_50k.json", "word_bpe_49k.json", 2
 
 
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups_digest(documents(spark, sf_dir))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digest(documents(spark, sf_dir), public_tokenizers.path(BYTE_VOCABULARY))
 
@@ -37,12 +43,16 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(documents(spark, sf_dir))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir)).drop("curve")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op4_bpe_round_trip, op5_token_counts, op6_packed_ids, op7_order_minhash, op9_hilbert_shards)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_simhash_groups, op4_bpe_round_trip, op5_token_counts, op6_packed_ids, op7_order_minhash, op8_language, op9_hilbert_shards)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
+from .decontaminate import leaks
 from .encoding import round_trip_digest, token_counts
 from .fingerprints import fingerprints
 from .langid import language_digest
 from .packing import blocks_digest
+from .repeats import repeats_digest
 from .secrets import secrets_digest
 from .sharding import shard
 from .simhash import near_groups_digest
@@ -23,6 +25,10 @@ def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups_digest(documents(spark, sf_dir))
 
 
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digest(documents(spark, sf_dir), public_tokenizers.path(BYTE_VOCABULARY))
 
@@ -51,8 +57,16 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir)).drop("curve")
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_simhash_groups, op4_bpe_round_trip, op5_token_counts, op6_packed_ids, op7_order_minhash, op8_language, op9_hilbert_shards)}
+    numbered = (
+        op1_secret_scan, op2_simhash_groups, op3_benchmark_leaks, op4_bpe_round_trip, op5_token_counts,
+        op6_packed_ids, op7_order_minhash, op8_language, op9_hilbert_shards, op10_repeated_passages,
+    )
+    return {f.__name__: f for f in numbered}
 
 
 def oracle_sql() -> dict[str, str]:

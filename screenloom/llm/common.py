@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -28,14 +29,16 @@ def work_dir(spark: SparkSession) -> str:
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives executors.
 
-    The garbage collection lets Spark remove the shuffle files behind what is now written.
+    The shuffle files behind it go as soon as it is written.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.parquet(path)
 
 

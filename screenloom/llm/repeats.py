@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from .common import arrow_batches, table
 from .textbytes import ROOTS, buffer_of, mixed, range_hashes, slices, word_hashes, word_ranges
 
 CHUNK_WORDS = 1_500_000
-ROWS = "bucket int, docs binary, body binary, gaps binary, many binary, hits binary"
+ROWS = "bucket int, chunk long, docs binary, body binary, gaps binary, many binary, hits binary"
 DOC = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("at", "<u4")])
 
 
@@ -29,6 +30,7 @@ class Chunk:
 
     def __init__(self, buckets: list[int], size: int, block: int):
         self.buckets, self.size, self.block = np.array(buckets, np.int32), size, block
+        self.part, self.number = TaskContext.get().partitionId(), 0
         self.clear()
 
     def clear(self) -> None:
@@ -49,6 +51,7 @@ class Chunk:
             return
         docs, high, low, places = map(np.concatenate, (self.docs, self.high, self.low, self.places))
         self.clear()
+        chunk, self.number = (self.part << 32) + self.number, self.number + 1
         order = np.lexsort((places, low, high))
         new = np.concatenate([[True], (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])]) if len(order) else np.empty(0, bool)
         group = np.cumsum(new) - 1
@@ -62,7 +65,7 @@ class Chunk:
             head = docs[names]
             body = (local - docs["at"][mine]).astype("<u4")
             head["at"] = counts
-            yield {"bucket": int(self.buckets[int(local[0]) % len(self.buckets)]), "docs": head.tobytes(), "body": b"", "gaps": b"", "many": b"", "hits": body.tobytes()}
+            yield {"bucket": int(self.buckets[int(local[0]) % len(self.buckets)]), "chunk": chunk, "docs": head.tobytes(), "body": b"", "gaps": b"", "many": b"", "hits": body.tobytes()}
         first = order[new & several]
         marked = np.zeros(len(group) and int(group[-1]) + 1, bool)
         np.logical_or.at(marked, group[several], aligned[order][several])
@@ -83,6 +86,7 @@ class Chunk:
             kind = "<u2" if not len(gaps) or gaps.max() < 65536 else "<u4"
             yield {
                 "bucket": int(self.buckets[b]),
+                "chunk": chunk,
                 "docs": docs[named].tobytes(),
                 "body": self.packed(high[mine], low[mine]),
                 "gaps": gaps.astype(kind).tobytes(),
@@ -95,7 +99,7 @@ class Chunk:
         return np.ascontiguousarray(both[:, : self.size] if self.size <= 8 else np.concatenate([both[:, :8], both[:, 8 : self.size]], axis=1)).tobytes()
 
 
-SCHEMA = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("docs", "body", "gaps", "many", "hits"))])
+SCHEMA = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), *((n, pa.binary()) for n in ("docs", "body", "gaps", "many", "hits"))])
 
 
 def unpacked(raw: bytes, size: int) -> np.ndarray:
@@ -107,22 +111,19 @@ def unpacked(raw: bytes, size: int) -> np.ndarray:
 
 
 def replies(batches, size: int, indexed: bool, block: int):
-    """All rows of one partition to (k1, k2, places): where an entry's hash was met again.
+    """All rows of one partition to (chunk, docs, hits): where an entry's hash was met again, a row for each row.
 
     indexed: only hashes that stand at an aligned block somewhere count: those make the index that the rest probe.
     """
-    rows = [r for batch in batches for r in batch.to_pylist()]
-    out = []
-    for r in rows:
-        if r["hits"]:
-            docs, hits = np.frombuffer(r["docs"], DOC), np.frombuffer(r["hits"], "<u4")
-            cut = np.cumsum(docs["at"])[:-1]
-            out += [(int(d["k1"]), int(d["k2"]), p.tobytes()) for d, p in zip(docs, np.split(hits, cut))]
-    rows = [r for r in rows if not r["hits"]]
-    keys, marks, weight, places, owners = [], [], [], [], []
-    tables = np.concatenate([np.frombuffer(r["docs"], DOC) for r in rows] or [np.empty(0, DOC)])
-    base = 0
-    for r in rows:
+    rows = []
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["hits"]:
+                yield pa.RecordBatch.from_arrays([pa.array([r["chunk"]], pa.int64()), pa.array([r["docs"]], pa.binary()), pa.array([r["hits"]], pa.binary())], names=["chunk", "docs", "hits"])
+            else:
+                rows.append(r)
+    keys, marks, weight, places, owners, sources = [], [], [], [], [], []
+    for number, r in enumerate(rows):
         docs = np.frombuffer(r["docs"], DOC)
         one = unpacked(r["body"], size)
         at = np.cumsum(np.frombuffer(r["gaps"], "<u4" if len(r["gaps"]) == 4 * len(one) else "<u2").astype(np.int64))
@@ -137,27 +138,54 @@ def replies(batches, size: int, indexed: bool, block: int):
         marks += [inner % block == 0, np.frombuffer(r["many"], "u1")[n * size :].astype(bool)]
         weight += [np.ones(len(one), np.int64), np.full(n, 2)]
         places += [inner, np.full(n, -1)]
-        owners += [mine + base, np.full(n, -1)]
-        base += len(docs)
-    if keys:
-        keys, marks, weight, places, owners = map(np.concatenate, (keys, marks, weight, places, owners))
-        order = np.lexsort((keys[:, 1], keys[:, 0]))
-        sorted_keys = keys[order]
-        new = np.concatenate([[True], (sorted_keys[1:] != sorted_keys[:-1]).any(axis=1)]) if len(order) else np.empty(0, bool)
-        group = np.cumsum(new) - 1
-        met = np.bincount(group, weight[order]) > 1
-        if indexed:
-            met &= np.bincount(group, marks[order]) > 0
-        hit = order[met[group] & (places[order] >= 0)] if len(order) else order
-        hit = hit[np.lexsort((places[hit], owners[hit]))]
-        cut = np.flatnonzero(np.diff(owners[hit])) + 1
-        if len(hit):
-            for part in np.split(hit, cut):
-                d = tables[owners[part[0]]]
-                out.append((int(d["k1"]), int(d["k2"]), places[part].astype("<u4").tobytes()))
-    for lo in range(0, len(out), 20_000):
-        k1, k2, found = zip(*out[lo : lo + 20_000])
-        yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(found, pa.binary())], names=["k1", "k2", "places"])
+        owners += [mine, np.full(n, -1)]
+        sources += [np.full(len(one), number), np.full(n, -1)]
+    if not keys:
+        return
+    keys, marks, weight, places, owners, sources = map(np.concatenate, (keys, marks, weight, places, owners, sources))
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    if not len(order):
+        return
+    new = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]).any(axis=1)])
+    group = np.cumsum(new) - 1
+    met = np.bincount(group, weight[order]) > 1
+    if indexed:
+        met &= np.bincount(group, marks[order]) > 0
+    hit = order[met[group] & (places[order] >= 0)]
+    hit = hit[np.lexsort((places[hit], owners[hit], sources[hit]))]
+    cut = np.searchsorted(sources[hit], np.arange(len(rows) + 1))
+    for number, r in enumerate(rows):
+        part = hit[cut[number] : cut[number + 1]]
+        if len(part):
+            names, counts = np.unique(owners[part], return_counts=True)
+            head = np.frombuffer(r["docs"], DOC)[names]
+            head["at"] = counts
+            yield pa.RecordBatch.from_arrays([pa.array([r["chunk"]], pa.int64()), pa.array([head.tobytes()], pa.binary()), pa.array([places[part].astype("<u4").tobytes()], pa.binary())], names=["chunk", "docs", "hits"])
+
+
+def by_document(batches):
+    """(chunk, docs, hits) sorted by chunk to (k1, k2, places), a row for each document of a chunk."""
+
+    def close(held):
+        docs = np.concatenate([np.frombuffer(d, DOC) for d, _ in held])
+        hits = np.concatenate([np.frombuffer(h, "<u4") for _, h in held])
+        names, which = np.unique(docs[["k1", "k2"]], return_inverse=True)
+        owner = np.repeat(which, docs["at"])
+        order = np.lexsort((hits, owner))
+        cut = np.searchsorted(owner[order], np.arange(1, len(names)))
+        found = [x.tobytes() for x in np.split(hits[order], cut)]
+        return pa.RecordBatch.from_arrays([pa.array(names["k1"]), pa.array(names["k2"]), pa.array(found, pa.binary())], names=["k1", "k2", "places"])
+
+    now, held = None, []
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["chunk"] != now and held:
+                yield close(held)
+                held = []
+            now = r["chunk"]
+            held.append((r["docs"], r["hits"]))
+    if held:
+        yield close(held)
 
 
 def window_hashes(body, starts, ends, words, width: int):
@@ -205,7 +233,8 @@ def met_again(source: DataFrame, width: int, size: int, indexed: bool, block: in
     def answer(batches):
         yield from replies(batches, size, indexed, block)
 
-    found = source.mapInArrow(emit, ROWS).repartition(parts, "bucket").mapInArrow(answer, "k1 long, k2 long, places binary")
+    answers = source.mapInArrow(emit, ROWS).repartition(parts, "bucket").mapInArrow(answer, "chunk long, docs binary, hits binary")
+    found = answers.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(by_document, "k1 long, k2 long, places binary")
     return found.groupBy("k1", "k2").agg(F.collect_list("places").alias("found"))
 
 

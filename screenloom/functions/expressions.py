@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ CONTROL_TYPES = ("safe-targeting", "non-targeting", "negative control")
 CONTROL = "non-targeting"
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value worked out once a row however often `then` uses it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def is_true(value: Column, dialect: str = "metadata", missing: bool = True) -> Column:
     """Text or boolean to boolean; null gives `missing`."""
     text = F.lower(F.trim(value.cast("string")))
@@ -62,6 +68,8 @@ def human(value: Column) -> Column:
 
 def two_sided_p(z: Column) -> Column:
     """2 (1 - Phi(|z|)) by the rational approximation of erfc, error below 3e-7."""
-    x = F.abs(z) / math.sqrt(2)
-    t = 1 / (1 + 0.3275911 * x)
-    return t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x)
+
+    def tail(x: Column) -> Column:
+        return let(1 / (1 + 0.3275911 * x), lambda t: t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x))
+
+    return let(F.abs(z) / math.sqrt(2), tail)

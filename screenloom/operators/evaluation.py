@@ -16,7 +16,7 @@ def per_guide(results: DataFrame, alpha: float = 0.05) -> DataFrame:
         F.count_if(hit).alias("n_sig"),
         F.count_if(hit & (F.col("log2_fc") > 0)).alias("n_up"),
         F.count_if(hit & (F.col("log2_fc") < 0)).alias("n_down"),
-        F.round(F.median("log2_fc"), 5).alias("median_fc"),
+        F.round(F.median("log2_fc"), 7).alias("median_fc"),
         F.max(F.abs("log2_fc")).alias("max_abs_fc"),
         F.round(F.count_if(hit) / F.count("*"), 6).alias("frac_sig"),
     )
@@ -39,7 +39,7 @@ def knockdown(rows: DataFrame, share: float = 0.4, alpha: float = 0.05) -> DataF
     strong = F.col("log2_fc") <= math.log2(share)
     return known.agg(
         F.count("*").alias("guides"), F.count_if(F.col("p_value") < alpha).alias("sig"), F.count_if(strong).alias("strong"),
-        F.count_if(strong & (F.col("p_value") < alpha)).alias("strong_sig"), F.round(F.median("log2_fc"), 6).alias("median_fc"),
+        F.count_if(strong & (F.col("p_value") < alpha)).alias("strong_sig"), F.round(F.median("log2_fc"), 7).alias("median_fc"),
     )
 
 
@@ -68,4 +68,4 @@ def volcano_labels(results: DataFrame, n: int = 10) -> DataFrame:
 def degrees(edges: DataFrame) -> DataFrame:
     """Weighted degree of every node of edges (src, dst, w): in plus out."""
     ends = edges.select(F.col("src").alias("node"), "w").unionByName(edges.select(F.col("dst").alias("node"), "w"))
-    return ends.groupBy("node").agg(F.round(F.sum("w"), 4).alias("degree"), F.count("*").alias("edges"))
+    return ends.groupBy("node").agg(F.round(F.sum("w"), 6).alias("degree"), F.count("*").alias("edges"))

@@ -18,8 +18,8 @@ def enrichment(results: DataFrame, targets: DataFrame, alpha: float) -> DataFram
     """For each factor (results: factor, gene, p_value): tests, rejections, targets, their overlap and recall."""
     joined = results.join(targets.select("factor", "gene").distinct().withColumn("bound", F.lit(True)), ["factor", "gene"], "left")
     hit, bound = F.col("p_value") <= alpha, F.coalesce("bound", F.lit(False))
-    made = joined.groupBy("factor").agg(F.count("*").alias("tests"), F.count_if(hit).alias("rejections"), F.count_if(bound).alias("targets"), F.count_if(hit & bound).alias("both"))
-    return made.withColumn("recall", F.round(F.col("both") / F.nullif("targets", F.lit(0)), 6))
+    made = joined.groupBy("factor").agg(F.count("*").alias("tests"), F.count_if(hit).alias("rejections"), F.count_if(bound).alias("targets"), F.count_if(hit & bound).alias("overlap"))
+    return made.withColumn("recall", F.round(F.col("overlap") / F.nullif("targets", F.lit(0)), 6))
 
 
 def bound_genes(genes: DataFrame, peaks: DataFrame, width: int) -> DataFrame:

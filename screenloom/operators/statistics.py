@@ -13,27 +13,41 @@ from pyspark.sql import functions as F
 from .order import running
 
 
-def bh(results: DataFrame, p: str, ties: list[str], name: str = "q_value", by: list[str] | None = None, digits: int = 9) -> DataFrame:
-    """Benjamini-Hochberg adjusted values; rows with a null p keep a null. Without `by` over the whole table, in buckets of p."""
+def p_bucket(p: Column) -> Column:
+    """Buckets that rise with p: half powers of ten below 1/32, then even steps of 1/32."""
+    small = F.greatest(F.lit(0), F.floor(2 * (F.log10(F.greatest(p, F.lit(1e-12))) + 12)))
+    return F.when(p < 1 / 32, small).otherwise(100 + F.floor(p * 32)).cast("int")
+
+
+def bh(results: DataFrame, p: str, ties: list[str], name: str = "q_value", by: list[str] | None = None) -> DataFrame:
+    """Benjamini-Hochberg adjusted values; rows with a null p keep a null.
+
+    Without `by` the whole table is one family: rows are ranked within fixed buckets of p, and the counts and minima of
+    other buckets (a row each) are joined to them, so no task orders all rows.
+    """
     known, unknown = results.where(F.col(p).isNotNull()), results.where(F.col(p).isNull())
+    keys, bounds = (by, known) if by else (["_b"], known.withColumn("_b", p_bucket(F.col(p))))
+    up = W.partitionBy(*keys).orderBy(p, *ties)
+    down = W.partitionBy(*keys).orderBy(F.desc(p), *[F.desc(t) for t in ties]).rowsBetween(W.unboundedPreceding, 0)
     if by:
-        up = W.partitionBy(*by).orderBy(p, *ties)
-        stepped = known.withColumn("_q", F.col(p) * F.count("*").over(W.partitionBy(*by)) / F.row_number().over(up))
-        low = F.min("_q").over(W.partitionBy(*by).orderBy(F.desc(p), *[F.desc(t) for t in ties]).rowsBetween(W.unboundedPreceding, 0))
-        done = stepped.withColumn(name, F.round(F.least(F.lit(1.0), low), digits)).drop("_q")
+        stepped = bounds.withColumn("_q", F.col(p) * F.count("*").over(W.partitionBy(*by)) / F.row_number().over(up))
+        low = F.min("_q").over(down)
+        done = stepped.withColumn(name, F.least(F.lit(1.0), low)).drop("_q")
     else:
-        total = known.agg(F.count("*").alias("_n"))
-        ranked = running(known, p, ties, {"_i": ("sum", F.lit(1).cast("long"))}).crossJoin(F.broadcast(total))
-        stepped = ranked.withColumn("_q", F.col(p) * F.col("_n") / F.col("_i")).drop("_n")
-        reverse = stepped.withColumn("_back", -F.col("_i"))
-        low = running(reverse, "_back", [], {"_low": ("min", F.col("_q"))})
-        done = low.withColumn(name, F.round(F.least(F.lit(1.0), F.col("_low")), digits)).drop("_i", "_q", "_back", "_low")
-    return done.unionByName(unknown.withColumn(name, F.lit(None).cast("double")))
-
-
-def bonferroni(results: DataFrame, p: str, name: str = "p_bonferroni", digits: int = 9) -> DataFrame:
+        sizes = bounds.groupBy("_b").agg(F.count("*").alias("_c"))
+        offsets = sizes.select("_b", F.coalesce(F.sum("_c").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_c").over(W.partitionBy(F.lit(0))).alias("_n"))
+        stepped = bounds.join(F.broadcast(offsets), "_b")
+        stepped = stepped.withColumn("_q", F.col(p) * F.col("_n") / (F.col("_before") + F.row_number().over(up))).drop("_before", "_n")
+        minima = stepped.groupBy("_b").agg(F.min("_q").alias("_m"))
+        later = minima.select("_b", F.min("_m").over(W.orderBy(F.desc("_b")).rowsBetween(W.unboundedPreceding, -1)).alias("_later"))
+        low = stepped.withColumn("_low", F.min("_q").over(down)).join(F.broadcast(later), "_b")
+        done = low.withColumn(name, F.least(F.lit(1.0), F.col("_low"), F.col("_later"))).drop("_b", "_q", "_low", "_later")
+    return done.select(*results.columns, name).unionByName(unknown.withColumn(name, F.lit(None).cast("double")))
+
+
+def bonferroni(results: DataFrame, p: str, name: str = "p_bonferroni") -> DataFrame:
     total = results.agg(F.count(p).alias("_n"))
-    return results.crossJoin(F.broadcast(total)).withColumn(name, F.round(F.least(F.lit(1.0), F.col(p) * F.col("_n")), digits)).drop("_n")
+    return results.crossJoin(F.broadcast(total)).withColumn(name, F.least(F.lit(1.0), F.col(p) * F.col("_n"))).drop("_n")
 
 
 def curve(scored: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,6 +23,8 @@ ENCODINGS = (
     ("0123456789abcdefghijklmnopqrstuvwxyz", "^(?=.*[0-9])(?=.*[a-zA-Z])([0-9a-z]+|[0-9A-Z]+)$", "lower"),
     ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", "url"),
 )
+#: The kinds of characters that the chi-squared test counts.
+CLASSES = ("[AEIOUaeiou]", "[B-DF-HJ-NP-TV-Z]", "[b-df-hj-np-tv-z]", "[^A-Za-z]")
 BANDS = (20, 32, 48, 80)  # shortest lengths of the bands within which false discoveries are controlled
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 STEPS = 8  # bins of -ln p per unit
@@ -73,7 +76,7 @@ def battery(token: Column) -> Column:
     """struct<band, bin> of a token, null if its characters suggest no encoding.
 
     Under the hypothesis of uniform random characters of the inferred alphabet: chi-squared over
-    four equal parts of the alphabet; number of runs in its upper and lower half; correlation of
+    its vowels, other capitals, other small letters and the rest; number of runs in its upper and lower half; correlation of
     neighbours. Fisher's method joins the three p-values. bin is floor(-8 ln p).
     """
     choice = F.coalesce(*[F.when(F.rlike(token, F.lit(p)), F.lit(i)) for i, (_, p, _) in enumerate(ENCODINGS)])
@@ -85,12 +88,9 @@ def battery(token: Column) -> Column:
         n = F.size(v)
 
         def stats(m: Column) -> Column:
-            chi = F.aggregate(
-                F.sequence(F.lit(0), F.lit(3)),
-                F.lit(0.0),
-                lambda a, b: a + F.pow(F.size(F.filter(v, lambda x: F.floor(x * 4 / k) == b)) - n / 4, F.lit(2)) / (n / 4),
-            )
-            cube = (F.pow(chi / 3, F.lit(1 / 3)) - (1 - 2 / 27)) / math.sqrt(2 / 27)
+            terms = F.zip_with(s["seen"], s["share"], lambda o, e: F.when(e > 0, F.pow(o - n * e, F.lit(2)) / (n * e)).otherwise(0.0))
+            chi, free = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), s["free"]
+            cube = (F.pow(chi / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
             high = F.size(F.filter(v, lambda x: x * 2 >= k))
             runs = 1 + total(F.transform(F.slice(v, F.lit(2), n - 1), lambda x, i: ((x * 2 >= k) != (F.get(v, i) * 2 >= k)).cast("int")))
             expected = 2 * high * (n - high) / n + 1
@@ -109,7 +109,11 @@ def battery(token: Column) -> Column:
         return F.struct(band.alias("band"), F.least(F.lit(200), F.floor(F.greatest(surprise, F.lit(0.0)) * STEPS)).cast("int").alias("bin"))
 
     values = F.transform(F.sequence(F.lit(1), F.length(plain)), lambda i: F.call_function("locate", F.substring(plain, i, F.lit(1)), alphabet) - 1)
-    return F.when(choice.isNotNull(), let(F.struct(values.alias("v"), F.length(alphabet).alias("k")), tested))
+    shares = [[len(re.findall(c, a)) / len(a) for c in CLASSES] for a, _, _ in ENCODINGS]
+    share = F.element_at(F.array(*[F.array(*map(F.lit, x)) for x in shares]), choice + 1)
+    free = F.element_at(F.array(*[F.lit(float(sum(e > 0 for e in x) - 1)) for x in shares]), choice + 1)
+    seen = F.array(*[F.regexp_count(plain, F.lit(c)).cast("double") for c in CLASSES])
+    return F.when(choice.isNotNull(), let(F.struct(values.alias("v"), F.length(alphabet).alias("k"), seen.alias("seen"), share.alias("share"), free.alias("free")), tested))
 
 
 def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:

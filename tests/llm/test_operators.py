@@ -70,7 +70,7 @@ def test_op1_random_tokens(spark):
     rng = random.Random(1)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     tokens = ["".join(rng.choices(alphabet, k=40)) for _ in range(40)]
-    plain = ["".join(w.capitalize() for w in rng.choices(WORDS, k=8)) + "20" for _ in range(40)] + ["aaaaaaaaaaaaaaaaaaaaaaaaaaaaZ1", "donaudampfschifffahrtsgesellschaft"]
+    plain = ["".join(w.capitalize() for w in rng.choices(WORDS, k=8)) + "20" for _ in range(40)] + ["mmmmmmmmmmmmmmmmmmmmmmmmmmmmZ1", "donaudampfschifffahrtsgesellschaft"]
     df = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(tokens + plain)], "doc_id long, text string")
     found = {r.doc_id: r.spans for r in secrets.secrets_digest(df).collect()}
     assert sum(found[i] == "random:4:44" for i in range(40)) >= 36

@@ -116,8 +116,10 @@ def battery(token: Column) -> Column:
     return F.when(choice.isNotNull(), let(F.struct(values.alias("v"), F.length(alphabet).alias("k"), seen.alias("seen"), share.alias("share"), free.alias("free")), tested))
 
 
-def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
-    """(doc_id, text_hash, spans): all spans of each whole text, struct<start, rank, end, kind> by start, then kind.
+def scan(docs: DataFrame, rate: float = 0.05, whole: bool = False) -> DataFrame:
+    """(doc_id, spans): all spans of each whole text, struct<start, rank, end, kind> by start, then kind.
+
+    With whole, a column row has all columns of docs too: it is written beside the spans, so that nothing is joined back.
 
     Base kinds assign, access and hex are pattern matches. Kind random is added for tokens of 20 or more
     characters that touch no base span, are written in a known encoding, and whose tests do not
@@ -132,15 +134,17 @@ def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
         kept = F.filter(matches(text, pattern, group), lambda m: m["size"] >= least)
         return F.transform(kept, lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind")))
 
+    carried = [F.struct("*").alias("row")] if whole else []
     found = docs.select(
         "doc_id",
-        F.xxhash64("text").alias("text_hash"),
+        *carried,
         F.array_sort(F.concat(*[base(i, *k) for i, k in enumerate(KINDS)])).alias("base"),
         matches(text, RANDOM).alias("tokens"),
     )
     free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     tried = F.filter(F.transform(free, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), battery(t["found"]).alias("test"))), lambda t: t["test"].isNotNull())
-    found = table(found.select("doc_id", "text_hash", "base", tried.alias("tried")), "secrets")
+    kept = ["doc_id", "row"] if whole else ["doc_id"]
+    found = table(found.select(*kept, "base", tried.alias("tried")), "secrets")
     bins = found.select(F.explode("tried.test").alias("t")).groupBy("t.band", "t.bin").agg(F.count("*").alias("n"))
     reach = W.partitionBy("band").orderBy(F.desc("bin"))
     steps = bins.select("band", "bin", F.sum("n").over(reach).alias("k"), F.sum("n").over(W.partitionBy("band")).alias("m"))
@@ -148,7 +152,7 @@ def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     limits = F.array(*[F.lit(cuts.get(b, 201)) for b in range(len(BANDS))])
     random = F.filter("tried", lambda t: t["test"]["bin"] < F.element_at(limits, t["test"]["band"] + 1))
     added = F.transform(random, lambda t: F.struct(t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"), F.lit("random").alias("kind")))
-    return found.select("doc_id", "text_hash", F.array_sort(F.concat("base", added)).alias("spans"))
+    return found.select(*kept, F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -167,15 +171,15 @@ def secrets_digest(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """docs with every span (overlapping ones as one) of text replaced by mark, and n_chars to match; all rows and columns stay."""
-    found = scan(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    both = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["_hash"]), "left")
+    found, body = scan(docs, whole=True), F.col("row")["text"]
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(s: Column, x: Column) -> Column:
-        new = F.concat(s["out"], F.substring(docs["text"], s["at"] + 1, x["start"] - s["at"]), F.lit(mark))
+        new = F.concat(s["out"], F.substring(body, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))
         return F.struct(F.when(x["start"] < s["at"], s["out"]).otherwise(new).alias("out"), F.greatest(s["at"], x["end"]).alias("at"))
 
-    rest = F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substring(docs["text"], s["at"] + 1, F.lit(2**31 - 1))))
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(rest)
-    changed = {"text": text, "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long")}
-    return both.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    rest = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.lit(2**31 - 1))))
+    clean = F.size("spans") == 0
+    text = F.when(clean, body).otherwise(rest)
+    changed = {"text": text, "n_chars": F.when(clean, F.col("row")["n_chars"]).otherwise(F.length(text)).cast("long")}
+    return found.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .columns import let
 from .common import table
 
 DIMS, BITS = 4, 4
@@ -34,20 +35,23 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     n = len(cells)
     entry, direction = curve_tables(n)
     mask = 2**n - 1
+    packed = F.lit(0)
+    for cell in cells:
+        packed = F.shiftleft(packed, bits).bitwiseOR(cell.cast("int"))
+
+    def walk(all_cells: Column) -> Column:
+        apart = [F.shiftright(all_cells, bits * (n - 1 - j)).bitwiseAND(2**bits - 1) for j in range(n)]
+        return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, lambda s, k: step(s, k, apart), lambda s: s["h"])
 
     def shift(x: Column, by: Column, left: bool) -> Column:
         a, b = ("shiftleft", "shiftright") if left else ("shiftright", "shiftleft")
         return F.call_function(a, x, by).bitwiseOR(F.call_function(b, x, F.lit(n) - by)).bitwiseAND(mask)
 
-    def step(s: Column, k: Column) -> Column:
+    def step(s: Column, k: Column, cells: list[Column]) -> Column:
         corner = F.lit(0)
         for j, cell in enumerate(cells):
             corner = corner.bitwiseOR(F.shiftleft(F.call_function("shiftright", cell, k).bitwiseAND(1), j))
         turn = F.pmod(s["d"] + 1, F.lit(n))
-        code = shift(corner.bitwiseXOR(s["e"]), turn, left=False)
-        rank = code
-        for by in range(1, n):
-            rank = rank.bitwiseXOR(F.shiftright(code, by))
 
         def moved(one: Column) -> Column:
             return F.struct(
@@ -56,10 +60,16 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
                 F.pmod(s["d"] + F.element_at(F.array(*map(F.lit, direction)), one + 1) + 1, F.lit(n)).alias("d"),
             )
 
-        return F.element_at(F.transform(F.array(rank), moved), 1)
+        def ranked(code: Column) -> Column:
+            rank = code
+            for by in range(1, n):
+                rank = rank.bitwiseXOR(F.shiftright(code, by))
+            return let(rank, moved)
+
+        return let(shift(corner.bitwiseXOR(s["e"]), turn, left=False), ranked)
 
     start = F.struct(F.lit(0).alias("h"), F.lit(0).alias("e"), F.lit(0).alias("d"))
-    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda s: s["h"])
+    return let(packed, walk)
 
 
 def quantised(df: DataFrame, columns: list[str], bits: int = BITS) -> list[Column]:
@@ -90,9 +100,8 @@ def hilbert_order(docs: DataFrame) -> DataFrame:
         "facts",
     )
     cells = [*quantised(facts, ["doc_id", "size"]), F.col("lang_cell"), F.col("source_cell")]
-    placed = facts.select("doc_id", "size", "text_crc32", F.array(*cells).alias("cells"))
-    placed = placed.withColumn("curve", hilbert_index([F.element_at("cells", i + 1) for i in range(DIMS)])).drop("cells")
-    placed = placed.withColumn("tie", F.xxhash64("doc_id")).withColumn("low", F.shiftright("tie", 56).cast("int"))
+    placed = table(facts.select("doc_id", "size", "text_crc32", hilbert_index(cells).alias("curve"), F.xxhash64("doc_id").alias("tie")), "curve")
+    placed = placed.withColumn("low", F.shiftright("tie", 56).cast("int"))
     counts = placed.groupBy("curve", "low").agg(F.count("*").alias("n"))
     cell_sums = counts.groupBy("curve").agg(F.sum("n").alias("cell_n"))  # at most 65,536 rows
     cell_sums = cell_sums.select("curve", F.coalesce(F.sum("cell_n").over(W.orderBy("curve").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("cell_before"))

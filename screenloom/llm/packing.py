@@ -23,7 +23,9 @@ def width_of(n_ids: int) -> int:
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
-    """Id i takes the bits from i * width on, lowest bit first."""
+    """Id i takes the bits from i * width on, lowest bit first; whole bytes are taken as such."""
+    if width % 8 == 0:
+        return np.ascontiguousarray(ids, "<u4").view("u1").reshape(-1, 4)[:, : width // 8].tobytes()
     bits = np.unpackbits(np.ascontiguousarray(ids, "<u4").view("u1").reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
 
@@ -32,6 +34,11 @@ def unpack(payload: bytes, width: int, first: int, count: int) -> np.ndarray:
     """Ids first .. first + count - 1 of a block, without reading the rest of it."""
     if not count:
         return np.empty(0, "<u4")
+    if width % 8 == 0:
+        n = width // 8
+        whole = np.zeros((count, 4), "u1")
+        whole[:, :n] = np.frombuffer(payload, "u1", count * n, first * n).reshape(count, n)
+        return whole.view("<u4").ravel()
     low, high = first * width // 8, -(-(first + count) * width // 8)
     bits = np.unpackbits(np.frombuffer(payload, "u1", high - low, low), bitorder="little")
     bits = bits[first * width - 8 * low :][: count * width].reshape(count, width)

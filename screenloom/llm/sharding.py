@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .columns import let
 from .common import table
 
-DIMS, BITS = 4, 4
+BITS = 4
 
 
 def gray(i: int) -> int:

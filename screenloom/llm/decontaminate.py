@@ -13,6 +13,7 @@ from .textbytes import BREAK, LOWER, ROOTS, buffer_of, mixed, range_hashes, slic
 Q, BUDGET = 10, 0.08
 BLOCK_BYTES = 8 << 20  # benchmark text that one pass over the documents holds
 TABLE_BITS = 24
+ALIGNED_CELLS, FAR = 1 << 18, 1 << 28
 
 
 def normalised(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,11 +94,12 @@ class ItemIndex:
     def found(self, body: np.ndarray, at: np.ndarray):
         """(text, item, edits, first byte, end), the closest region of each text and item."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for d, i, low, high in self.regions(body, at):
-            edits, end = align(self.texts[i], body[low:high])
-            if edits <= self.edits[i]:
-                begin = high - align(self.texts[i][::-1], body[low:high][::-1])[1]
-                best[d, i] = min(best.get((d, i), (1 << 30, 0, 0)), (edits, begin, low + end))
+        near = list(self.regions(body, at))
+        edits, ends = align([self.texts[i] for _, i, _, _ in near], [body[low:high] for _, _, low, high in near])
+        near = [(*n, e, x) for n, e, x in zip(near, edits, ends) if e <= self.edits[n[1]]]
+        _, begins = align([self.texts[n[1]][::-1] for n in near], [body[n[2] : n[3]][::-1] for n in near])
+        for (d, i, low, high, e, end), back in zip(near, begins):
+            best[d, i] = min(best.get((d, i), (1 << 30, 0, 0)), (e, high - back, low + end))
         plain = body.tobytes() if self.short else b""
         for i in self.short:
             one, place = self.texts[i].tobytes(), -1
@@ -108,17 +110,37 @@ class ItemIndex:
         return [(d, i, *v) for (d, i), v in best.items()]
 
 
-def align(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
-    """Fewest edits that turn item into a part of region, and where that part ends, over the band of diagonals that region allows."""
-    width = max(1, len(region) - len(item) + 1)
-    padded = np.concatenate([region, np.full(len(item) + width, 256, np.int16)])
-    steps, row = np.arange(width), np.zeros(width, np.int64)
-    for i, c in enumerate(item):
-        down = np.append(row[1:], 1 << 20) + 1
-        row = np.minimum(row + (padded[i : i + width] != c), down)
-        row = np.minimum.accumulate(row - steps) + steps
-    at = int(row.argmin())
-    return int(row[at]), min(len(region), len(item) + at)
+def align(items: list[np.ndarray], regions: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """For each item and its region: fewest edits that turn the item into a part of the region, and where that part
+    ends, over the band of diagonals that the region allows. Pairs advance together, the longest items first, as many as ALIGNED_CELLS allows."""
+    edits, ends = [0] * len(items), [0] * len(items)
+    widths = [max(1, len(r) - len(t) + 1) for t, r in zip(items, regions)]
+    order, first = sorted(range(len(items)), key=lambda k: -len(items[k])), 0
+    while first < len(order):
+        longest, last, width = len(items[order[first]]), first, 0
+        while last < len(order) and (last == first or (last + 1 - first) * (longest + max(width, widths[order[last]])) <= ALIGNED_CELLS):
+            width, last = max(width, widths[order[last]]), last + 1
+        pairs, first = order[first:last], last
+        letters, text = np.full((longest, len(pairs)), 257, np.int16), np.full((len(pairs), longest + width), 256, np.int16)
+        for n, k in enumerate(pairs):
+            letters[: len(items[k]), n] = items[k]
+            held = regions[k][: longest + width]
+            text[n, : len(held)] = held
+        steps = np.arange(width, dtype=np.int32)
+        floor = np.where(steps[None, :] < np.array([widths[k] for k in pairs])[:, None], 0, FAR).astype(np.int32)
+        row, left = floor.copy(), len(pairs)
+        for i in range(longest):
+            while len(items[pairs[left - 1]]) <= i:
+                left -= 1
+            now = row[:left]
+            moved = now + (text[:left, i : i + width] != letters[i, :left, None])
+            np.minimum(moved[:, :-1], now[:, 1:] + 1, out=moved[:, :-1])
+            moved = np.minimum.accumulate(moved - steps, axis=1) + steps
+            row[:left] = np.maximum(moved, floor[:left])
+        at = row.argmin(axis=1)
+        for n, k in enumerate(pairs):
+            edits[k], ends[k] = int(row[n, at[n]]), min(len(regions[k]), len(items[k]) + int(at[n]))
+    return edits, ends
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUDGET, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -62,7 +62,7 @@ class ItemIndex:
         self.spread = int(sizes.max(initial=0) * 2 + 2)
 
     def regions(self, body: np.ndarray, at: np.ndarray):
-        """(text, item, first byte, end) of the bands of diagonals that share enough q-grams with an item."""
+        """(text, item, first byte, end) of the bands of diagonals that share enough q-grams with an item; they may reach beyond the text."""
         hashes = gram_hashes(body, self.q)
         near = np.flatnonzero(self.table[hashes >> np.uint64(64 - TABLE_BITS)])
         k = np.searchsorted(self.grams, hashes[near])
@@ -89,17 +89,18 @@ class ItemIndex:
         for d, i, b in keys[:, begin[counts >= np.maximum(self.least[keys[1, begin]], 1)]].T.tolist():
             edits = int(self.edits[i])
             low = b * (edits + 1) - d * self.spread - edits
-            yield d, i, max(int(at[d]), low), min(int(at[d + 1]), low + 4 * (edits + 1) + len(self.texts[i]))
+            # up to `edits` places beyond the text, so that the band has the diagonals of deletions at its edges
+            yield d, i, max(int(at[d]) - edits, low), min(int(at[d + 1]) + edits, low + 4 * (edits + 1) + len(self.texts[i]))
 
     def found(self, body: np.ndarray, at: np.ndarray):
         """(text, item, edits, first byte, end), the closest region of each text and item."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         near = list(self.regions(body, at))
-        edits, ends = align([self.texts[i] for _, i, _, _ in near], [body[low:high] for _, _, low, high in near])
+        edits, ends = align([self.texts[i] for _, i, _, _ in near], [padded(body, at, d, low, high) for d, _, low, high in near])
         near = [(*n, e, x) for n, e, x in zip(near, edits, ends) if e <= self.edits[n[1]]]
-        _, begins = align([self.texts[n[1]][::-1] for n in near], [body[n[2] : n[3]][::-1] for n in near])
+        _, begins = align([self.texts[n[1]][::-1] for n in near], [padded(body, at, n[0], n[2], n[3])[::-1] for n in near])
         for (d, i, low, high, e, end), back in zip(near, begins):
-            best[d, i] = min(best.get((d, i), (1 << 30, 0, 0)), (e, high - back, low + end))
+            best[d, i] = min(best.get((d, i), (1 << 30, 0, 0)), (e, max(int(at[d]), high - back), min(int(at[d + 1]), low + end)))
         plain = body.tobytes() if self.short else b""
         for i in self.short:
             one, place = self.texts[i].tobytes(), -1
@@ -110,6 +111,14 @@ class ItemIndex:
         return [(d, i, *v) for (d, i), v in best.items()]
 
 
+def padded(body: np.ndarray, at: np.ndarray, d: int, low: int, high: int) -> np.ndarray:
+    """body[low:high], with 256 for each place outside text d: it matches no byte, so an item's byte there is a deleted one."""
+    first, end = max(low, int(at[d])), min(high, int(at[d + 1]))
+    out = np.full(high - low, 256, np.int16)
+    out[first - low : end - low] = body[first:end]
+    return out
+
+
 def align(items: list[np.ndarray], regions: list[np.ndarray]) -> tuple[list[int], list[int]]:
     """For each item and its region: fewest edits that turn the item into a part of the region, and where that part
     ends, over the band of diagonals that the region allows. Pairs advance together, the longest items first, as many as ALIGNED_CELLS allows."""
@@ -149,8 +158,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
     Both are compared with A-Z in lower case and runs of blanks as one; edits are counted in UTF-8 bytes, start and
     end are code points of the text. A row is the closest place of one item in one document row. Items are
     taken in blocks of at most about block_bytes, each held by every task of one pass, so a benchmark of any size
-    fits. Items without words and null texts match nothing; an item shorter than q bytes is found only as it stands. Rows of
-    documents that repeat are reported each.
+    fits. Items without words and null texts match nothing; an item shorter than q bytes is found only as it stands. An item of n
+    bytes is allowed min(floor(budget * n), floor(n / q) - 1) edits, fewer than the budget for some below 40 bytes (13 to 19,
+    25 to 29, 38 and 39 with the defaults). Rows of documents that repeat are reported each.
     """
     spark = docs.sparkSession
     arrow_batches(spark)

@@ -145,6 +145,42 @@ def test_op3(spark):
     assert sorted(r.doc_id for r in decontaminate.without_leaks(df, bench).collect()) == [3, 5, 6, 7]
 
 
+def fewest_edits(item, text):
+    """Edits that turn item into some part of text, by the whole table."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        now = [i]
+        for j, y in enumerate(text, 1):
+            now.append(min(row[j] + 1, now[-1] + 1, row[j - 1] + (x != y)))
+        row = now
+    return min(row)
+
+
+def test_op3_edges(spark):
+    """Net deletions at a text's start, at its end and as the whole text, and edits inside, against exact alignment."""
+    rng = random.Random(8)
+    items = [" ".join(rng.choices(WORDS, k=40))[:n].strip().ljust(n, "x") for n in (200, 150, 57, 30)]
+    texts = []
+    for item in items:
+        most = min(int(0.08 * len(item)), len(item) // 10 - 1)
+        for k in {1, most // 2, most, most + 1}:
+            for at in {0, len(item) // 3, len(item) - k}:
+                cut = item[:at] + item[at + k :]
+                texts += [cut, "before " + cut, cut + " after", "before " + cut + " after"]
+        for _ in range(6):
+            body = list(item)
+            for at in rng.sample(range(len(body)), most):
+                body[at] = rng.choice(["", "#", body[at] + "#"])
+            texts += ["".join(body), "x " + "".join(body), "".join(body) + " x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(df, bench).collect()}
+    exact = {(d, i): fewest_edits(item, re.sub(" +", " ", text)) for d, text in enumerate(texts) for i, item in enumerate(items)}
+    assert got == {(d, i): n for (d, i), n in exact.items() if n <= min(int(0.08 * len(items[i])), len(items[i]) // 10 - 1)}
+    whole = spark.createDataFrame([(0, items[0][1:]), (1, items[0][:100] + items[0][101:]), (2, items[0][:-1])], "doc_id long, text string")
+    assert decontaminate.without_leaks(whole, bench).isEmpty()
+
+
 def library(name, rows):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
     return tokenizer, [tokenizer.encode(t or "", add_special_tokens=False).ids for _, t, *_ in rows]

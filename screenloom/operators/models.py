@@ -6,25 +6,30 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def poisson_mixture(values: np.ndarray, restarts: int = 5, rounds: int = 100) -> np.ndarray:
-    """Posterior of the larger of two Poisson rates for each count; the best of several deterministic starts."""
+def poisson_mixture(values: np.ndarray, restarts: int = 5, rounds: int = 100, weights: np.ndarray | None = None) -> np.ndarray:
+    """Posterior of the larger of two Poisson rates for each count; the best of several deterministic starts.
+
+    A count of weight w is fitted as w equal counts.
+    """
+    w = np.ones(len(values)) if weights is None else weights
+    n, mean = max(w.sum(), 1e-9), (w * values).sum() / max(w.sum(), 1e-9)
     best, answer = -np.inf, np.zeros(len(values))
     top = max(float(values.max(initial=1)), 1.0)
     for r in range(restarts):
-        low, high, share = 0.1 + values.mean() * 0.2, values.mean() + top * (r + 1) / restarts, 0.1
+        low, high, share = 0.1 + mean * 0.2, mean + top * (r + 1) / restarts, 0.1
         post = np.zeros(len(values))
         for _ in range(rounds):
             a = math.log(share) + values * math.log(high) - high
             b = math.log(1 - share) + values * math.log(low) - low
             post = 1 / (1 + np.exp(np.clip(b - a, -700, 700)))
-            share = min(max(post.mean(), 1e-6), 1 - 1e-6)
-            high = max((post * values).sum() / max(post.sum(), 1e-9), 1e-6)
-            low = max(((1 - post) * values).sum() / max((1 - post).sum(), 1e-9), 1e-6)
-        fit = np.logaddexp(a, b).sum()
+            share = min(max((w * post).sum() / n, 1e-6), 1 - 1e-6)
+            high = max((w * post * values).sum() / max((w * post).sum(), 1e-9), 1e-6)
+            low = max((w * (1 - post) * values).sum() / max((w * (1 - post)).sum(), 1e-9), 1e-6)
+        fit = (w * np.logaddexp(a, b)).sum()
         if fit > best:
             best, answer = fit, post if high >= low else 1 - post
     return answer
@@ -38,9 +43,8 @@ def assign_mixture(guide_counts: DataFrame, threshold: float = 0.8) -> DataFrame
     levels = guide_counts.groupBy("batch", "guide", "n").agg(F.count("*").alias("weight"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        post = poisson_mixture(np.repeat(pdf["n"].to_numpy(float), np.minimum(pdf["weight"].to_numpy(), 10_000)))
-        first = np.concatenate([[0], np.cumsum(np.minimum(pdf["weight"].to_numpy(), 10_000))[:-1]])
-        return pdf[["batch", "guide", "n"]].assign(posterior=np.round(post[first], 6))
+        post = poisson_mixture(pdf["n"].to_numpy(float), weights=pdf["weight"].to_numpy(float))
+        return pdf[["batch", "guide", "n"]].assign(posterior=np.round(post, 6))
 
     fitted = levels.groupBy("batch", "guide").applyInPandas(fit, "batch string, guide long, n long, posterior double")
     return guide_counts.join(fitted, ["batch", "guide", "n"]).where(F.col("posterior") >= threshold).select("cell", "guide", "posterior")
@@ -61,21 +65,61 @@ def glm_score(moments: DataFrame) -> DataFrame:
     return moments.mapInPandas(fit, "guide long, gene long, score_z double")
 
 
+def normal_mixture(levels: DataFrame, rounds: int = 50) -> DataFrame:
+    """(batch, tag, m0, v0, m1, v1, share) of (batch, tag, value, weight): two Gaussians by EM, the second with the larger mean.
+
+    Starts from the halves at each group's mean. Spark sums each round's (n, sum, sum of squares) of both components for
+    all groups at once; the driver holds a row for each group. Variances are at least a thousandth of the group's.
+    """
+    spark, schema = levels.sparkSession, "batch string, tag string, m0 double, v0 double, m1 double, v1 double, share double"
+    levels = levels.localCheckpoint()
+    w, x = F.col("weight").cast("double"), F.col("value")
+
+    def sums(df: DataFrame, upper: Column) -> list:
+        parts = [F.sum(c).alias(k) for k, c in {"n": w, "s": w * x, "q": w * x * x, "n1": w * upper, "s1": w * upper * x, "q1": w * upper * x * x}.items()]
+        return df.groupBy("batch", "tag").agg(*parts).collect()
+
+    whole = {(r.batch, r.tag): (r.s / r.n, max(r.q / r.n - (r.s / r.n) ** 2, 1e-12)) for r in sums(levels, F.lit(0.0))}
+    centre = spark.createDataFrame([(*k, m) for k, (m, _) in whole.items()], "batch string, tag string, mean double")
+
+    def fitted(rows: list) -> list:
+        out = []
+        for r in rows:
+            least = whole[r.batch, r.tag][1] / 1000
+            parts = []
+            for n, s, q in ((r.n - r.n1, r.s - r.s1, r.q - r.q1), (r.n1, r.s1, r.q1)):
+                m = s / n if n > 1e-9 else whole[r.batch, r.tag][0]
+                parts += [m, max(q / n - m * m, least) if n > 1e-9 else least]
+            out.append((r.batch, r.tag, *parts, min(max(r.n1 / r.n, 1e-9), 1 - 1e-9)))
+        return sorted(out)
+
+    now = fitted(sums(levels.join(F.broadcast(centre), ["batch", "tag"]), (x > F.col("mean")).cast("double")))
+    for _ in range(rounds):
+        model = F.broadcast(spark.createDataFrame(now, schema))
+        before, now = now, fitted(sums(levels.join(model, ["batch", "tag"]), upper_share(x)))
+        if all(abs(a - b) <= 1e-9 * (1 + abs(a)) for p, q in zip(before, now) for a, b in zip(p[2:], q[2:])):
+            break
+    return spark.createDataFrame([r if r[2] <= r[4] else (*r[:2], *r[4:6], *r[2:4], 1 - r[6]) for r in now], schema)
+
+
+def upper_share(x: Column) -> Column:
+    """Posterior of the second Gaussian (m1, v1, share) against the first (m0, v0) at x."""
+    lower = F.log(1 - F.col("share")) - F.log("v0") / 2 - (x - F.col("m0")) ** 2 / (2 * F.col("v0"))
+    upper = F.log("share") - F.log("v1") / 2 - (x - F.col("m1")) ** 2 / (2 * F.col("v1"))
+    return 1 / (1 + F.exp(F.least(F.greatest(lower - upper, F.lit(-700.0)), F.lit(700.0))))
+
+
 def hashing_tags(tag_counts: DataFrame) -> DataFrame:
-    """(cell, tags) from (batch, cell, tag, value): tags above the midpoint of two clusters of their batch and tag, joined by '-'; none: negative."""
+    """(cell, tags) from (batch, cell, tag, value): tags more likely of the upper of two Gaussians of their batch and tag, joined by '-'; none: negative.
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = pdf["value"].to_numpy(float)
-        low, high = v.min(), v.max()
-        for _ in range(50):
-            cut = (low + high) / 2
-            a, b = v[v <= cut], v[v > cut]
-            low, high = (a.mean() if len(a) else low), (b.mean() if len(b) else high)
-        return pd.DataFrame({"batch": [pdf["batch"].iloc[0]], "tag": [pdf["tag"].iloc[0]], "cut": [(low + high) / 2]})
-
-    levels = tag_counts.select("batch", "tag", "value").distinct()
-    cuts = levels.groupBy("batch", "tag").applyInPandas(fit, "batch string, tag string, cut double")
-    marked = tag_counts.join(cuts, ["batch", "tag"]).groupBy("batch", "cell").agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("value") > F.col("cut"), F.col("tag")))), "-").alias("tags"))
+    Every cell counts in the fit. A value below the lower mean is never of the upper Gaussian, one above the upper mean always is; a
+    group with one value has no tag.
+    """
+    levels = tag_counts.groupBy("batch", "tag", "value").agg(F.count("*").alias("weight"))
+    model = F.broadcast(normal_mixture(levels))
+    x = F.col("value")
+    positive = (F.col("m1") > F.col("m0")) & (x > F.col("m0")) & ((x >= F.col("m1")) | (upper_share(x) > 0.5))
+    marked = tag_counts.join(model, ["batch", "tag"]).groupBy("batch", "cell").agg(F.array_join(F.array_sort(F.collect_list(F.when(positive, F.col("tag")))), "-").alias("tags"))
     return marked.select("cell", F.when(F.col("tags") == "", "negative").otherwise(F.col("tags")).alias("tags"))
 
 

@@ -74,6 +74,35 @@ def test_clr_and_models(spark):
     assert (posterior[:90] < 0.2).all() and (posterior[90:] > 0.8).all()
 
 
+def test_mixture_weights(spark):
+    """Counts of more than 10,000 cells have their whole weight: as from each count by itself."""
+    counts = np.repeat([0.0, 3.0, 6.0, 9.0], [60_000, 12_000, 4_000, 2_000])
+    levels, at, weights = np.unique(counts, return_index=True, return_counts=True)
+    whole = models.poisson_mixture(counts)
+    assert np.allclose(models.poisson_mixture(levels, weights=weights.astype(float)), whole[at], atol=1e-6)
+    cells = spark.createDataFrame([(int(n), int(w)) for n, w in zip(levels, weights)], "n long, w int").selectExpr("'b' as batch", "1L as guide", "n", "explode(sequence(1, w)) as cell")
+    got = {r.n: r.posterior for r in models.assign_mixture(cells.selectExpr("batch", "n * 100000L + cell as cell", "guide", "n"), 0.0).selectExpr("cell div 100000 as n", "posterior").distinct().collect()}
+    assert got == {int(n): round(float(p), 6) for n, p in zip(levels, whole[at])}
+
+
+def test_hashing_weights(spark):
+    """A value that most cells have counts as often: the cut lies by the Gaussians of all cells, not of the distinct values."""
+    rng = np.random.default_rng(1)
+    values = np.concatenate([np.full(3000, 0.0), rng.normal(0, 0.3, 3000), rng.normal(3, 0.3, 150), [1.2, 9.0, 9.5, 10.0]])
+    df = spark.createDataFrame([("b", i, "t", float(v)) for i, v in enumerate(values)], "batch string, cell long, tag string, value double")
+    got = {r.cell for r in models.hashing_tags(df).where("tags = 't'").collect()}
+    m, v, share = [values[values <= values.mean()].mean(), values[values > values.mean()].mean()], [values[values <= values.mean()].var(), values[values > values.mean()].var()], (values > values.mean()).mean()
+    for k in range(51):
+        a, b = [np.log(s) - np.log(v[j]) / 2 - (values - m[j]) ** 2 / (2 * v[j]) for j, s in enumerate((1 - share, share))]
+        post = 1 / (1 + np.exp(np.clip(a - b, -700, 700)))
+        if k == 50:
+            break
+        share = post.mean()
+        m = [np.average(values, weights=p) for p in (1 - post, post)]
+        v = [max(np.average((values - mm) ** 2, weights=p), values.var() / 1000) for p, mm in zip((1 - post, post), m)]
+    assert got == set(np.flatnonzero((values > m[0]) & ((values >= m[1]) | (post > 0.5))).tolist())
+
+
 def test_mismatches(spark):
     df = spark.createDataFrame([(0, "ACG")], "guide_order int, spacer string")
     assert sequences.mismatches(df).count() == 10

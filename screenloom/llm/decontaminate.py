@@ -7,13 +7,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, by_keys, drop_table, release, table
 from .textbytes import BREAK, LOWER, ROOTS, buffer_of, mixed, range_hashes, slices
 
 Q, BUDGET = 10, 0.08
+LEAST_Q = 6  # floor(n / (edits + 1)) is at least 6 for every length n with edits, at a budget of 0.08
 BLOCK_BYTES = 8 << 20  # benchmark text that one pass over the documents holds
 TABLE_BITS = 24
 ALIGNED_CELLS, FAR = 1 << 18, 1 << 28
+REGION_BYTES = 4 << 20  # of texts that are aligned at a time
+POSTINGS = 1 << 20  # shared q-grams that are laid out at a time
 
 
 def normalised(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -33,21 +36,35 @@ def gram_hashes(body: np.ndarray, q: int) -> np.ndarray:
     return mixed(range_hashes(letters[body], first, first + q, ROOTS[0]))
 
 
+def trimmed(text: str) -> np.ndarray:
+    """Normalised bytes of an item without blanks at its ends."""
+    body, at = buffer_of(pa.array([text]))
+    body = normalised(body, at)[0]
+    inner = np.flatnonzero(body != 32)
+    return body[inner[0] : inner[-1] + 1] if len(inner) else body[:0]
+
+
+def indexes(items: list[tuple[int, str]], q: int = Q, budget: float = BUDGET) -> list[ItemIndex]:
+    """Indexes of a block of items by the longest q-grams, of q or fewer bytes, that their edit budgets leave in every match.
+
+    Items of n bytes with floor(budget * n) edits share a q-gram with each match if q * (edits + 1) <= n. Those for which
+    q is too long have an index of shorter ones.
+    """
+    known = [(name, body, int(budget * len(body))) for name, body in ((name, trimmed(text)) for name, text in items) if len(body)]
+    groups: dict[int, list] = {}
+    for name, body, edits in known:
+        fits = len(body) // (edits + 1)
+        groups.setdefault(q if fits >= q or not edits else min(q, max(1, fits if fits < LEAST_Q else LEAST_Q)), []).append((name, body, edits))
+    return [ItemIndex(group, size) for size, group in sorted(groups.items())]
+
+
 class ItemIndex:
-    """Every q-gram of a block of benchmark items, and each item's edit budget and least count of shared q-grams."""
-
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, budget: float = BUDGET):
-        self.q, self.names, self.texts = q, [], []
-        for name, text in items:
-            body, at = buffer_of(pa.array([text]))
-            body = normalised(body, at)[0]
-            body = body[np.flatnonzero(body != 32)[0] : np.flatnonzero(body != 32)[-1] + 1] if (body != 32).any() else body[:0]
-            if len(body):
-                self.names.append(name)
-                self.texts.append(body)
+    """Every q-gram of items (name, bytes, edits), and each item's least count of shared q-grams."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray, int]], q: int):
+        self.q, self.names, self.texts = q, [n for n, _, _ in items], [t for _, t, _ in items]
         sizes = np.array([len(t) for t in self.texts], np.int64)
-        edits = np.floor(budget * sizes).astype(np.int64)
-        self.edits = np.maximum(0, np.minimum(edits, sizes // q - 1))  # as many as leave a shared q-gram for sure
+        self.edits = np.array([e for _, _, e in items], np.int64)
         self.least = sizes + 1 - q * (self.edits + 1)
         self.short = [i for i, n in enumerate(self.least) if n < 1]  # shorter than q: found as they are
         hashes = [gram_hashes(t, q) for t in self.texts]
@@ -61,6 +78,29 @@ class ItemIndex:
         self.table[self.grams >> np.uint64(64 - TABLE_BITS)] = True
         self.spread = int(sizes.max(initial=0) * 2 + 2)
 
+    def bands(self, doc: np.ndarray, near: np.ndarray, k: np.ndarray):
+        """((text, item, band) columns, shared q-grams in each) of text q-grams at `near` that are the index's k-th, POSTINGS at a time.
+
+        A match's diagonals differ by its edits at most: one of two bands of width 2 * (edits + 1) that overlap there has them all.
+        """
+        keys, counts = np.empty((3, 0), np.int64), np.empty(0, np.int64)
+        times = self.count[k]
+        before = np.concatenate([[0], np.cumsum(times)])
+        for lo in range(0, int(before[-1]), POSTINGS):
+            hi = min(lo + POSTINGS, int(before[-1]))
+            nth = np.arange(lo, hi)
+            gram = np.searchsorted(before, nth, side="right") - 1
+            post = self.first[k[gram]] + nth - before[gram]
+            item = self.owner[post]
+            band = (near[gram] + doc[gram] * self.spread - self.place[post]) // (self.edits[item] + 1)
+            both = np.concatenate([keys, np.stack([doc[gram], item, band]), np.stack([doc[gram], item, band - 1])], axis=1)
+            weight = np.concatenate([counts, np.ones(2 * (hi - lo), np.int64)])
+            order = np.lexsort(both[::-1])
+            both = both[:, order]
+            begin = np.flatnonzero(np.concatenate([[True], (both[:, 1:] != both[:, :-1]).any(axis=0)]))
+            keys, counts = both[:, begin], np.add.reduceat(weight[order], begin)
+        return keys, counts
+
     def regions(self, body: np.ndarray, at: np.ndarray):
         """(text, item, first byte, end) of the bands of diagonals that share enough q-grams with an item; they may reach beyond the text."""
         hashes = gram_hashes(body, self.q)
@@ -70,23 +110,8 @@ class ItemIndex:
         near, k = near[same], k[same]
         doc = np.searchsorted(at, near, side="right") - 1
         whole = near + self.q <= at[doc + 1]
-        near, k, doc = near[whole], k[whole], doc[whole]
-        times = self.count[k]
-        post = np.repeat(self.first[k], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        item, diagonal = self.owner[post], np.repeat(near + doc * self.spread, times) - self.place[post]
-        doc = np.repeat(doc, times)
-        step = self.edits[item] + 1
-        band = diagonal // step
-        # a match's diagonals differ by its edits at most: one of the two bands of width 2 * step that overlap here has them all
-        keys = np.concatenate([np.stack([doc, item, band]), np.stack([doc, item, band - 1])], axis=1)
-        if not keys.shape[1]:
-            return
-        order = np.lexsort(keys[::-1])
-        keys = keys[:, order]
-        new = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-        begin = np.flatnonzero(new)
-        counts = np.diff(np.append(begin, keys.shape[1]))
-        for d, i, b in keys[:, begin[counts >= np.maximum(self.least[keys[1, begin]], 1)]].T.tolist():
+        keys, counts = self.bands(doc[whole], near[whole], k[whole])
+        for d, i, b in keys[:, counts >= np.maximum(self.least[keys[1]], 1)].T.tolist():
             edits = int(self.edits[i])
             low = b * (edits + 1) - d * self.spread - edits
             # up to `edits` places beyond the text, so that the band has the diagonals of deletions at its edges
@@ -95,12 +120,14 @@ class ItemIndex:
     def found(self, body: np.ndarray, at: np.ndarray):
         """(text, item, edits, first byte, end), the closest region of each text and item."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        near = list(self.regions(body, at))
-        edits, ends = align([self.texts[i] for _, i, _, _ in near], [padded(body, at, d, low, high) for d, _, low, high in near])
-        near = [(*n, e, x) for n, e, x in zip(near, edits, ends) if e <= self.edits[n[1]]]
-        _, begins = align([self.texts[n[1]][::-1] for n in near], [padded(body, at, n[0], n[2], n[3])[::-1] for n in near])
-        for (d, i, low, high, e, end), back in zip(near, begins):
-            best[d, i] = min(best.get((d, i), (1 << 30, 0, 0)), (e, max(int(at[d]), high - back), min(int(at[d + 1]), low + end)))
+        run, held = [], 0
+        for one in self.regions(body, at):
+            run.append(one)
+            held += one[3] - one[2]
+            if held >= REGION_BYTES:
+                self.closest(run, body, at, best)
+                run, held = [], 0
+        self.closest(run, body, at, best)
         plain = body.tobytes() if self.short else b""
         for i in self.short:
             one, place = self.texts[i].tobytes(), -1
@@ -110,6 +137,14 @@ class ItemIndex:
                     best.setdefault((d, i), (0, place, place + len(one)))
         return [(d, i, *v) for (d, i), v in best.items()]
 
+    def closest(self, near: list, body: np.ndarray, at: np.ndarray, best: dict) -> None:
+        """Puts the closest places of these regions, as far as they are within the items' edits, into best."""
+        edits, ends = align([self.texts[i] for _, i, _, _ in near], [padded(body, at, d, low, high) for d, _, low, high in near])
+        near = [(*n, e, x) for n, e, x in zip(near, edits, ends) if e <= self.edits[n[1]]]
+        _, begins = align([self.texts[n[1]][::-1] for n in near], [padded(body, at, n[0], n[2], n[3])[::-1] for n in near])
+        for (d, i, low, high, e, end), back in zip(near, begins):
+            best[d, i] = min(best.get((d, i), (1 << 30, 0, 0)), (e, max(int(at[d]), high - back), min(int(at[d + 1]), low + end)))
+
 
 def padded(body: np.ndarray, at: np.ndarray, d: int, low: int, high: int) -> np.ndarray:
     """body[low:high], with 256 for each place outside text d: it matches no byte, so an item's byte there is a deleted one."""
@@ -158,9 +193,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
     Both are compared with A-Z in lower case and runs of blanks as one; edits are counted in UTF-8 bytes, start and
     end are code points of the text. A row is the closest place of one item in one document row. Items are
     taken in blocks of at most about block_bytes, each held by every task of one pass, so a benchmark of any size
-    fits. Items without words and null texts match nothing; an item shorter than q bytes is found only as it stands. An item of n
-    bytes is allowed min(floor(budget * n), floor(n / q) - 1) edits, fewer than the budget for some below 40 bytes (13 to 19,
-    25 to 29, 38 and 39 with the defaults). Rows of documents that repeat are reported each.
+    fits. Items without words and null texts match nothing. An item of n bytes is allowed floor(budget * n) edits. Rows of documents and items
+    that repeat are reported each; of equally close places of an item in a text the first one. Other columns of both tables are not read.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -174,20 +208,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
         shared = spark.sparkContext.broadcast(sorted(held, key=str))
 
         def run(batches, shared=shared):
-            index = ItemIndex(shared.value, q, budget)
+            made = indexes(shared.value, q, budget)
             for batch in batches:
                 names, rows = batch.column(0).to_pylist(), []
                 for first, count in slices(batch.column(1)):
                     raw, raw_at = buffer_of(batch.column(1).slice(first, count))
                     body, at, origin = normalised(raw, raw_at)
-                    for d, i, edits, begin, end in index.found(body, at):
+                    for name, (d, _, edits, begin, end) in ((index.names[hit[1]], hit) for index in made for hit in index.found(body, at)):
                         start_byte = origin[begin] if begin < len(origin) else len(raw)
                         text = raw[raw_at[d] : origin[end - 1] + 1]
                         points = np.cumsum((text & 0xC0) != 0x80)
                         skip = int(start_byte - raw_at[d])
-                        rows.append((names[first + d], index.names[i], edits, int(points[skip - 1]) if skip else 0, int(points[-1])))
+                        rows.append((names[first + d], name, edits, int(points[skip - 1]) if skip else 0, int(points[-1])))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "item_id", "edits", "start", "end"])
+            release()
 
         hits = texts.mapInArrow(run, "doc_id long, item_id long, edits long, start long, end long")
         out = hits if out is None else out.unionByName(hits)
@@ -195,8 +230,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs but those that contain a benchmark item; all columns stay, rows with the id of a removed one go too."""
-    from .common import table
-
-    gone = table(leaks(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct(), "leaks")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """docs but the rows whose text contains a benchmark item; all columns stay. Null texts stay, and all rows where there are no items."""
+    key = F.xxhash64("doc_id", "text")
+    found = table(leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select("doc_id"), "leaks")
+    gone = table(found.distinct(), "leaks")
+    drop_table(found)
+    return by_keys(docs, key, gone, "left_anti")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Rows of one number that a join may broadcast: some 48 MB as a hash table.
+BROADCAST_KEYS = 2_000_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -15,11 +21,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is set (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where none is set, a session in one process (tests) takes a temporary one; a cluster's raises, since its executors
+    would each write to a disk of their own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="screenloom-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
@@ -52,6 +64,38 @@ def drop_table(df: DataFrame) -> None:
 
 
 def arrow_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
-    """Bound what one Arrow batch holds, so that very long texts don't add up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    """Bound what one Arrow batch holds, so that very long texts don't add up in a Python worker.
+
+    Lowers the session's settings where they are higher and leaves lower ones.
+    """
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        now = re.sub(r"(?i)b$", "", spark.conf.get(f"spark.sql.execution.arrow.{name}"))
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def release() -> None:
+    """Give a task's freed memory back to the system: a Python worker lives on, and the next stage's needs come on top."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name with underscores so that no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def by_keys(df: DataFrame, key: Column, keys: DataFrame, how: str = "left_semi", most: int = BROADCAST_KEYS) -> DataFrame:
+    """The rows of df whose key, a long, is in keys (left_semi) or isn't (left_anti); keys is a written table of one column of longs.
+
+    Up to `most` keys are counted and broadcast, so that df stays where it is; more are joined by a shuffle of df.
+    """
+    name = free_name(df, "key")
+    few = keys.count() <= most
+    wanted = keys.select(F.col(keys.columns[0]).alias(name))
+    return df.withColumn(name, key).join(F.broadcast(wanted) if few else wanted.hint("merge"), name, how).select(*df.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import decoder, encoder, ids_of, prepared
-from .common import arrow_batches
+from .common import arrow_batches, release
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -26,6 +26,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             ids = [ids_of(enc, p) for p in prepared(enc, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        release()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids binary")
@@ -45,8 +46,23 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text) of encode() and then decode(), in one worker: the ids don't go back to the JVM between the two."""
+    arrow_batches(docs.sparkSession)
+
+    def run(batches):
+        enc, dec = encoder(path), decoder(path)
+        for batch in batches:
+            ids = [ids_of(enc, p) for p in prepared(enc, batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(map(dec.text, ids), pa.string())], names=["doc_id", "ids", "text"])
+        release()
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids binary, text string")
+
+
 def round_trip_digest(docs: DataFrame, path: str) -> DataFrame:
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -87,6 +103,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
                     run_of, held = [], 0
             close(run_of, totals)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        release()
 
     kind = docs.schema[id_col].dataType.simpleString()
     counted = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")

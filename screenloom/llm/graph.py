@@ -7,26 +7,42 @@ from pyspark.sql import functions as F
 
 from .common import drop_table, table
 
+HUB = 100_000  # edges of a node that one join task takes
 
-def components(edges: DataFrame) -> DataFrame:
+
+def with_least(edges: DataFrame, hub: int = HUB) -> tuple[DataFrame, DataFrame]:
+    """edges (u, v) with m, the least v of their u, and (u, m) of every u.
+
+    The minimum is aggregated before the shuffle. A node with n edges, n over `hub`, is dealt to ceil(n / hub) keys of the
+    join, each with a copy of its minimum; these nodes are at most edges / hub, and are broadcast.
+    """
+    low = table(edges.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count("*") / hub).alias("deals")), "low")
+    hubs = low.where("deals > 1").select("u", "deals")
+    copies = low.select("u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"))
+    dealt = edges.join(F.broadcast(hubs), "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("deals", F.lit(1).cast("long"))).alias("deal"))
+    return dealt.join(copies, ["u", "deal"]).select("u", "v", "m"), low
+
+
+def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
     """(node, component) of every node of edges (u, v): component is the smallest node that u reaches.
 
     Alternates two steps on edges whose u is larger than v, until none changes: every neighbour
     above a node is linked to the node's smallest neighbour, then every one below. Each round is
-    written to the shared folder; the driver gets a count and a checksum. Stars of any size stay
-    spread: a node's minimum is aggregated before the shuffle and joined back.
+    written to the shared folder; the driver gets a count and a checksum. Nodes with very many edges are dealt to
+    several tasks (with_least). No edges give no rows.
     """
     u, v = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     now = table(edges.where("u != v").select(u, v).distinct(), "edges")
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.greatest("v", "m").alias("u"), F.col("m").alias("v"))
-        after = table(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
-        drop_table(now)
+        known, low = with_least(both, hub)
+        large = table(known.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "edges")
+        known, least = with_least(large, hub)
+        small = known.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v"))
+        after = table(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
+        for old in (now, low, large, least):
+            drop_table(old)
         now, before, mark = after, mark, after.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if mark == before:
             break

@@ -9,11 +9,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, free_name
 from .textbytes import buffer_of, slices
 
 WINDOW, WIDTHS, FILTERS = 128, (2, 3, 4), 16
-LETTER = re.compile(r"[^\W\d_]")
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def lettered(text: str | None) -> bool:
+    """Whether a text has a letter, that is a character of a Unicode class L: of the pattern's, ½, ² and ① are numbers."""
+    return text is not None and any(any(map(str.isalpha, m.group())) for m in LETTERS.finditer(text))
 
 
 class ByteNetwork:
@@ -99,23 +104,27 @@ def windows_of(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.where(inside, body[np.minimum(grid, max(len(body) - 1, 0))] if len(body) else 0, 0).astype(np.uint8), owner
 
 
-def train(labelled: DataFrame, per_label: int = 600, most_labels: int = 200) -> ByteNetwork | None:
-    """Fit a network on (doc_id, text, lang) rows: about per_label of each of the most_labels most frequent labels.
+def train(labelled: DataFrame, per_label: int = 600, most_rows: int = 60_000) -> ByteNetwork | None:
+    """Fit a network on (doc_id, text, lang) rows: about per_label of each label, fewer where that would be over most_rows in all.
 
-    The rows are those with the smallest hashes of doc_id, and one window from the middle of each text is used.
-    The driver gets at most per_label * most_labels * 1.25 windows. None if there is no labelled text.
+    The rows are those with the smallest hashes of doc_id and text, and one window from the middle of each text is used. The driver gets
+    at most 1.25 * most_rows windows; with more labels than rows some labels go unlearnt. None if there is no labelled text.
     """
-    labelled = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_labels).collect()
-    if not counts:
-        return None
-    share = F.coalesce(*[F.when(F.col("lang") == r.lang, F.lit(1.2 * per_label / r.n)) for r in counts], F.lit(0.0))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_003)) / 1_000_003
+    known = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'")
     place = F.greatest(F.lit(1), F.floor(F.length("text") / 2).cast("int") - WINDOW // 2)
-    picked = labelled.where(chance < share).select("lang", F.substring("text", place, F.lit(WINDOW)).alias("part"), chance.alias("chance"), "doc_id")
-    rows = picked.orderBy("chance", "doc_id", "part").limit(int(1.25 * per_label * len(counts)) + 100).collect()
+    chance = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1_000_003)) / 1_000_003
+    parts = known.select("lang", F.substring("text", place, F.lit(WINDOW)).alias("part"), chance.alias("chance"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    labels = counts.count()
+    if not labels:
+        return None
+    each = max(1, min(per_label, most_rows // labels))
+    # 1.2 times as many as wanted, for what chance leaves out; of a label with few rows all
+    picked = parts.join(counts, "lang").where(F.col("chance") < 1.2 * each / F.col("n"))
+    most = min(int(1.25 * most_rows), int(1.25 * each * labels) + 100)
+    rows = picked.select("lang", "part", "chance").orderBy("chance", "part").limit(most).collect()
     if not rows:
-        rows = labelled.select("lang", F.substring("text", place, F.lit(WINDOW)).alias("part"), "doc_id").orderBy("doc_id", "part").limit(per_label).collect()
+        rows = parts.orderBy("chance", "part").limit(each).collect()
     network = ByteNetwork(sorted({r.lang for r in rows}))
     number = {name: i for i, name in enumerate(network.labels)}
     body = np.zeros((len(rows), WINDOW), np.uint8)
@@ -126,12 +135,14 @@ def train(labelled: DataFrame, per_label: int = 600, most_labels: int = 200) ->
     return network
 
 
-def predict(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
-    """docs with lang_pred and score: the label with the largest mean probability over all windows of the whole text, and that mean.
+def predict(docs: DataFrame, network: ByteNetwork | None, name: str = "language") -> DataFrame:
+    """docs with a column `name`, struct<label, score>: the label with the largest mean probability over all windows of the whole text, and that mean.
 
     A text that is null or has no letter, or a network that saw no text, gives 'und' and 0. Only
-    text is read for it; rows and other columns stay as they are.
+    text is read for it; rows and other columns stay as they are. A column that has the name already is an error (free_name finds another).
     """
+    if free_name(docs, name) != name:
+        raise ValueError(f"there is a column {name} already")
     arrow_batches(docs.sparkSession)
 
     @F.arrow_udf("struct<label:string,score:double>")
@@ -149,13 +160,12 @@ def predict(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
                 np.add.at(sums, owner[lo : lo + 512], network.probabilities(windows[lo : lo + 512]))
             means = sums / np.bincount(owner, minlength=count)[:, None]
             for text, mean in zip(part.to_pylist(), means):
-                lettered = text is not None and LETTER.search(text)
-                labels.append(network.labels[int(mean.argmax())] if lettered else "und")
-                scores.append(min(1.0, float(mean.max())) if lettered else 0.0)
+                told = lettered(text)
+                labels.append(network.labels[int(mean.argmax())] if told else "und")
+                scores.append(min(1.0, float(mean.max())) if told else 0.0)
         return pa.StructArray.from_arrays([pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["label", "score"])
 
-    named = docs.withColumn("_lang", label(F.col("text")))
-    return named.withColumn("lang_pred", F.col("_lang.label")).withColumn("score", F.col("_lang.score")).drop("_lang")
+    return docs.withColumn(name, label(F.col("text")))
 
 
 def held_out() -> Column:
@@ -165,4 +175,5 @@ def held_out() -> Column:
 def language_digest(docs: DataFrame) -> DataFrame:
     facts = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out())
     network = train(facts.where(~F.col("held_out")))
-    return predict(facts.select("doc_id", "text", "held_out"), network).select("doc_id", "held_out", "lang_pred", "score")
+    told = predict(facts.select("doc_id", "text", "held_out"), network)
+    return told.select("doc_id", "held_out", F.col("language.label").alias("lang_pred"), F.col("language.score").alias("score"))

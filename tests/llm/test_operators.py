@@ -159,10 +159,10 @@ def fewest_edits(item, text):
 def test_op3_edges(spark):
     """Net deletions at a text's start, at its end and as the whole text, and edits inside, against exact alignment."""
     rng = random.Random(8)
-    items = [" ".join(rng.choices(WORDS, k=40))[:n].strip().ljust(n, "x") for n in (200, 150, 57, 30)]
+    items = [" ".join(rng.choices(WORDS, k=40))[:n].strip().ljust(n, "x") for n in (200, 150, 57, 49, 39, 30, 29, 19, 13)]
     texts = []
     for item in items:
-        most = min(int(0.08 * len(item)), len(item) // 10 - 1)
+        most = int(0.08 * len(item))
         for k in {1, most // 2, most, most + 1}:
             for at in {0, len(item) // 3, len(item) - k}:
                 cut = item[:at] + item[at + k :]
@@ -176,11 +176,37 @@ def test_op3_edges(spark):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(df, bench).collect()}
     exact = {(d, i): fewest_edits(item, re.sub(" +", " ", text)) for d, text in enumerate(texts) for i, item in enumerate(items)}
-    assert got == {(d, i): n for (d, i), n in exact.items() if n <= min(int(0.08 * len(items[i])), len(items[i]) // 10 - 1)}
+    assert got == {(d, i): n for (d, i), n in exact.items() if n <= int(0.08 * len(items[i]))}
     whole = spark.createDataFrame([(0, items[0][1:]), (1, items[0][:100] + items[0][101:]), (2, items[0][:-1])], "doc_id long, text string")
     assert decontaminate.without_leaks(whole, bench).isEmpty()
 
 
+def test_op3_repetitive(monkeypatch):
+    """An item and a text of one phrase over and over: all their shared q-grams are counted, POSTINGS at a time."""
+    import pyarrow as pa
+
+    from screenloom.llm.textbytes import buffer_of
+
+    item, text = "ab cd " * 60, "x " + "ab cd " * 200 + "y"
+    for postings in (1 << 20, 5000):
+        monkeypatch.setattr(decontaminate, "POSTINGS", postings)
+        body, at, _ = decontaminate.normalised(*buffer_of(pa.array([text, "ab cd " * 20, None, "ab cd " * 58])))
+        hits = [hit for index in decontaminate.indexes([(7, item)]) for hit in index.found(body, at)]
+        assert sorted((d, e) for d, _, e, _, _ in hits) == [(0, 0), (3, 11)]
+
+
+def test_op3_rows(spark):
+    """Rows and items that repeat, clashing columns, no items, no documents, null ids."""
+    item = "the quick stone river and a house of light"
+    docs = spark.createDataFrame([(1, f"see {item} now", "a", 5), (1, f"see {item} now", "a", 5), (1, "plain text", "b", 5), (None, item, "c", 5), (None, "other", "d", 5), (2, None, "e", 5)], "doc_id long, text string, key string, item_id int")
+    bench = spark.createDataFrame([(4, item, 1), (4, item, 1), (None, item, 1)], "item_id long, text string, doc_id int")
+    got = multiset(decontaminate.leaks(docs, bench).collect())
+    assert got == multiset([(1, i, 0, 4, 4 + len(item)) for i in (4, 4, None)] * 2 + [(None, i, 0, 0, len(item)) for i in (4, 4, None)])
+    kept = decontaminate.without_leaks(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.key for r in kept.collect()) == ["b", "d", "e"]
+    assert decontaminate.without_leaks(docs, bench.limit(0)).count() == 6 and decontaminate.without_leaks(docs.limit(0), bench).count() == 0
+
+
 def library(name, rows):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
     return tokenizer, [tokenizer.encode(t or "", add_special_tokens=False).ids for _, t, *_ in rows]
@@ -202,8 +228,10 @@ def test_trie_fuzz(name):
 
     rng = random.Random(6)
     letters = list("aabcdeTHE  \n\t\r'sllre0123.,!éßñª²½×÷\xa0") + ["中", "😀", " ", "İ", "Σ", "ς", "é", "\x1c", "\x85", "<|endoftext|>", "'ll"]
-    made = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(1500)] + ["a" * 2000, " " * 900 + "x"]
-    enc, tokenizer = TrieEncoder(public_tokenizers.path(name), keep=500), Tokenizer.from_file(public_tokenizers.path(name))
+    every = list(map(chr, range(0x250))) + list(map(chr, range(0x300, 0x330))) + ["ẞ", "ﬁ", "Å", "각", "\u200d"]
+    made = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(1500)] + ["a" * 2000, " " * 900 + "x", "Ɗan Ɓauna"]
+    made += ["".join(rng.choices(rng.choice([every, every[:0x250], letters + every]), k=rng.randint(0, 40))) for _ in range(3000)] + [f"a{x}a" for x in every]
+    enc, tokenizer = TrieEncoder(public_tokenizers.path(name), keep=50_000), Tokenizer.from_file(public_tokenizers.path(name))
     for text, parsed in zip(made, prepared(enc, made)):
         assert ids_of(enc, parsed) == raw(tokenizer.encode(text, add_special_tokens=False).ids)
 
@@ -271,7 +299,7 @@ def test_op7_follows_order(spark):
 def test_op8(spark):
     from pyspark.sql import functions as F
 
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").unionByName(spark.createDataFrame([(-1, None, "en", "x", 0), (-2, "12 .. 3", "en", "x", 7), (-3, "", None, None, 0)], "doc_id long, text string, lang string, source string, n_chars long"))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").unionByName(spark.createDataFrame([(-1, None, "en", "x", 0), (-2, "12 .. 3", "en", "x", 7), (-3, "", None, None, 0), (-4, "½ ² ① Ⅷ", "en", "x", 7)], "doc_id long, text string, lang string, source string, n_chars long"))
     got = langid.language_digest(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert len(got) == docs.count()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)

@@ -25,23 +25,36 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
-def sums_before(values: Column, block: int = 64) -> Column:
-    """For each element of an integer array the sum of those before it; sums whole blocks first, so long arrays stay cheap."""
+def before(values: Column, whole: Callable[[Column], Column], joined: Callable[[Column, Column], Column], block: int = 64) -> Column:
+    """For each element of an integer array what `whole` makes of those before it (0 of none).
+
+    Takes whole blocks first, then the blocks before a block and the elements before one in it: `joined` puts two such values together.
+    """
 
     def with_blocks(v: Column) -> Column:
         n = F.size(v)
         starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
         return let(
-            F.transform(starts, lambda j: total(F.slice(v, j * block + 1, F.lit(block)))),
+            F.transform(starts, lambda j: whole(F.slice(v, j * block + 1, F.lit(block)))),
             lambda sums: let(
-                F.transform(sums, lambda _, j: total(F.slice(sums, F.lit(1), j))),
-                lambda base: F.transform(v, lambda _, i: F.get(base, F.floor(i / block).cast("int")) + total(F.slice(v, F.floor(i / block).cast("int") * block + 1, i % block))),
+                F.transform(sums, lambda _, j: whole(F.slice(sums, F.lit(1), j))),
+                lambda base: F.transform(v, lambda _, i: joined(F.get(base, F.floor(i / block).cast("int")), whole(F.slice(v, F.floor(i / block).cast("int") * block + 1, i % block)))),
             ),
         )
 
     return let(values, with_blocks)
 
 
+def sums_before(values: Column) -> Column:
+    """For each element of an integer array the sum of those before it."""
+    return before(values, total, lambda a, b: a + b)
+
+
+def most_before(values: Column) -> Column:
+    """For each element of an array of integers from 0 the largest of those before it, 0 for the first."""
+    return before(values, lambda v: F.coalesce(F.array_max(v), F.lit(0)), F.greatest)
+
+
 def first_not_below(values: Column, x: Column) -> Column:
     """Index from 0 of the first element >= x of an ascending array (its size if there is none), by bisection."""
     steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(values) + 1)).cast("int") + 1)

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from .columns import first_not_below, let, words
 
 PLACE = (1 << 24) - 1  # the low bits of a hash give way to the k-mer's place in the text
-BIN_BITS, PART_ROWS, MOST_PARTS = 6, 500, 10_000
+BINS, BIN_BITS, TUPLE, HASH_BITS = 64, 6, 3, 39
+PART_ROWS, MOST_PARTS = 500, 10_000
 
 
 def order_minhash(text: Column) -> Column:
-    """array<int>, one entry for each of 64 bins that has k-mers: bin * 65536 + a hash of two k-mers in text order.
-
-    K-mers are two neighbouring words, numbered by occurrence: a repeat is hashed with its number.
-    A k-mer's hash picks its bin; each bin takes its two smallest hashes, in the order of
-    the text, and hashes the pair. A single word is a k-mer; a text without words has no entries.
-    Reordered words keep their k-mers but not the pairs' order, so the entries follow edit distance.
+    """array<int>, one entry for each of 64 draws: entry * 65536 + a hash of three k-mers in text order; none for a text without words.
+
+    K-mers are two neighbouring words, numbered by occurrence: a repeat is hashed with its number. A k-mer's hash deals it to
+    one of 64 bins. An entry draws the three k-mers that come first from its bin on: at most three of each bin, smallest hash
+    first, and from the last bin on to the first. So a draw of a long text is from its own bin, and one of a short text goes on into the
+    next bins until it has three: every entry has an order. It hashes its k-mers in the order of
+    the text, so reordered words change entries though their k-mers stay, and entries follow edit distance. A single word is a k-mer; a text of
+    fewer than three k-mers hashes those it has. Places count modulo 2**24 words.
     """
 
     def hashed(w: Column) -> Column:
@@ -36,23 +39,23 @@ def order_minhash(text: Column) -> Column:
         return F.sort_array(F.transform(s, one))
 
     def bin_of(x: Column) -> Column:
-        return F.shiftright(x, 64 - BIN_BITS)
+        return F.shiftright(x, 64 - BIN_BITS)  # from -32
 
     def least(s: Column) -> Column:
-        return F.filter(s, lambda x, j: (j < 2) | (bin_of(x) != bin_of(F.get(s, j - 2))))
+        return F.filter(s, lambda x, j: (j < TUPLE) | (bin_of(x) != bin_of(F.get(s, j - TUPLE))))
 
     def entries(s: Column) -> Column:
-        def entry(x: Column, j: Column) -> Column:
-            after = F.get(s, j + 1)
-            paired = after.isNotNull() & (bin_of(after) == bin_of(x))
-            a, b = x.bitwiseAND(F.lit(~PLACE)), F.when(paired, after.bitwiseAND(F.lit(~PLACE)))
-            swapped = paired & (x.bitwiseAND(F.lit(PLACE)) > after.bitwiseAND(F.lit(PLACE)))
-            pair = F.when(swapped, F.xxhash64(b, a)).otherwise(F.xxhash64(a, b))
-            value = ((bin_of(x) + (1 << (BIN_BITS - 1))) * 65536 + pair.bitwiseAND(F.lit(65535))).cast("int")
-            first = (j == 0) | (bin_of(F.get(s, j - 1)) != bin_of(x))
-            return F.when(first, value)
-
-        return F.array_compact(F.transform(s, entry))
+        n = F.size(s)
+
+        def entry(b: Column) -> Column:
+            first = first_not_below(s, F.call_function("shiftleft", (b - BINS // 2).cast("long"), F.lit(64 - BIN_BITS)))
+            drawn = F.transform(F.sequence(F.lit(0), F.least(n, F.lit(TUPLE)) - 1), lambda i: F.get(s, F.pmod(first + i, n)))
+            # the place goes to the front for the order, 39 bits of the hash stay behind it
+            ordered = F.sort_array(F.transform(drawn, lambda x: F.shiftleft(x.bitwiseAND(F.lit(PLACE)), HASH_BITS).bitwiseOR(F.shiftrightunsigned(x, 64 - HASH_BITS))))
+            hashes = F.transform(ordered, lambda y: y.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+            return (b * 65536 + F.xxhash64(hashes).bitwiseAND(F.lit(65535)).cast("int")).cast("int")
+
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), entry)).otherwise(F.expr("cast(array() as array<int>)"))
 
     return let(words(text), lambda w: let(hashed(w), lambda h: let(numbered(h), lambda s: let(least(s), entries))))
 
@@ -62,35 +65,48 @@ def as_text(entries: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the bins with k-mers in either text whose entries are the same; 1 for two texts without words."""
-    bins = F.size(F.array_union(F.transform(a, lambda v: F.shiftright(v, 16)), F.transform(b, lambda v: F.shiftright(v, 16))))
-    return F.when(bins == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / bins)
+    """Share of equal entries; 1 for two texts without words, 0 if one has none."""
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / BINS)
 
 
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """docs with next_<c> of each carried column: its value in the next row by (doc_id, text), after the last the first.
+    """docs (doc_id, text, ...) with next_<c> of each carried column: its value in the next row by doc_id, after the last the first.
 
     Rows are dealt to ranges of doc_id (about 500 rows each, at most 10,000 ranges, whose bounds
     the driver holds); the first rows of a range are copied to the range before, so that each range
-    is ordered alone and text is shuffled once. Null ids come first.
+    is ordered alone and text is shuffled once. An id that takes several ranges has its rows dealt to them by a hash of the text:
+    rows of one id follow each other in the order of that hash. A range's rows are sorted and taken in turn by Spark, which spills them.
+    Null ids come first.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    ids = docs.select(key.alias("key"))
+    tie = F.xxhash64("text", F.lit(7))
+    ids = docs.select(key.alias("key"), tie.alias("tie"))
     parts = min(MOST_PARTS, max(1, ids.count() // PART_ROWS))
     cuts = ids.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)] or [0.5], 20 * parts).alias("c")).first().c or []
-    bounds = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts))])
-    part = let(bounds, lambda b: first_not_below(b, F.col("key")))
-    firsts = sorted((r.part, r.first) for r in ids.withColumn("part", part).groupBy("part").agg(F.min("key").alias("first")).collect())
+    bounds = F.array(*[F.lit(c).cast("long") for c in sorted(cuts)])
+
+    def dealt_to(b: Column) -> Column:
+        low = first_not_below(b, F.col("key"))
+        # how many bounds are the key itself: as many ranges are its own
+        after = F.when(F.col("key") == 2**63 - 1, F.size(b)).otherwise(first_not_below(b, F.when(F.col("key") < 2**63 - 1, F.col("key") + 1)))
+        own = F.when(F.get(b, low) == F.col("key"), after - low).otherwise(1)
+        return low + F.floor((F.col("tie") / 2.0**64 + 0.5) * own).cast("int")
+
+    part = F.least(let(bounds, dealt_to), F.lit(len(cuts)))
+    row = F.struct("key", "tie")
+    firsts = sorted((r.part, r.first.key, r.first.tie) for r in ids.withColumn("part", part).groupBy("part").agg(F.min(row).alias("first")).collect())
     spark = docs.sparkSession
-    copies = [(first, firsts[i - 1][0], int(i == 0)) for i, (_, first) in enumerate(firsts)]
-    copied = spark.createDataFrame(copies, "first long, to int, wrap int")  # a row for each range
-    dealt = docs.withColumn("key", key).withColumn("part", part).join(F.broadcast(copied), F.col("key") == F.col("first"), "left")
+    copies = [(k, t, firsts[i - 1][0], int(i == 0)) for i, (_, k, t) in enumerate(firsts)]
+    copied = spark.createDataFrame(copies, "first_key long, first_tie long, to int, wrap int")  # a row for each range
+    # of rows that are alike in both, each is copied: they have one text, so that any of them may come first
+    dealt = docs.withColumn("key", key).withColumn("tie", tie).withColumn("part", part)
+    dealt = dealt.join(F.broadcast(copied), (F.col("key") == F.col("first_key")) & (F.col("tie") == F.col("first_tie")), "left")
     homes = F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("wrap"), F.lit(True).alias("own")), F.struct(F.col("to").alias("part"), F.col("wrap"), F.lit(False).alias("own")))
-    rows = dealt.select(*docs.columns, "key", F.explode(F.filter(homes, lambda h: h["part"].isNotNull())).alias("home"))
-    rows = rows.select(*docs.columns, "key", "home.*")
-    order = W.partitionBy("part").orderBy("wrap", "key", F.col("text").asc_nulls_first())
+    rows = dealt.select(*docs.columns, "key", "tie", F.explode(F.filter(homes, lambda h: h["part"].isNotNull())).alias("home"))
+    rows = rows.select(*docs.columns, "key", "tie", "home.*")
+    order = W.partitionBy("part").orderBy("wrap", "key", "tie")
     following = rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carried])
-    return following.where("own").drop("key", "part", "wrap", "own")
+    return following.where("own").drop("key", "tie", "part", "wrap", "own")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -98,7 +114,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text is the text whose last half is replaced by the start of the next document's.
     Null and empty texts are alike: no characters, an empty fingerprint. Equal texts have equal
-    fingerprints whatever their ids. A table of one row is its own next document.
+    fingerprints whatever their ids. A table of one row is its own next document. Other columns aren't read.
     """
     body = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select("doc_id", body.alias("text")).withColumn("entries", order_minhash(F.col("text")))

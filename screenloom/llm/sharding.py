@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .columns import let
-from .common import table
+from .common import free_name, table
 
 BITS = 4
 
@@ -79,53 +79,98 @@ def quantised(df: DataFrame, columns: list[str], bits: int = BITS) -> list[Colum
     return [sum(((F.coalesce(F.col(c) > F.lit(cut), F.lit(False))).cast("int") for cut in (cuts[c] or [])), F.lit(0)) for c in columns]
 
 
-def hilbert_order(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, curve, position): every document's place from 0 in curve order.
+def text_order(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Numbers in the order of string columns: the seven bytes that follow what all values of a column begin with (null: null).
 
-    The dimensions are doc_id and the text's size, by quantiles, and lang and source, by a hash.
-    Ties on the curve are ordered by a hash of doc_id. Position is the number of rows in earlier
-    buckets plus the rank in the own bucket; a bucket is a cell of the curve (at most 65,536) and
-    8 bits of the hash, so that a cell with many rows is split. Only these figures are shuffled,
-    no text. Nulls: doc_id and text may be null (size 1, crc of no bytes); rows that repeat each
-    other take places in no set order.
+    Values alike in those share a number, so a range of numbers is a range of values.
     """
+    ends = df.agg(*[f(F.col(c).cast("binary")).alias(f"{c}_{n}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    made = []
+    for c in columns:
+        low, high = ends[f"{c}_lo"] or b"", ends[f"{c}_hi"] or b""
+        shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+        part = F.rpad(F.hex(F.substring(F.col(c).cast("binary"), F.lit(shared + 1), F.lit(7))), 14, "0")
+        made.append(F.conv(part, 16, 10).cast("long"))
+    return made
+
+
+def facts(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, size, text_crc32, lang, source, tie) of every row, which the curve needs, and more columns."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    facts = table(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
-            F.crc32(body.cast("binary")).alias("text_crc32"),
-            *[F.pmod(F.xxhash64(c), F.lit(2**BITS)).cast("int").alias(f"{c}_cell") for c in ("lang", "source")],
-        ),
-        "facts",
+    found = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
+        F.crc32(body.cast("binary")).alias("text_crc32"),
+        F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"),
+        *more,
     )
-    cells = [*quantised(facts, ["doc_id", "size"]), F.col("lang_cell"), F.col("source_cell")]
-    placed = table(facts.select("doc_id", "size", "text_crc32", hilbert_index(cells).alias("curve"), F.xxhash64("doc_id").alias("tie")), "curve")
-    placed = placed.withColumn("low", F.shiftright("tie", 56).cast("int"))
+    return found.select("*", F.xxhash64("doc_id", "text_crc32", "size").alias("tie"))
+
+
+def bases_of(placed: DataFrame) -> DataFrame:
+    """(curve, low, base): the number of rows before each bucket of placed (curve, low)."""
     counts = placed.groupBy("curve", "low").agg(F.count("*").alias("n"))
     cell_sums = counts.groupBy("curve").agg(F.sum("n").alias("cell_n"))  # at most 65,536 rows
     cell_sums = cell_sums.select("curve", F.coalesce(F.sum("cell_n").over(W.orderBy("curve").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("cell_before"))
     before = counts.select("curve", "low", F.coalesce(F.sum("n").over(W.partitionBy("curve").orderBy("low").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("low_before"))
-    bases = before.join(cell_sums, "curve").select("curve", "low", (F.col("low_before") + F.col("cell_before")).alias("base"))
-    rank = F.row_number().over(W.partitionBy("curve", "low").orderBy("tie", "doc_id", "text_crc32"))
-    return placed.join(bases, ["curve", "low"]).select("doc_id", "size", "text_crc32", "curve", (F.col("base") + rank - 1).alias("position"))
+    return before.join(cell_sums, "curve").select("curve", "low", (F.col("low_before") + F.col("cell_before")).alias("base"))
+
+
+def positioned(placed: DataFrame, bases: DataFrame) -> DataFrame:
+    """placed with position, its place from 0: the rows in earlier buckets and the rank in the own bucket, by tie."""
+    rank = F.row_number().over(W.partitionBy("curve", "low").orderBy("tie"))
+    return placed.join(bases, ["curve", "low"]).withColumn("position", F.col("base") + rank - 1)
+
+
+def on_curve(rows: DataFrame) -> DataFrame:
+    """rows (with the columns of facts) with curve, their place on it by quantiles of doc_id, size, lang and source, and low: 8 bits of tie."""
+    lang, source = text_order(rows, ["lang", "source"])
+    named = rows.withColumn("lang_order", lang).withColumn("source_order", source)
+    cells = quantised(named.select("doc_id", "size", "lang_order", "source_order"), ["doc_id", "size", "lang_order", "source_order"])
+    return named.withColumn("curve", hilbert_index(cells)).withColumn("low", F.shiftright("tie", 56).cast("int")).drop("lang_order", "source_order")
+
+
+def hilbert_order(docs: DataFrame) -> DataFrame:
+    """(doc_id, size, text_crc32, curve, position): every document's place from 0 in curve order.
+
+    The dimensions are doc_id, the text's size, lang and source, each by quantiles of its order.
+    Ties on the curve are ordered by a hash of doc_id and text. Position is the number of rows in earlier
+    buckets plus the rank in the own bucket; a bucket is a cell of the curve (at most 65,536) and
+    8 bits of the hash, so that a cell with many rows is split. Only these figures are shuffled,
+    no text. Nulls: doc_id and text may be null (size 1, crc of no bytes); rows that repeat each
+    other take places in no set order.
+    """
+    placed = table(on_curve(table(facts(docs), "facts")).select("doc_id", "size", "text_crc32", "curve", "low", "tie"), "curve")
+    return positioned(placed, bases_of(placed)).select("doc_id", "size", "text_crc32", "curve", "position")
+
+
+def shard_and_slot(n: int, shards: int) -> tuple[Column, Column]:
+    """Shard of each position among n, and place from 0 in it: runs whose sizes are at most one apart."""
+    n = max(1, n)
+    return F.expr(f"cast(position * {shards}L div {n}L as int)"), F.expr(f"position - (((position * {shards}L div {n}L) * {n}L + {shards - 1}L) div {shards}L)")
 
 
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     """(doc_id, size, text_crc32, curve, law, shard, slot, grown_shard): runs of the curve order with row counts at most one apart."""
-    order = hilbert_order(docs)
-    n = max(1, docs.count())
-    return order.select(
-        "doc_id", "size", "text_crc32", "curve",
-        F.lit("rows").alias("law"),
-        F.expr(f"cast(position * {shards}L div {n}L as int)").alias("shard"),
-        F.expr(f"position - (((position * {shards}L div {n}L) * {n}L + {shards - 1}L) div {shards}L)").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
-
-
-def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
-    """Write docs as one folder a shard; files are sorted along the curve, so min/max statistics prune on every dimension."""
-    places = shard(docs, shards).select("doc_id", "curve", "shard").dropDuplicates(["doc_id"])
-    joined = docs.join(places, docs["doc_id"].eqNullSafe(places["doc_id"])).drop(places["doc_id"])
-    joined.repartitionByRange("shard", "curve").sortWithinPartitions("shard", "curve").write.partitionBy("shard").parquet(path)
+    number, slot = shard_and_slot(docs.count(), shards)
+    return hilbert_order(docs).select("doc_id", "size", "text_crc32", "curve", F.lit("rows").alias("law"), number.alias("shard"), slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 8, rows_per_file: int = 1_000_000) -> None:
+    """Write docs, all columns and rows, as one folder `shard_number=` for each shard; rows lie in the order of the curve.
+
+    The law is that of shard(): row counts of shards are at most one apart. A run of the curve is a range of few values in each dimension, so
+    the min and max statistics of files and row groups prune on each of doc_id, size, lang and source. Files have about rows_per_file rows; a column shard_number
+    of docs would clash with the folders' and is an error. Rows are shuffled with their texts twice, for their places and for the files.
+    """
+    if free_name(docs, "shard_number") != "shard_number":
+        raise ValueError("docs have a column shard_number")
+    n = docs.count()
+    number, slot = shard_and_slot(n, shards)
+    whole = free_name(docs, "whole")
+    placed = on_curve(facts(docs, F.struct("*").alias(whole)))
+    bases = table(bases_of(placed.select("curve", "low")), "bases")
+    laid = positioned(placed, bases).select(whole, number.alias("shard_number"), slot.alias("slot"))
+    files = max(shards, -(-n // rows_per_file))
+    laid.repartitionByRange(files, "shard_number", "slot").sortWithinPartitions("shard_number", "slot").select(f"{whole}.*", "shard_number").write.partitionBy("shard_number").parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import encoder, ids_of, prepared
-from .common import arrow_batches, table
+from .common import arrow_batches, release, table
 
 BLOCK_IDS = 1 << 18
 BLOCKS = "part int, block int, start long, n_ids long, width int, doc_ids array<long>, offsets array<long>, payload binary"
@@ -53,8 +53,8 @@ def write_blocks(docs: DataFrame, path: str, end_id: int | None = None, block_id
     Documents are range partitioned by doc_id, so blocks of ascending (part, block) hold ascending
     ids. A row is one block: where it starts in its part, the documents in it and where each begins
     (offsets, in ids, with the end), and the packed ids. A document is never split, so a very long one has a
-    block of its own size. Null ids come first, rows that share an id are ordered by text, a null
-    or empty text has the end id alone. The container is Parquet, written by Spark's committer: a
+    block of its own size. Null ids come first, rows that share an id are dealt to several tasks and ordered by a hash of the text, a null
+    or empty text has the end id alone. Other columns aren't read. The container is Parquet, written by Spark's committer: a
     lost executor's blocks are written anew. Returns the table as read back.
     """
     spark = docs.sparkSession
@@ -86,8 +86,10 @@ def write_blocks(docs: DataFrame, path: str, end_id: int | None = None, block_id
                     block, start, names, parts, held = block + 1, start + held, [], [], 0
         if names:
             yield made()
+        release()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text", F.pmod(F.monotonically_increasing_id(), F.lit(1009))).alias("tie"))
+    ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     return table(ordered.mapInArrow(run, BLOCKS), "blocks")
 
 

@@ -8,11 +8,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import arrow_batches, release, table
 from .textbytes import ROOTS, buffer_of, mixed, range_hashes, slices, word_hashes, word_ranges
 
 CHUNK_WORDS = 1_500_000
-ROWS = "bucket int, chunk long, docs binary, body binary, gaps binary, many binary, hits binary"
+GROUP_BYTES = 32 << 20  # of text whose entries one task holds at a time, some 250 MB
+ROWS = "bucket int, part int, chunk long, docs binary, body binary, gaps binary, many binary, hits binary"
 DOC = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("at", "<u4")])
 
 
@@ -28,8 +29,10 @@ class Chunk:
     it travels once. One with a single place travels with it, and gets a reply if it is met elsewhere.
     """
 
-    def __init__(self, buckets: list[int], size: int, block: int):
+    def __init__(self, buckets: list[int], parts: int, size: int, block: int):
+        """buckets: one number for each shuffle partition; each is taken in `parts` parts."""
         self.buckets, self.size, self.block = np.array(buckets, np.int32), size, block
+        self.all = len(buckets) * parts
         self.part, self.number = TaskContext.get().partitionId(), 0
         self.clear()
 
@@ -65,18 +68,18 @@ class Chunk:
             head = docs[names]
             body = (local - docs["at"][mine]).astype("<u4")
             head["at"] = counts
-            yield {"bucket": int(self.buckets[int(local[0]) % len(self.buckets)]), "chunk": chunk, "docs": head.tobytes(), "body": b"", "gaps": b"", "many": b"", "hits": body.tobytes()}
+            yield {"bucket": int(self.buckets[int(local[0]) % len(self.buckets)]), "part": 0, "chunk": chunk, "docs": head.tobytes(), "body": b"", "gaps": b"", "many": b"", "hits": body.tobytes()}
         first = order[new & several]
         marked = np.zeros(len(group) and int(group[-1]) + 1, bool)
         np.logical_or.at(marked, group[several], aligned[order][several])
         flags = marked[group[new & several]]
         single = np.sort(order[new & ~several]) if len(order) else order
         single = single[np.argsort(places[single], kind="stable")]
-        to_single, to_many = (high[single] >> np.uint64(40)) % np.uint64(len(self.buckets)), (high[first] >> np.uint64(40)) % np.uint64(len(self.buckets))
+        to_single, to_many = (high[single] >> np.uint64(40)) % np.uint64(self.all), (high[first] >> np.uint64(40)) % np.uint64(self.all)
         by_single, by_many = np.argsort(to_single, kind="stable"), np.argsort(to_many, kind="stable")
-        cut_single = np.searchsorted(to_single[by_single], np.arange(len(self.buckets) + 1))
-        cut_many = np.searchsorted(to_many[by_many], np.arange(len(self.buckets) + 1))
-        for b in range(len(self.buckets)):
+        cut_single = np.searchsorted(to_single[by_single], np.arange(self.all + 1))
+        cut_many = np.searchsorted(to_many[by_many], np.arange(self.all + 1))
+        for b in range(self.all):
             mine, many = single[by_single[cut_single[b] : cut_single[b + 1]]], by_many[cut_many[b] : cut_many[b + 1]]
             if not len(mine) and not len(many):
                 continue
@@ -85,7 +88,8 @@ class Chunk:
             gaps = np.diff(at, prepend=0)
             kind = "<u2" if not len(gaps) or gaps.max() < 65536 else "<u4"
             yield {
-                "bucket": int(self.buckets[b]),
+                "bucket": int(self.buckets[b % len(self.buckets)]),
+                "part": b // len(self.buckets),
                 "chunk": chunk,
                 "docs": docs[named].tobytes(),
                 "body": self.packed(high[mine], low[mine]),
@@ -99,29 +103,43 @@ class Chunk:
         return np.ascontiguousarray(both[:, : self.size] if self.size <= 8 else np.concatenate([both[:, :8], both[:, 8 : self.size]], axis=1)).tobytes()
 
 
-SCHEMA = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), *((n, pa.binary()) for n in ("docs", "body", "gaps", "many", "hits"))])
+SCHEMA = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("chunk", pa.int64()), *((n, pa.binary()) for n in ("docs", "body", "gaps", "many", "hits"))])
 
 
 def unpacked(raw: bytes, size: int) -> np.ndarray:
-    """Entries as rows of two 64-bit integers."""
+    """Entries as rows of one 64-bit integer, or two where an entry is longer."""
     n = len(raw) // size
-    out = np.zeros((n, 16), "u1")
+    out = np.zeros((n, 8 if size <= 8 else 16), "u1")
     out[:, :size] = np.frombuffer(raw, "u1").reshape(n, size)
     return out.view("<u8")
 
 
 def replies(batches, size: int, indexed: bool, block: int):
-    """All rows of one partition to (chunk, docs, hits): where an entry's hash was met again, a row for each row.
+    """Rows of one partition, sorted by part, to (chunk, docs, hits): where an entry's hash was met again, a row for each row.
 
-    indexed: only hashes that stand at an aligned block somewhere count: those make the index that the rest probe.
+    indexed: only hashes that stand at an aligned block somewhere count: those make the index that the rest probe. A part's
+    hashes are in no other, so that one part is held at a time.
     """
-    rows = []
+    part, rows = 0, []
     for batch in batches:
         for r in batch.to_pylist():
             if r["hits"]:
-                yield pa.RecordBatch.from_arrays([pa.array([r["chunk"]], pa.int64()), pa.array([r["docs"]], pa.binary()), pa.array([r["hits"]], pa.binary())], names=["chunk", "docs", "hits"])
-            else:
-                rows.append(r)
+                yield reply(r["chunk"], r["docs"], r["hits"])
+                continue
+            if r["part"] != part:
+                yield from met(rows, size, indexed, block)
+                part, rows = r["part"], []
+            rows.append(r)
+    yield from met(rows, size, indexed, block)
+    release()
+
+
+def reply(chunk: int, docs: bytes, hits: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([docs], pa.binary()), pa.array([hits], pa.binary())], names=["chunk", "docs", "hits"])
+
+
+def met(rows: list[dict], size: int, indexed: bool, block: int):
+    """The replies to the rows of one part."""
     keys, marks, weight, places, owners, sources = [], [], [], [], [], []
     for number, r in enumerate(rows):
         docs = np.frombuffer(r["docs"], DOC)
@@ -131,27 +149,26 @@ def replies(batches, size: int, indexed: bool, block: int):
         inner = at - docs["at"][mine]
         n = len(r["many"]) // (size + 1)
         several = unpacked(r["many"][: n * size], size)
-        bucket = np.uint64(r["bucket"] & 0xFFFFFF)
-        for group in (one, several):
-            group[:, 1 if size > 8 else 0] += bucket << np.uint64(40)
         keys += [one, several]
         marks += [inner % block == 0, np.frombuffer(r["many"], "u1")[n * size :].astype(bool)]
-        weight += [np.ones(len(one), np.int64), np.full(n, 2)]
-        places += [inner, np.full(n, -1)]
-        owners += [mine, np.full(n, -1)]
-        sources += [np.full(len(one), number), np.full(n, -1)]
+        weight += [np.ones(len(one), "u1"), np.full(n, 2, "u1")]
+        places += [inner.astype("<u4"), np.zeros(n, "<u4")]
+        owners += [mine.astype("<i4"), np.full(n, -1, "<i4")]
+        sources += [np.full(len(one), number, "<i4"), np.full(n, -1, "<i4")]
     if not keys:
         return
     keys, marks, weight, places, owners, sources = map(np.concatenate, (keys, marks, weight, places, owners, sources))
-    order = np.lexsort((keys[:, 1], keys[:, 0]))
-    if not len(order):
+    if not len(keys):
         return
-    new = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]).any(axis=1)])
-    group = np.cumsum(new) - 1
-    met = np.bincount(group, weight[order]) > 1
+    order = np.argsort(keys[:, 0], kind="stable") if keys.shape[1] == 1 else np.lexsort((keys[:, 1], keys[:, 0]))
+    keys = keys[order]
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+    del keys
+    begin = np.flatnonzero(new)
+    again = np.add.reduceat(weight[order], begin, dtype=np.int64) > 1
     if indexed:
-        met &= np.bincount(group, marks[order]) > 0
-    hit = order[met[group] & (places[order] >= 0)]
+        again &= np.logical_or.reduceat(marks[order], begin)
+    hit = order[np.repeat(again, np.diff(np.append(begin, len(order)))) & (owners[order] >= 0)]
     hit = hit[np.lexsort((places[hit], owners[hit], sources[hit]))]
     cut = np.searchsorted(sources[hit], np.arange(len(rows) + 1))
     for number, r in enumerate(rows):
@@ -160,7 +177,7 @@ def replies(batches, size: int, indexed: bool, block: int):
             names, counts = np.unique(owners[part], return_counts=True)
             head = np.frombuffer(r["docs"], DOC)[names]
             head["at"] = counts
-            yield pa.RecordBatch.from_arrays([pa.array([r["chunk"]], pa.int64()), pa.array([head.tobytes()], pa.binary()), pa.array([places[part].astype("<u4").tobytes()], pa.binary())], names=["chunk", "docs", "hits"])
+            yield reply(r["chunk"], head.tobytes(), places[part].tobytes())
 
 
 def by_document(batches):
@@ -197,10 +214,11 @@ def window_hashes(body, starts, ends, words, width: int):
     return mixed(range_hashes(a, first, first + width, ROOTS[1])), mixed(range_hashes(b, first, first + width, ROOTS[0])), first
 
 
-def met_again(source: DataFrame, width: int, size: int, indexed: bool, block: int, near: int = 0) -> DataFrame:
+def met_again(source: DataFrame, width: int, size: int, indexed: bool, block: int, parts_each: int, near: int = 0) -> DataFrame:
     """(k1, k2, found): for each text, lists of the places (little-endian 32-bit) of its windows that stand elsewhere too.
 
     source has k1, k2, text and, where near is positive, the places that a window must hold one of among its first `near` words.
+    A shuffle partition is worked off in parts_each parts.
     """
     spark = source.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -208,7 +226,7 @@ def met_again(source: DataFrame, width: int, size: int, indexed: bool, block: in
     buckets = sorted(int(r.id) for r in dealt.collect())  # one number for each shuffle partition
 
     def emit(batches):
-        chunk = Chunk(buckets, size, block)
+        chunk = Chunk(buckets, parts_each, size, block)
         for batch in batches:
             for first, count in slices(batch.column(2)):
                 part = batch.slice(first, count)
@@ -229,11 +247,13 @@ def met_again(source: DataFrame, width: int, size: int, indexed: bool, block: in
                 if chunk.words >= CHUNK_WORDS:
                     yield from (pa.RecordBatch.from_pylist([r], schema=SCHEMA) for r in chunk.rows())
         yield from (pa.RecordBatch.from_pylist([r], schema=SCHEMA) for r in chunk.rows())
+        release()
 
     def answer(batches):
         yield from replies(batches, size, indexed, block)
 
-    answers = source.mapInArrow(emit, ROWS).repartition(parts, "bucket").mapInArrow(answer, "chunk long, docs binary, hits binary")
+    dealt = source.mapInArrow(emit, ROWS).repartition(parts, "bucket")
+    answers = (dealt.sortWithinPartitions("part") if parts_each > 1 else dealt).mapInArrow(answer, "chunk long, docs binary, hits binary")
     found = answers.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(by_document, "k1 long, k2 long, places binary")
     return found.groupBy("k1", "k2").agg(F.collect_list("places").alias("found"))
 
@@ -248,14 +268,16 @@ def repeats(docs: DataFrame, window: int = 35) -> DataFrame:
 
     Texts stand by a hash of id and text, so rows that share an id but not the text are told apart, and rows that repeat
     each other repeat every window. A null text has no words. Hashes travel packed, for each task and
-    shuffle partition; a hash that a task meets often travels once.
+    shuffle partition; a hash that a task meets often travels once. A partition of more than about GROUP_BYTES of text is sorted and worked off in parts.
     """
     arrow_batches(docs.sparkSession)
     block = anchor(window)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2"))
-    hits = table(met_again(keyed.select("k1", "k2", "text"), block, 5, True, block), "hits")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    parts_each = max(1, -(-size // (GROUP_BYTES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    hits = table(met_again(keyed.select("k1", "k2", "text"), block, 5, True, block, parts_each), "hits")
     candidates = keyed.join(hits, ["k1", "k2"]).select("k1", "k2", "text", "found")
-    flags = table(met_again(candidates, window, 12, False, block, near=block), "repeats")
+    flags = table(met_again(candidates, window, 12, False, block, parts_each, near=block), "repeats")
     marked = keyed.join(flags, ["k1", "k2"], "left").select("doc_id", "text", "found")
 
     def run(batches):
@@ -277,6 +299,7 @@ def repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                     removed.append(hi - lo - len(stay))
                     kept.append(b" ".join([plain[a:b] for a, b in zip(starts[stay].tolist(), ends[stay].tolist())]).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return marked.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")

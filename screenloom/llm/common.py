@@ -38,17 +38,17 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives executors.
 
-    The shuffle files behind it go as soon as it is written.
+    The shuffle files behind it go as soon as it is written. parts: the most tasks that write, where the number of rows is known to be small.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        (df.coalesce(parts) if parts else df).write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.parquet(path)

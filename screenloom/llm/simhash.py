@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import arrow_batches, drop_table, release, table
 from .graph import components
 from .textbytes import LOWER, buffer_of, slices, word_ranges
 
@@ -58,6 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprint_column(batch.column(1), shingle))], names=["doc_id", "fp"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
@@ -70,9 +71,11 @@ class Forest:
 
     def take(self, i: int, near: np.ndarray) -> None:
         labels = self.label[near]
-        for other in np.unique(labels[labels != self.label[i]]):
-            self.links.append((i, int(near[np.argmax(labels == other)])))
-            self.label[self.label == other] = self.label[i]
+        others, first = np.unique(labels, return_index=True)
+        apart = others != self.label[i]
+        self.links += [(i, int(near[k])) for k in first[apart]]
+        if apart.any():
+            self.label[np.isin(self.label, others[apart])] = self.label[i]
 
 
 def tree_links(points: np.ndarray, residents: int, radius: int) -> list[tuple[int, int]]:
@@ -160,6 +163,7 @@ def links(points: DataFrame, radius: int = 4, most: int = MOST, levels: int = LE
         sizes = members.groupBy("shard").agg(F.count("*").alias("n"), F.min_by("fp", F.struct(~F.col("own"), F.xxhash64("fp"))).alias("vantage"))
         large = table(sizes.where(F.col("n") > most), "large")
         if large.isEmpty():
+            drop_table(large)
             break
         rest, crowd = members.join(large, "shard", "left_anti"), members.join(large, "shard")
         if level == levels:
@@ -176,7 +180,10 @@ def links(points: DataFrame, radius: int = 4, most: int = MOST, levels: int = LE
                 F.when((F.col("own") & outer) | (~F.col("own") & (F.col("away") > F.col("cut") - radius)), F.struct(F.lit(1).alias("side"), F.col("own").alias("own"))),
             )
             split = away.select("shard", "fp", "rep", F.explode(F.array_compact(sides)).alias("to")).select(F.xxhash64("shard", "to.side").alias("shard"), "to.own", "fp", "rep")
-        members = table(rest.unionByName(split), "members")
+        before, members = members, table(rest.unionByName(split), "members")
+        drop_table(large)
+        if level:
+            drop_table(before)
     dealt = members.repartition("shard").sortWithinPartitions("shard", F.desc("own"), "fp")
 
     def run(batches):

@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 from screenloom.llm import decontaminate, encoding, fingerprints, langid, packing, repeats, secrets, sharding, simhash
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, part int, shard int, label string"
+CLASHING = "key part shard label score lang_pred _lang language held_out curve row found spans whole base tokens words tie low size node bucket chunk begin".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
 WORDS = "the of and in is house tree water stone river light dark green over under with from about".split()
 
 
@@ -38,7 +39,7 @@ def rows():
 
 @pytest.fixture(scope="module")
 def docs(spark, rows):
-    return spark.createDataFrame([(*r, "clash", 1, 2, "x") for r in rows], SCHEMA).repartition(3)
+    return spark.createDataFrame([(*r, *(f"own {c}" for c in CLASHING)) for r in rows], SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -66,20 +67,66 @@ def test_op1(docs, rows):
     assert not any("random" in r.spans for r in got)
 
 
+def identifiers(rng, n):
+    """Ordinary tokens: camel case, snake case, paths and numbered names, of 20 letters or more."""
+    out = []
+    while len(out) < n:
+        words = rng.choices(WORDS, k=rng.randint(4, 9))
+        number = str(rng.randint(0, 999))
+        out.append(rng.choice(["".join(w.capitalize() for w in words) + number, "_".join(words) + number, "/".join(w.capitalize() for w in words) + number, number.join(words[:2]) + "".join(words[2:]).upper()]))
+        if len(out[-1]) < 20:
+            out.pop()
+    return out
+
+
 def test_op1_random_tokens(spark):
+    """Planted keys by length, and the share of ordinary tokens among those reported."""
     rng = random.Random(1)
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    tokens = ["".join(rng.choices(alphabet, k=40)) for _ in range(40)]
-    plain = ["".join(w.capitalize() for w in rng.choices(WORDS, k=8)) + "20" for _ in range(40)] + ["mmmmmmmmmmmmmmmmmmmmmmmmmmmmZ1", "donaudampfschifffahrtsgesellschaft"]
-    df = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(tokens + plain)], "doc_id long, text string")
-    found = {r.doc_id: r.spans for r in secrets.secrets_digest(df).collect()}
-    assert sum(found[i] == "random:4:44" for i in range(40)) >= 36
-    assert sum(found[i] == "" for i in range(40, 80)) >= 30 and found[80] == found[81] == ""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    planted = [("".join(rng.choices(alphabet, k=n)), n) for n in (24, 32, 40, 64, 100) for _ in range(40)]
+    base32 = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=52)) for _ in range(20)]
+    plain = identifiers(rng, 400) + ["mmmmmmmmmmmmmmmmmmmmmmmmmmmmZ1", "donaudampfschifffahrtsgesellschaft"]
+    story = lambda: " ".join(rng.choices(WORDS, k=30))
+    tokens = [t for t, _ in planted] + base32 + plain
+    df = spark.createDataFrame([(i, f"{story()} {t} {story()}") for i, t in enumerate(tokens)], "doc_id long, text string")
+    found = {r.doc_id for r in secrets.secrets_digest(df).collect() if "random" in r.spans}
+    for n, least in ((24, 0.3), (32, 0.65), (40, 0.65), (64, 0.85), (100, 0.85)):
+        assert np.mean([i in found for i, (_, size) in enumerate(planted) if size == n]) >= least, n
+    assert np.mean([i in found for i in range(len(planted), len(planted) + 20)]) >= 0.8
+    wrong = len([i for i in found if i >= len(planted) + len(base32)])
+    assert wrong <= 0.1 * len(found)
+    only = spark.createDataFrame([(i, f"{story()} {t} {story()}") for i, t in enumerate(plain)], "doc_id long, text string")
+    assert sum("random" in r.spans for r in secrets.secrets_digest(only).collect()) <= 0.02 * len(plain)
+
+
+def test_op1_long(spark):
+    """A token of a million characters and 100,000 spans in one text, beside multi-byte letters."""
+    rng = random.Random(2)
+    token = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    keys = ["%016x" % rng.getrandbits(64) for _ in range(100_000)]
+    texts = [f"é {token} end", "Ä " + " ß ".join(keys) + " ö", "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA" * 4000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.secrets_digest(df).collect()}
+    assert got[1].n_hex == 100_000 and got[1].spans.startswith("hex:2:18,hex:21:37") and got[0].n_hex == 0
+    clean = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert clean[1] == "Ä " + " ß ".join(["[SECRET]"] * 100_000) + " ö" and clean[2] == texts[2]
+
+
+def masked(text, spans):
+    out, at = "", 0
+    for a, b in spans:
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:]
 
 
 def test_redaction(docs, rows):
     got = secrets.redacted(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
+    spans = {(r.doc_id, r.base_sha256): [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s] for r in secrets.secrets_digest(docs).collect()}
+    expected = Counter((i, None if t is None else masked(t, next(s for (d, _), s in spans.items() if d == i)), f"own {CLASHING[0]}") for i, t, *_ in rows)
+    assert Counter((r.doc_id, r.text, r.key) for r in got.collect()) == expected
     assert '[SECRET]" and [SECRET] xx [SECRET] é' in {r.text for r in got.collect()}
 
 
@@ -121,6 +168,7 @@ def test_op2_shards(spark, most, levels):
     df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, i) for i, p in enumerate(points)], "fp long, rep long")
     from screenloom.llm.graph import components
 
+    df = df.withColumn("key", df["fp"])
     got = {r.node: r.component for r in components(simhash.links(df, 4, most, levels)).collect()}
     assert [got.get(i, i) for i in range(len(points))] == groups(points, 4)
 
@@ -260,6 +308,15 @@ def test_op6(docs, rows):
     assert one.width == 16 and (packing.unpack(one.payload, one.width, 7, 20) == whole[7:27]).all()
 
 
+def test_op6_hot_id(spark):
+    """Rows of one id: every place once, one after the other."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    df = spark.createDataFrame([(7 if i % 3 else i, f"text number {i % 50}", "x") for i in range(600)], "doc_id long, text string, tie string").repartition(6)
+    got = sorted((r.start, r.n_tokens, r.doc_id) for r in packing.blocks_digest(df, path, 2).collect())
+    assert len(got) == 600 and [r[2] for r in got] == sorted(r[2] for r in got)
+    assert [r[0] for r in got] == [0, *np.cumsum([r[1] for r in got]).tolist()[:-1]]
+
+
 @pytest.mark.parametrize("width", [1, 7, 16, 17, 32])
 def test_packing(width):
     ids = np.random.default_rng(0).integers(0, 2**width, 999, dtype=np.uint64).astype("<u4")
@@ -267,33 +324,90 @@ def test_packing(width):
     assert len(packed) == -(-999 * width // 8) and (packing.unpack(packed, width, 0, 999) == ids).all() and (packing.unpack(packed, width, 500, 3) == ids[500:503]).all()
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def signature(text):
+    """order_minhash by its words: each entry from the k-mers of its bin on."""
+    w = words_of(text)
+    if not w:
+        return []
+    kmers = []
+    for i in range(max(1, len(w) - 1)):
+        h = xxhash.xxh64_intdigest(w[i].encode(), 42)
+        kmers.append((xxhash.xxh64_intdigest(w[i + 1].encode(), h) if i + 1 < len(w) else h, i))
+    mask = (1 << 64) - (1 << 24)
+    listed = sorted(signed(h & mask | i) for h, i in kmers)
+    numbered, seen = [], Counter()
+    for x in listed:
+        top = x & ~((1 << 24) - 1)
+        nth, seen[top] = seen[top], seen[top] + 1
+        other = xxhash.xxh64_intdigest(nth.to_bytes(4, "little"), xxhash.xxh64_intdigest((top % 2**64).to_bytes(8, "little"), 42))
+        numbered.append(signed(other & mask | x & ((1 << 24) - 1)) if nth else x)
+    numbered.sort()
+    held = Counter()
+    kept = []
+    for x in numbered:
+        held[x >> 58] += 1
+        if held[x >> 58] <= 3:
+            kept.append(x)
+    out = []
+    for b in range(64):
+        first = next((i for i, x in enumerate(kept) if x >> 58 >= b - 32), len(kept))
+        drawn = [kept[(first + i) % len(kept)] for i in range(min(3, len(kept)))]
+        code = 42
+        for x in sorted(drawn, key=lambda x: (x & ((1 << 24) - 1), (x % 2**64) >> 25)):
+            code = xxhash.xxh64_intdigest(((x % 2**64) >> 25).to_bytes(8, "little"), code)
+        out.append(b * 65536 + (code & 65535))
+    return out
+
+
 def test_op7(docs, rows):
+    """All columns against brute force; of rows that share an id only equal ones are here."""
     got = fingerprints.fingerprints(docs).collect()
     known = sorted([(r[0] is not None, r[0] or 0, r[1] or "") for r in rows])
     expected = []
+    like = lambda a, b: 1.0 if not a and not b else len(set(a) & set(b)) / 64
+    text = lambda e: "".join(f"{v:06x}" for v in e)
     for n, (has, i, t) in enumerate(known):
         half = len(t) // 2
-        edited = t[: len(t) - half] + known[(n + 1) % len(known)][2][:half]
-        expected.append((i if has else None, len(t), hashlib.sha256(edited.encode()).hexdigest()))
-    assert multiset(r[:3] for r in got) == multiset(expected)
-    by_text = {}
-    for r in got:
-        t = next(x[1] or "" for x in rows if x[0] == r.doc_id)
-        assert by_text.setdefault(t, r.fingerprint) == r.fingerprint
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-    long = next(r for r in got if r.doc_id == 6)
-    assert long.near_edited > long.near_next or long.near_next == 1 or long.near_next > 0.5
+        after = known[(n + 1) % len(known)][2]
+        edited = t[: len(t) - half] + after[:half]
+        own, other = signature(t), signature(edited)
+        expected.append((i if has else None, len(t), hashlib.sha256(edited.encode()).hexdigest(), text(own), text(other), like(own, other), like(own, signature(after))))
+    assert multiset(got) == multiset(expected)
+
+
+def test_op7_ranges(spark, monkeypatch):
+    """One id of a third of the rows is dealt to several ranges; every row but the last still has another as its next, ids ascending."""
+    monkeypatch.setattr(fingerprints, "PART_ROWS", 5)
+    rows = [(i if i % 3 else 30, f"text {i} of many") for i in range(120)] + [(None, f"none {i}") for i in range(40)] + [(2**63 - 1, "last")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = fingerprints.with_next(df, ["doc_id", "text"]).collect()
+    assert multiset((r.doc_id, r.text) for r in got) == multiset(rows) and multiset((r.next_doc_id, r.next_text) for r in got) == multiset(rows)
+    number = lambda i: -1 if i is None else i
+    assert sum(number(r.next_doc_id) < number(r.doc_id) for r in got) == 1
+    step, seen, at = {(r.doc_id, r.text): (r.next_doc_id, r.next_text) for r in got}, set(), (2**63 - 1, "last")
+    while at not in seen:
+        seen.add(at)
+        at = step[at]
+    assert len(seen) == len(rows)
 
 
 def test_op7_follows_order(spark):
-    words = [f"w{i}" for i in range(400)]
-    swapped = words[:]
-    for i in range(0, 400, 8):
-        swapped[i : i + 4], swapped[i + 4 : i + 8] = swapped[i + 4 : i + 8], swapped[i : i + 4]
-    texts = [" ".join(words), " ".join(words[:200] + ["new"] + words[200:]), " ".join(swapped), " ".join(words[::-1])]
-    df = spark.createDataFrame([(t,) for t in texts], "text string").select(fingerprints.order_minhash(__import__("pyspark.sql.functions", fromlist=["col"]).col("text")).alias("e"))
-    e = [set(r.e) for r in df.collect()]
-    assert len(e[0] & e[1]) > len(e[0] & e[2]) > len(e[0] & e[3])
+    from pyspark.sql import functions as F
+
+    for n in (40, 400):
+        words = [f"w{i}" for i in range(n)]
+        swapped = words[:]
+        for i in range(0, n, 8):
+            swapped[i : i + 4], swapped[i + 4 : i + 8] = swapped[i + 4 : i + 8], swapped[i : i + 4]
+        texts = [words, words[: n // 2] + ["new"] + words[n // 2 :], words[n // 2 :] + words[: n // 2], swapped, words[::-1]]
+        df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "k int, text string").select("k", fingerprints.order_minhash(F.col("text")).alias("e"))
+        e = [set(r.e) for r in sorted(df.collect())]
+        near = [len(e[0] & x) / 64 for x in e]
+        assert near[1] > 0.6 and near[2] < 0.5 and near[3] < near[1] - 0.2 and near[4] < 0.1, near
 
 
 def test_op8(spark):
@@ -321,6 +435,33 @@ def test_op9(docs, rows):
     assert [r.curve for r in sorted(got, key=lambda r: (r.shard, r.slot))] == sorted(r.curve for r in got)
 
 
+def test_op9_files(spark, docs, rows, empty, tmp_path):
+    """Files hold all rows and columns by the law, and prune: a range of any dimension is in part of them."""
+    import pyarrow.parquet as pq
+
+    sharding.write_shards(docs, str(tmp_path / "clashes"))
+    back = spark.read.parquet(str(tmp_path / "clashes"))
+    assert set(back.columns) == {*docs.columns, "shard_number"}
+    assert multiset((r.doc_id, r.text, r.source, r.shard, r.curve) for r in back.collect()) == multiset((r[0], r[1], r[3], "own shard", "own curve") for r in rows)
+    sizes = Counter(r.shard_number for r in back.collect())
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    assert sharding.write_shards(empty, str(tmp_path / "empty")) is None
+    with pytest.raises(ValueError):
+        sharding.write_shards(docs.withColumnRenamed("key", "shard_number"), str(tmp_path / "no"))
+    many = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sharding.write_shards(many, str(tmp_path / "many"), 8, 20)
+    files = list((tmp_path / "many").rglob("*.parquet"))
+    ends = []
+    for f in files:
+        group = pq.read_metadata(f).row_group(0)
+        stats = {group.column(i).path_in_schema: group.column(i).statistics for i in range(group.num_columns)}
+        ends.append({c: (stats[c].min, stats[c].max) for c in ("doc_id", "lang", "source")})
+    assert len(files) >= 40
+    for column, low, high in (("doc_id", 100, 150), ("lang", "de", "de"), ("source", *[many.groupBy("source").count().orderBy("count").first().source] * 2)):
+        hit = sum(e[column][0] <= high and e[column][1] >= low for e in ends)
+        assert hit <= 0.7 * len(files), (column, hit, len(files))
+
+
 def test_hilbert_neighbours(spark):
     from pyspark.sql import functions as F
 
@@ -340,9 +481,10 @@ def repeated(texts, window):
     return out
 
 
-@pytest.mark.parametrize("chunk", [1_500_000, 50])
-def test_op10(docs, rows, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, group", [(1_500_000, 32 << 20), (50, 32 << 20), (3000, 2000)])
+def test_op10(docs, rows, monkeypatch, chunk, group):
     monkeypatch.setattr(repeats, "CHUNK_WORDS", chunk)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group)
     expected = [(r[0], *x) for r, x in zip(rows, repeated([r[1] for r in rows], 35))]
     assert multiset(repeats.repeats_digest(docs).collect()) == multiset(expected)
 
@@ -366,3 +508,19 @@ def test_empty_tables(spark, empty):
         encoding.token_counts(empty, path), packing.blocks_digest(empty, path, 2), fingerprints.fingerprints(empty), langid.language_digest(empty), sharding.shard(empty), repeats.repeats_digest(empty), secrets.redacted(empty),
     ):
         assert made.count() == 0
+
+
+def test_components(spark):
+    """Chains, stars and hubs of more edges than one task takes, against union by hand."""
+    from screenloom.llm.graph import components
+
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(200, 260)] + [(300, i) for i in range(301, 330)] + [(rng.randint(400, 450), rng.randint(400, 450)) for _ in range(30)] + [(5, 300)]
+    label = {x: x for e in edges for x in e}
+    for _ in range(60):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame(edges, "u long, v long")
+    for hub in (100_000, 7):
+        assert {r.node: r.component for r in components(df, hub).collect()} == {n: c for n, c in label.items() if any(n in e and e[0] != e[1] for e in edges)}
+    assert components(df.limit(0)).count() == 0

@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import two_sided_p
+from ..plans.store import written
+from .order import ranked
+
 
 def poisson_mixture(values: np.ndarray, restarts: int = 5, rounds: int = 100, weights: np.ndarray | None = None) -> np.ndarray:
     """Posterior of the larger of two Poisson rates for each count; the best of several deterministic starts.
@@ -51,18 +55,55 @@ def assign_mixture(guide_counts: DataFrame, threshold: float = 0.8) -> DataFrame
 
 
 def glm_score(moments: DataFrame) -> DataFrame:
-    """Score test of a log-linear count model with overdispersion, from the moments (guide, gene, m, rest, s1, q1, s0, q0) of two groups."""
+    """(guide, gene, score_z): score test of a log-linear count model with overdispersion, from the moments (guide, gene, m, rest, s1, q1, s0, q0) of two groups."""
+    n, both = F.col("m") + F.col("rest"), F.col("s1") + F.col("s0")
+    mean = both / n
+    spread = F.greatest(((F.col("q1") + F.col("q0")) / n - mean * mean - mean) / F.greatest(mean * mean, F.lit(1e-12)), F.lit(0.0))
+    info = F.col("m") * F.col("rest") / n * (mean + spread * mean * mean)
+    return moments.select("guide", "gene", F.round((F.col("s1") - F.col("m") * mean) / F.sqrt(F.greatest(info, F.lit(1e-12))), 6).alias("score_z"))
 
-    def fit(batches):
-        for p in batches:
-            n, mean = p["m"] + p["rest"], (p["s1"] + p["s0"]) / (p["m"] + p["rest"])
-            var = (p["q1"] + p["q0"]) / n - mean**2
-            spread = np.maximum((var - mean) / np.maximum(mean**2, 1e-12), 0)
-            score = p["s1"] - p["m"] * mean
-            info = p["m"] * p["rest"] / n * (mean + spread * mean**2)
-            yield pd.DataFrame({"guide": p["guide"], "gene": p["gene"], "score_z": np.round(score / np.sqrt(np.maximum(info, 1e-12)), 6)})
 
-    return moments.mapInPandas(fit, "guide long, gene long, score_z double")
+def strata(cells: DataFrame, depths: list[float]) -> DataFrame:
+    """cells (cell, batch, depth) with stratum: its batch and how many of the ascending `depths` its depth reaches."""
+    level = sum(((F.col("depth") >= d).cast("int") for d in depths), F.lit(0))
+    return cells.withColumn("stratum", F.concat_ws(":", F.col("batch"), level.cast("string")))
+
+
+def stratified_score(counts: DataFrame, treated: DataFrame, cells: DataFrame, depths: list[float], unit: str = "guide", digits: int = 6) -> DataFrame:
+    """(unit, gene, observed, expected, log2_fc, z, p_value) of every pair with a count in a treated cell: negative-binomial score test with covariates.
+
+    counts (cell, gene, n), treated (cell, unit), cells (cell, batch, depth). Under the null model a gene's mean in a cell is a rate of its batch
+    times the cell's depth, which is taken at the mean of its stratum (batch and level of depth); its overdispersion is fitted by moments over
+    all cells. The score of the treated cells against all of them has the variance that is left after the batches' rates are fitted.
+    Cells without a count enter through the strata's sizes, so no zeros are laid out.
+    """
+    placed = strata(cells, depths).select("cell", "batch", "stratum", "depth")
+    sizes = placed.groupBy("batch", "stratum").agg(F.count("*").alias("cells"), F.avg("depth").alias("depth"))
+    known = counts.join(placed.select("cell", "stratum"), "cell")
+    own = known.groupBy("gene", "stratum").agg(F.sum("n").alias("y"), F.sum(F.col("n") * F.col("n")).alias("q"))
+    # every gene in every stratum of a batch where it has a count
+    rates = own.join(sizes, "stratum").groupBy("gene", "batch").agg(F.sum("y").alias("y_batch"))
+    depth = sizes.groupBy("batch").agg(F.sum(F.col("cells") * F.col("depth")).alias("depth_batch"))
+    means = rates.join(depth, "batch").join(sizes, "batch").select("gene", "batch", "stratum", "cells", (F.col("y_batch") / F.col("depth_batch") * F.col("depth")).alias("mean"))
+    joined = means.join(own, ["gene", "stratum"], "left").na.fill(0, ["y", "q"])
+    square = F.col("mean") * F.col("mean")
+    left = F.sum(F.col("q") - 2 * F.col("y") * F.col("mean") + F.col("cells") * square)
+    spread = joined.groupBy("gene").agg(F.greatest(F.lit(0.0), (left - F.sum(F.col("cells") * F.col("mean"))) / F.sum(F.col("cells") * square)).alias("spread"))
+    model = written(means.join(spread, "gene").select("gene", "batch", "stratum", "cells", "mean", (1 + F.col("spread") * F.col("mean")).alias("scale")), "model")
+    whole = model.groupBy("gene", "batch").agg(F.sum(F.col("cells") * F.col("mean") / F.col("scale")).alias("whole"))
+    mine = written(known.join(treated, "cell").groupBy(unit, "gene", "stratum").agg(F.sum("n").alias("y")), "mine")
+    held = treated.join(placed.select("cell", "stratum"), "cell").groupBy(unit, "stratum").agg(F.count("*").alias("m"))
+    tested = mine.select(unit, "gene").distinct().join(held, unit).join(model.drop("cells"), ["gene", "stratum"]).join(mine, [unit, "gene", "stratum"], "left")
+    y, mu = F.coalesce("y", F.lit(0)), F.col("m") * F.col("mean")
+    batches = tested.groupBy(unit, "gene", "batch").agg(
+        F.sum(y).alias("observed"), F.sum(mu).alias("expected"), F.sum((y - mu) / F.col("scale")).alias("score"), F.sum(mu / F.col("scale")).alias("info")
+    )
+    joined = batches.join(whole, ["gene", "batch"]).groupBy(unit, "gene").agg(
+        F.sum("observed").alias("observed"), F.sum("expected").alias("expected"), F.sum("score").alias("score"), F.sum(F.col("info") - F.col("info") * F.col("info") / F.col("whole")).alias("info")
+    )
+    z = F.when(F.col("info") > 1e-9, F.col("score") / F.sqrt("info"))
+    made = joined.select(unit, "gene", "observed", "expected", F.log2((F.col("observed") + 0.01) / (F.col("expected") + 0.01)).alias("log2_fc"), z.alias("z"))
+    return made.select(unit, "gene", F.col("observed").cast("long").alias("observed"), *[F.round(c, digits).alias(c) for c in ("expected", "log2_fc", "z")], F.round(two_sided_p(F.col("z")), digits).alias("p_value"))
 
 
 def normal_mixture(levels: DataFrame, rounds: int = 50) -> DataFrame:
@@ -72,7 +113,7 @@ def normal_mixture(levels: DataFrame, rounds: int = 50) -> DataFrame:
     all groups at once; the driver holds a row for each group. Variances are at least a thousandth of the group's.
     """
     spark, schema = levels.sparkSession, "batch string, tag string, m0 double, v0 double, m1 double, v1 double, share double"
-    levels = levels.localCheckpoint()
+    levels = written(levels, "levels")
     w, x = F.col("weight").cast("double"), F.col("value")
 
     def sums(df: DataFrame, upper: Column) -> list:
@@ -123,68 +164,170 @@ def hashing_tags(tag_counts: DataFrame) -> DataFrame:
     return marked.select("cell", F.when(F.col("tags") == "", "negative").otherwise(F.col("tags")).alias("tags"))
 
 
-def second_knee(ranks: DataFrame, first: int) -> DataFrame:
-    """The chord rule on the concave part of the smoothed curve up to the first knee; ranks are thinned to at most 2,000 points of equal steps."""
-    step = max(1, first // 2000)
-    points = ranks.where((F.col("rank") <= first) & (F.col("rank") % step == 0)).select("rank", "log_total")
-
-    def fit(batches):
-        p = pd.concat(list(batches)).sort_values("rank")
-        x, y = p["rank"].to_numpy(float), p["log_total"].to_numpy(float)
-        if len(np.unique(x)) >= 4:
-            z = (x - x.mean()) / max(x.std(), 1e-9)
-            bend = np.polyval(np.polyder(np.polyfit(z, y, min(5, len(x) - 1)), 2), z)
-            if (bend < 0).any() and (bend > 0).any():
-                x, y = x[bend < 0], y[bend < 0]
-        if len(x):
-            dx, dy = x[-1] - x[0], y[-1] - y[0]
-            far = np.abs(dy * (x - x[0]) - dx * (y - y[0]))
-            yield pd.DataFrame({"rank": [int(x[int(far.argmax())])]})
-
-    return points.coalesce(1).mapInPandas(fit, "rank long")  # at most 2,000 rows
+def spline_basis(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
+    """Columns 1, x, x^2, x^3 and (x - k)^3 beyond each knot, for x scaled to 0 .. 1."""
+    return np.stack([np.ones_like(x), x, x**2, x**3, *(np.maximum(x - k, 0) ** 3 for k in knots)], axis=1)
 
 
-def principal_components(vectors: DataFrame, k: int = 2) -> DataFrame:
-    """(id, pc array) of (id, features array): components from the covariance, which is gathered as sums of outer products."""
-    width = len(vectors.first().features)
+def smoothing_spline(points: DataFrame, x: str, y: str, last: int, most_knots: int = 31) -> tuple[np.ndarray, np.ndarray]:
+    """(knots, coefficients) of the cubic least-squares spline of points with the fewest even knots whose squared residuals add up to their number at most.
+
+    x runs from 1 to last and is scaled to 0 .. 1. The normal equations are summed over all points by their partitions, one row of numbers each;
+    knots are 0, 1, 3, 7 and so on up to most_knots.
+    """
+    knots = np.empty(0)
+    while True:
+
+        def sums(batches, knots=knots):
+            size = 4 + len(knots)
+            outer, cross, square, n = np.zeros((size, size)), np.zeros(size), 0.0, 0
+            for p in batches:
+                a, b = spline_basis((p["x"].to_numpy(float) - 1) / max(1, last - 1), knots), p["y"].to_numpy(float)
+                outer, cross, square, n = outer + a.T @ a, cross + a.T @ b, square + b @ b, n + len(b)
+            yield pd.DataFrame({"n": [n], "square": [float(square)], "cross": [cross.tolist()], "outer": [outer.ravel().tolist()]})
+
+        parts = points.select(F.col(x).alias("x"), F.col(y).alias("y")).mapInPandas(sums, "n long, square double, cross array<double>, outer array<double>").collect()
+        size, n = 4 + len(knots), sum(r.n for r in parts)
+        outer, cross = np.sum([r.outer for r in parts], axis=0).reshape(size, size), np.sum([r.cross for r in parts], axis=0)
+        made = np.linalg.lstsq(outer, cross, rcond=1e-12)[0]
+        residual = sum(r.square for r in parts) - 2 * made @ cross + made @ outer @ made
+        if residual <= n or len(knots) >= most_knots:
+            return knots, made
+        knots = np.linspace(0, 1, 2 * len(knots) + 3)[1:-1]
+
+
+def second_knee(ranks: DataFrame, first: int) -> DataFrame:
+    """(rank) of the point farthest from the chord of the bent segment of the curve (rank, log_total) up to the first knee; no row with fewer than four ranks.
+
+    The segment lies around the rank where the smoothing spline's second derivative is least, between the nearest ranks on either
+    side where it isn't negative; it is the whole curve if there are none, or if the derivative has one sign over the middle four fifths. All ranks
+    are used: the derivative is linear between knots, and so are the ranks of its sign and its least value found without laying them out.
+    """
+    points = ranks.where(F.col("rank") <= first).select("rank", "log_total")
+    if first < 4:
+        return points.select("rank").limit(0)
+    knots, made = smoothing_spline(points, "rank", "log_total", first)
+
+    def bend(rank: np.ndarray) -> np.ndarray:
+        t = (rank - 1) / max(1, first - 1)
+        return 2 * made[2] + 6 * made[3] * t + sum((6 * c * np.maximum(t - k, 0) for c, k in zip(made[4:], knots)), np.zeros_like(t))
+
+    # between these ranks the derivative is linear: knots, ends and zeros, each with its neighbours
+    marks = np.array([1.0, first, *(1 + k * (first - 1) for k in knots)])
+    order = np.sort(marks)
+    values = bend(order)
+    zeros = [a + (b - a) * va / (va - vb) for a, b, va, vb in zip(order, order[1:], values, values[1:]) if va * vb < 0]
+    tenth = max(1, round(first * 0.1))
+    middle = (tenth + 1, first - tenth) if first > 2 * tenth else (1, first)
+    near = np.unique(np.clip([np.floor(m) + d for m in [*marks, *zeros, *middle] for d in (-1, 0, 1, 2)], 1, first))
+    at = bend(near)
+    inner = at[(near >= middle[0]) & (near <= middle[1])]
+    low, high = 1, first
+    if (inner < 0).any() and (inner > 0).any():
+        least = int(near[at.argmin()])
+        before, after = near[(at >= 0) & (near <= least)], near[(at >= 0) & (near >= least)]
+        if len(before) and len(after) and before[-1] < after[0]:
+            low, high = int(before[-1]), int(after[0])
+    segment = points.where(F.col("rank").between(low, high))
+    ends = segment.agg(F.min_by("log_total", "rank").alias("y0"), F.max_by("log_total", "rank").alias("y1"))
+    away = F.round(F.abs((F.col("y1") - F.col("y0")) * (F.col("rank") - low) - (high - low) * (F.col("log_total") - F.col("y0"))), 6)
+    return segment.crossJoin(F.broadcast(ends)).agg(F.max_by("rank", F.struct(away, -F.col("rank"))).alias("rank")).where("rank is not null")
+
+
+def reducer(vectors: DataFrame, k: int):
+    """A function from (id, features) to (id, pc): the first k principal components of vectors, scaled by population deviations.
+
+    The covariance is gathered as sums of outer products, a row of width squared numbers for each partition.
+    """
+    width = vectors.agg(F.max(F.size("features")).alias("n")).first().n or 0
 
     def sums(batches):
         total, outer, n = np.zeros(width), np.zeros((width, width)), 0
         for p in batches:
-            x = np.stack(p["features"].to_numpy())
-            total, outer, n = total + x.sum(axis=0), outer + x.T @ x, n + len(x)
+            if len(p):
+                x = np.stack(p["features"].to_numpy())
+                total, outer, n = total + x.sum(axis=0), outer + x.T @ x, n + len(x)
         yield pd.DataFrame({"n": [n], "total": [total.tolist()], "outer": [outer.ravel().tolist()]})
 
-    parts = vectors.select("features").mapInPandas(sums, "n long, total array<double>, outer array<double>")
-    rows = parts.where("n > 0").collect()  # one row of width squared numbers for each partition
+    rows = vectors.select("features").mapInPandas(sums, "n long, total array<double>, outer array<double>").where("n > 0").collect()
     n = sum(r.n for r in rows)
-    mean = np.sum([r.total for r in rows], axis=0) / n
-    cov = np.sum([r.outer for r in rows], axis=0).reshape(width, width) / n - np.outer(mean, mean)
+    mean = np.sum([r.total for r in rows], axis=0) / n if n else np.zeros(width)
+    cov = np.sum([r.outer for r in rows], axis=0).reshape(width, width) / n - np.outer(mean, mean) if n else np.eye(width)
     scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
     _, vec = np.linalg.eigh(cov / np.outer(scale, scale))
     axes = vec[:, ::-1][:, :k]
-    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(k)])
+    if width:
+        axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])])
 
     def place(batches):
         for p in batches:
-            x = (np.stack(p["features"].to_numpy()) - mean) / scale
-            yield pd.DataFrame({"id": p["id"], "pc": [np.round(r, 6).tolist() for r in x @ axes]})
+            if len(p):
+                x = (np.stack(p["features"].to_numpy()) - mean) / scale
+                yield pd.DataFrame({"id": p["id"], "pc": [np.round(r, 6).tolist() for r in x @ axes]})
 
-    return vectors.select("id", "features").mapInPandas(place, "id long, pc array<double>")
+    return lambda df: df.select("id", "features").mapInPandas(place, "id long, pc array<double>")
 
 
-def doublet_scores(vectors: DataFrame, sample: int = 500, seed: int = 42) -> DataFrame:
-    """(id, score) of (id, features array): how near a cell is to simulated pairs among a bounded sample of cells and as many pairs."""
-    rows = np.array([r.features for r in vectors.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).collect()])
-    rng = np.random.default_rng(seed)
-    mixed = (rows[rng.integers(0, len(rows), len(rows))] + rows[rng.integers(0, len(rows), len(rows))]) / 2
-    known, kind, k = np.concatenate([rows, mixed]), np.repeat([0.0, 1.0], len(rows)), max(3, int(math.sqrt(len(rows))))
+def principal_components(vectors: DataFrame, k: int = 2) -> DataFrame:
+    """(id, pc array) of (id, features array), without rows for an empty table."""
+    return reducer(vectors, k)(vectors)
+
+
+def paired(vectors: DataFrame, ratio: int = 2, seed: int = 42) -> DataFrame:
+    """Simulated doublets (id, features) of (id, features array): each cell's mean with each of the `ratio` cells that follow it in the order of a hash of the id."""
+    hashed = written(vectors.select("id", "features", F.xxhash64("id", F.lit(seed)).alias("h")), "hashed")
+    order = written(ranked(hashed.select("id", "h"), "h", ["id"], "place"), "order")
+    n = order.count()
+    placed = hashed.join(order, ["id", "h"]).select("place", "features")
+    wanted = placed.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(ratio)))).select("place", "features", ((F.col("place") - 1 + F.col("step")) % max(1, n) + 1).alias("other"), "step")
+    both = wanted.join(placed.select(F.col("place").alias("other"), F.col("features").alias("more")), "other")
+    return both.select((F.col("place") * ratio + F.col("step")).alias("id"), F.zip_with("features", "more", lambda a, b: (a + b) / 2).alias("features"))
 
-    def score(batches):
-        for p in batches:
-            x = np.stack(p["features"].to_numpy())
-            away = (x**2).sum(axis=1)[:, None] - 2 * x @ known.T + (known**2).sum(axis=1)[None, :]
-            near = np.argpartition(away, min(k, away.shape[1] - 1), axis=1)[:, :k]
-            yield pd.DataFrame({"id": p["id"], "score": np.round(kind[near].mean(axis=1), 6)})
 
-    return vectors.select("id", "features").mapInPandas(score, "id long, score double")
+def doublet_scores(vectors: DataFrame, k: int = 15, ratio: int = 2, components: int = 8, leaf: int = 2000, margin: float = 0.1, seed: int = 42) -> DataFrame:
+    """(id, score) of (id, features array): the share of simulated doublets among each cell's k nearest neighbours, as a likelihood of being one.
+
+    Simulated doublets are made of all cells, `ratio` for each; both kinds are reduced to principal components. Points are
+    dealt to leaves of about `leaf` points by quantiles of one component after the other; a point whose component is within `margin` (in shares of
+    its rank) of a bound is a neighbour to the leaf beyond it too. So neighbours are searched among all points near a cell; tests measure the recall. Points
+    that can't be told apart by their components are parted by a hash. No cells give no rows.
+    """
+    n = vectors.count()
+    if not n:
+        return vectors.select("id", F.lit(0.0).alias("score"))
+    reduced = reducer(vectors, components)
+    own = reduced(vectors.select("id", "features")).withColumn("kind", F.lit(0))
+    made = reduced(paired(vectors, ratio, seed)).withColumn("kind", F.lit(1))
+    points = written(own.unionByName(made).withColumn("leaf", F.lit(0).cast("long")).withColumn("home", F.lit(True)), "points")
+    for level in range(max(0, math.ceil(math.log2(max(1, n * (1 + ratio) / leaf))))):
+        value = F.col("pc")[level % components] + F.xxhash64("id", "kind", F.lit(level)) / 2.0**64 * 1e-9
+        valued = points.withColumn("value", value)
+        cuts = valued.where("home").groupBy("leaf").agg(F.percentile_approx("value", [0.5 - margin, 0.5, 0.5 + margin], 10_000).alias("c"))
+        sides = F.array(
+            F.when(F.col("value") <= F.col("c")[2], F.struct(F.lit(0).alias("side"), (F.col("home") & (F.col("value") <= F.col("c")[1])).alias("home"))),
+            F.when(F.col("value") >= F.col("c")[0], F.struct(F.lit(1).alias("side"), (F.col("home") & (F.col("value") > F.col("c")[1])).alias("home"))),
+        )
+        split = valued.join(cuts, "leaf").select("id", "kind", "pc", "leaf", F.explode(F.array_compact(sides)).alias("to"))
+        points = written(split.select("id", "kind", "pc", (F.col("leaf") * 2 + F.col("to.side")).alias("leaf"), F.col("to.home").alias("home")), "points")
+
+    def score(p: pd.DataFrame) -> pd.DataFrame:
+        x, kind = np.stack(p["pc"].to_numpy()), p["kind"].to_numpy(float)
+        asked = np.flatnonzero(p["home"].to_numpy(bool) & (kind == 0))
+        out = np.zeros(len(asked))
+        size = min(k, len(x) - 1)
+        for lo in range(0, len(asked), 512):
+            rows = asked[lo : lo + 512]
+            away = (x[rows] ** 2).sum(axis=1)[:, None] - 2 * x[rows] @ x.T + (x**2).sum(axis=1)[None, :]
+            away[np.arange(len(rows)), rows] = np.inf
+            near = np.argpartition(away, max(0, size - 1), axis=1)[:, :size] if size else np.empty((len(rows), 0), int)
+            out[lo : lo + 512] = (kind[near].sum(axis=1) + 1) / (size + 2)
+        # the share of simulated ones among neighbours, against their share among all points
+        odds = out / (1 - out) / ratio
+        return pd.DataFrame({"id": p["id"].to_numpy()[asked], "score": np.round(odds / (1 + odds), 6)})
+
+    return points.groupBy("leaf").applyInPandas(score, "id long, score double")
+
+
+def doublet_calls(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """scores with is_doublet: a score above the threshold, that of a cell whose neighbours are as likely simulated as not."""
+    return scores.withColumn("is_doublet", F.col("score") > threshold)

@@ -6,27 +6,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 32
+from ..functions.expressions import bisect
 
+ROWS, MOST = 200_000, 1024  # rows that a bucket is meant to have, and the most buckets
+SHARES = [i / MOST for i in range(1, MOST)]
+TIE_SHARES = [i / 64 for i in range(1, 64)]
 
-def running(df: DataFrame, key: str, ties: list[str], aggregates: dict[str, tuple[str, Column]], descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
+
+def dealt(df: DataFrame, key: str, ties: list[str], descending: bool = False, rows: int = ROWS) -> DataFrame:
+    """df with _bucket: buckets of about `rows` rows (at most MOST buckets) that follow each other in the order of key, then ties.
+
+    Bounds are quantiles of key. A value that takes several of them has as many buckets of its own, cut by quantiles of the first tie if that
+    is a number; so equal keys are spread too.
+    """
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    tie = ties[0] if ties and dict(df.dtypes)[ties[0]] in numeric else None
+    asked = [F.count("*").alias("n"), F.percentile_approx(key, SHARES, 20_000).alias("key")]
+    found = df.agg(*asked, *([F.percentile_approx(tie, TIE_SHARES, 10_000).alias("tie")] if tie else [])).first()
+    wanted = min(MOST, max(8, found.n // rows))
+    cuts = [found.key[i * MOST // wanted - 1] for i in range(1, wanted)] if found.key else []
+    value, bounds = F.col(key), F.lit(cuts) if cuts else F.expr("cast(array() as array<double>)")
+    low = bisect(bounds, value)
+    own = F.greatest(F.lit(1), bisect(bounds, value, right=True) - low)
+    place = F.floor(bisect(F.lit(found.tie), F.col(tie)) * own / len(TIE_SHARES + [1])).cast("int") if tie and found.tie else F.lit(0)
+    first = F.lit(len(cuts)) - (low + own - 1) if descending else low
+    return df.withColumn("_bucket", first + place)
+
+
+def running(df: DataFrame, key: str, ties: list[str], aggregates: dict[str, tuple[str, Column]], descending: bool = False, rows: int = ROWS) -> DataFrame:
     """df with running sum, min or max columns over the order of key, then ties.
 
-    Rows are dealt to buckets by quantiles of key, each bucket is ordered alone, and what earlier buckets add up to
-    (one row a bucket) is joined to it. Key must not be null.
+    Rows are dealt to buckets, each is ordered alone, and what earlier buckets add up to (one row a bucket) is joined to it. Key must not be
+    null. df is read for its quantiles, its buckets' totals and the result: hand in a written table if it is dear.
     """
-    cuts = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 1000).alias("c")).first().c or []
-    cuts = sorted(set(cuts))
-    place = sum(((F.col(key) > F.lit(c)).cast("int") for c in cuts), F.lit(0))
-    dealt = df.withColumn("_bucket", (F.lit(len(cuts)) - place) if descending else place)
+    parts = dealt(df, key, ties, descending, rows)
     order = W.partitionBy("_bucket").orderBy(F.desc(key) if descending else F.asc(key), *ties).rowsBetween(W.unboundedPreceding, 0)
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     call = {"sum": F.sum, "min": F.min, "max": F.max}
     join = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + b, "min": F.least, "max": F.greatest}
-    totals = dealt.groupBy("_bucket").agg(*[call[kind](expr).alias(f"_{n}") for n, (kind, expr) in aggregates.items()])
+    totals = parts.groupBy("_bucket").agg(*[call[kind](expr).alias(f"_{n}") for n, (kind, expr) in aggregates.items()])
     earlier = totals.select("_bucket", *[call[kind](f"_{n}").over(before).alias(f"_{n}") for n, (kind, _) in aggregates.items()])
-    inside = dealt.select("*", *[call[kind](expr).over(order).alias(n) for n, (kind, expr) in aggregates.items()])
-    joined = inside.join(F.broadcast(earlier), "_bucket")  # at most `buckets` rows
+    inside = parts.select("*", *[call[kind](expr).over(order).alias(n) for n, (kind, expr) in aggregates.items()])
+    joined = inside.join(F.broadcast(earlier), "_bucket")  # at most MOST rows
     return joined.select(*df.columns, *[join[kind](F.col(f"_{n}"), F.col(n)).alias(n) for n, (kind, _) in aggregates.items()])
 
 

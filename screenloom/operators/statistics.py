@@ -2,47 +2,34 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .order import running
-
+from ..functions.expressions import let, log_gamma
+from ..plans.store import written
+from .order import ranked, running
 
-def p_bucket(p: Column) -> Column:
-    """Buckets that rise with p: half powers of ten below 1/32, then even steps of 1/32."""
-    small = F.greatest(F.lit(0), F.floor(2 * (F.log10(F.greatest(p, F.lit(1e-12))) + 12)))
-    return F.when(p < 1 / 32, small).otherwise(100 + F.floor(p * 32)).cast("int")
 
-
-def bh(results: DataFrame, p: str, ties: list[str], name: str = "q_value", by: list[str] | None = None) -> DataFrame:
+def bh(results: DataFrame, p: str, name: str = "q_value", by: list[str] | None = None) -> DataFrame:
     """Benjamini-Hochberg adjusted values; rows with a null p keep a null.
 
-    Without `by` the whole table is one family: rows are ranked within fixed buckets of p, and the counts and minima of
-    other buckets (a row each) are joined to them, so no task orders all rows.
+    Equal p have one adjusted value, that of the last of them, so only distinct p with their counts are ordered (within each
+    family of `by`, or over buckets for the whole table) and then joined to the rows. results is read twice: hand in a written table if it is dear.
     """
-    known, unknown = results.where(F.col(p).isNotNull()), results.where(F.col(p).isNull())
-    keys, bounds = (by, known) if by else (["_b"], known.withColumn("_b", p_bucket(F.col(p))))
-    up = W.partitionBy(*keys).orderBy(p, *ties)
-    down = W.partitionBy(*keys).orderBy(F.desc(p), *[F.desc(t) for t in ties]).rowsBetween(W.unboundedPreceding, 0)
+    keys = by or []
+    steps = results.where(F.col(p).isNotNull()).groupBy(*keys, p).agg(F.count("*").alias("_c"))
     if by:
-        stepped = bounds.withColumn("_q", F.col(p) * F.count("*").over(W.partitionBy(*by)) / F.row_number().over(up))
-        low = F.min("_q").over(down)
-        done = stepped.withColumn(name, F.least(F.lit(1.0), low)).drop("_q")
+        up, down = W.partitionBy(*by).orderBy(p), W.partitionBy(*by).orderBy(F.desc(p))
+        placed = steps.select("*", F.sum("_c").over(up).alias("_upto"), F.sum("_c").over(W.partitionBy(*by)).alias("_n"))
+        low = placed.withColumn("_q", F.col(p) * F.col("_n") / F.col("_upto")).withColumn("_low", F.min("_q").over(down))
     else:
-        sizes = bounds.groupBy("_b").agg(F.count("*").alias("_c"))
-        offsets = sizes.select("_b", F.coalesce(F.sum("_c").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_c").over(W.partitionBy(F.lit(0))).alias("_n"))
-        stepped = bounds.join(F.broadcast(offsets), "_b")
-        stepped = stepped.withColumn("_q", F.col(p) * F.col("_n") / (F.col("_before") + F.row_number().over(up))).drop("_before", "_n")
-        minima = stepped.groupBy("_b").agg(F.min("_q").alias("_m"))
-        later = minima.select("_b", F.min("_m").over(W.orderBy(F.desc("_b")).rowsBetween(W.unboundedPreceding, -1)).alias("_later"))
-        low = stepped.withColumn("_low", F.min("_q").over(down)).join(F.broadcast(later), "_b")
-        done = low.withColumn(name, F.least(F.lit(1.0), F.col("_low"), F.col("_later"))).drop("_b", "_q", "_low", "_later")
-    return done.select(*results.columns, name).unionByName(unknown.withColumn(name, F.lit(None).cast("double")))
+        steps = written(steps, "steps")
+        total = steps.agg(F.sum("_c").alias("_n"))  # one row
+        placed = running(steps, p, [], {"_upto": ("sum", F.col("_c"))}).crossJoin(F.broadcast(total))
+        placed = written(placed.select(p, (F.col(p) * F.col("_n") / F.col("_upto")).alias("_q")), "steps")
+        low = running(placed, p, [], {"_low": ("min", F.col("_q"))}, descending=True)
+    return results.join(low.select(*keys, p, F.least(F.lit(1.0), F.col("_low")).alias(name)), [*keys, p], "left").select(*results.columns, name)
 
 
 def bonferroni(results: DataFrame, p: str, name: str = "p_bonferroni") -> DataFrame:
@@ -70,37 +57,54 @@ def areas(scored: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def balanced(scored: DataFrame, ties: list[str], seed: int = 42) -> DataFrame:
-    """All positives and as many negatives, those with the smallest hash."""
+    """All positives and as many negatives (all of them if there are fewer), those with the smallest hash of their ties.
+
+    A hash is the first 15 hexadecimal digits of an MD5. A bound from its quantiles leaves a little more than is wanted, and those are ordered
+    over buckets.
+    """
     positives = scored.where("label = 1")
-    negatives = scored.where("label = 0").orderBy(F.xxhash64(*ties, F.lit(seed)), *ties).limit(positives.count())
-    return positives.unionByName(negatives)
+    text = F.concat_ws(":", *[F.col(t).cast("string") for t in ties], F.lit(str(seed)))
+    hashed = scored.where("label = 0").withColumn("_h", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
+    wanted = positives.count()
+    kept = ranked(hashed, "_h", ties, "_rank").where(F.col("_rank") <= wanted)
+    return positives.unionByName(kept.drop("_h", "_rank"))
 
 
-def gini(values: DataFrame, value: str, by: list[str], ties: list[str], digits: int = 6) -> DataFrame:
-    """Gini coefficient within each group, 0 for a group of zeros."""
-    i = F.row_number().over(W.partitionBy(*by).orderBy(value, *ties))
-    numbered = values.select(*by, value, i.alias("_i"), F.count("*").over(W.partitionBy(*by)).alias("_n"))
-    total = F.sum(value)
-    share = F.sum((2 * F.col("_i") - F.col("_n") - 1) * F.col(value)) / (F.max("_n") * F.nullif(total, F.lit(0)))
-    return numbered.groupBy(*by).agg(F.round(F.coalesce(share, F.lit(0.0)), digits).alias("gini"))
+def gini(values: DataFrame, value: str, by: list[str], digits: int = 6) -> DataFrame:
+    """Gini coefficient within each group, 0 for a group of zeros; only distinct values with their counts are ordered."""
+    steps = values.groupBy(*by, value).agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(W.partitionBy(*by).orderBy(value))
+    placed = steps.select(*by, value, "_c", upto.alias("_upto"), F.sum("_c").over(W.partitionBy(*by)).alias("_n"))
+    # the places of equal values add up to the mean of the first and the last, times their number
+    places = F.col("_c") * (2 * F.col("_upto") - F.col("_c") + 1)
+    share = F.sum((places - F.col("_c") * (F.col("_n") + 1)) * F.col(value)) / (F.max("_n") * F.nullif(F.sum(F.col("_c") * F.col(value)), F.lit(0)))
+    return placed.groupBy(*by).agg(F.round(F.coalesce(share, F.lit(0.0)), digits).alias("gini"))
 
 
 def fisher_greater(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """One-sided Fisher p of [[a, b], [c, d]]; null where a margin is empty."""
-
-    @F.pandas_udf("double")
-    def tail(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-        def choose(n, k):
-            return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-
-        out = []
-        for w, x, y, z in zip(a, b, c, d):
-            row, col, n = w + x, w + y, w + x + y + z
-            if min(row, col, n - row, n - col) == 0:
-                out.append(None)
-                continue
-            logs = [choose(row, k) + choose(n - row, col - k) - choose(n, col) for k in range(int(w), int(min(row, col)) + 1)]
-            out.append(float(min(1.0, np.exp(logs).sum())))
-        return pd.Series(out, dtype="float64")
-
-    return tail(a, b, c, d)
+    """One-sided Fisher p of [[a, b], [c, d]]; null where a margin is empty.
+
+    The chance of the table as it stands, by log-gamma, and of each more extreme one from that before it.
+    """
+
+    def tail(s: Column) -> Column:
+        row, col, n = s["a"] + s["b"], s["a"] + s["c"], s["a"] + s["b"] + s["c"] + s["d"]
+        logs = sum((log_gamma(x + 1.0) for x in (row, n - row, col, n - col)), F.lit(0.0)) - sum((log_gamma(x + 1.0) for x in (n, s["a"], s["b"], s["c"], s["d"])), F.lit(0.0))
+        more = F.least(row, col) - s["a"]
+        steps = F.when(more > 0, F.sequence(F.lit(0).cast("long"), more - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
+
+        def step(t: Column, i: Column) -> Column:
+            part = t["part"] * (s["b"] - i) * (s["c"] - i) / ((s["a"] + i + 1) * (s["d"] + i + 1))
+            return F.struct(part.alias("part"), (t["sum"] + part).alias("sum"))
+
+        start = let(F.exp(logs), lambda p: F.struct(p.alias("part"), p.alias("sum")))
+        p = F.aggregate(steps, start, step, lambda t: F.least(F.lit(1.0), t["sum"]))
+        return F.when(F.least(row, col, n - row, n - col) > 0, p)
+
+    return let(F.struct(*[x.cast("long").alias(k) for k, x in zip("abcd", (a, b, c, d))]), tail)
+
+
+def odds_ratio(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """a d / (b c), infinite where b or c is 0; null where a margin is empty."""
+    empty = F.least(a + b, c + d, a + c, b + d) == 0
+    return F.when(~empty, F.when(b * c == 0, F.lit(float("inf"))).otherwise(a * d / F.nullif((b * c).cast("double"), F.lit(0.0))))

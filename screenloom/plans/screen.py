@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators import effects, evaluation, pairs, qc, statistics
-from . import checks
+from . import checks, store
 
 
 @dataclass(frozen=True)
@@ -33,5 +33,5 @@ def analyse(screen: Screen, mito_below: float = 20.0, limit: int | None = 1_000_
     found = effects.effects(counts, screen.assigned.join(passing, "cell", "left_semi"), passing).withColumnRenamed("guide", "guide_id")
     if limit is not None:
         found = found.join(pairs.within_distance(screen.guides, screen.genes, limit).select("guide_id", "gene"), ["guide_id", "gene"], "left_semi")
-    results = statistics.bh(found, "p_value", ["guide_id", "gene"])
+    results = statistics.bh(store.written(found, "effects"), "p_value")
     return {"cells": passing, "results": results, "per_guide": evaluation.per_guide(results, alpha)}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import expressions as ex
 from .operators import effects, evaluation, genomics, guides, models, order, pairs, qc, sequences, statistics
+from .plans import store
 
 STEPS = [10, 50, 100, 150]
 LIMIT = 100_000
@@ -65,23 +66,27 @@ class Screen:
     def effects(self) -> DataFrame:
         return effects.effects(self.counts, self.assigned, self.cells, digits=RESULT_DIGITS).withColumnRenamed("guide", "guide_id")
 
+    @cached_property
+    def kept_effects(self) -> DataFrame:
+        """The effects, worked out once for a query that reads them several times."""
+        return store.written(self.effects, "effects")
+
     @cached_property
     def results(self) -> DataFrame:
-        return statistics.bh(self.effects, "p_value", ["guide_id", "gene"])
+        return statistics.bh(self.kept_effects, "p_value")
 
     @cached_property
     def edges(self) -> DataFrame:
-        return self.effects.where("abs(z) >= 3").select(F.concat(F.lit("s"), F.col("guide_id").cast("string")).alias("src"), F.concat(F.lit("g"), F.col("gene").cast("string")).alias("dst"), F.abs("log2_fc").alias("w"))
+        return self.kept_effects.where("abs(z) >= 3").select(F.concat(F.lit("s"), F.col("guide_id").cast("string")).alias("src"), F.concat(F.lit("g"), F.col("gene").cast("string")).alias("dst"), F.abs("log2_fc").alias("w"))
 
     @cached_property
     def reads(self) -> DataFrame:
-        return self.table("documents").select(F.col("doc_id").alias("read_id"), F.substring("text", 1, 80).alias("seq"))
+        return self.table("documents").where("text is not null").select(F.col("doc_id").alias("read_id"), F.col("text").alias("seq"))
 
     @cached_property
     def spacers(self) -> DataFrame:
-        """Guides found in the reads' own alphabet: 6 letters from each benchmark item."""
-        first = self.table("benchmark").select(F.col("item_id").alias("guide_order"), F.substring("text", 2, 6).alias("spacer"))
-        return order.first_per_key(first, ["spacer"], ["guide_order"])
+        """Guides in the reads' own alphabet: the benchmark's items, each text once."""
+        return self.table("benchmark").where("text <> ''").groupBy(F.col("text").alias("spacer")).agg(F.min("item_id").alias("guide_order"))
 
     @cached_property
     def peaks(self) -> DataFrame:
@@ -97,8 +102,8 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 PRE = """
-gc AS (SELECT l_orderkey AS cell, l_partkey AS gene, CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY 1, 2),
-gu AS (SELECT l_orderkey AS cell, l_suppkey AS guide, count(*) AS n FROM lineitem GROUP BY 1, 2),
+gc AS MATERIALIZED (SELECT l_orderkey AS cell, l_partkey AS gene, CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY 1, 2),
+gu AS MATERIALIZED (SELECT l_orderkey AS cell, l_suppkey AS guide, count(*) AS n FROM lineitem GROUP BY 1, 2),
 cells AS (SELECT o_orderkey AS cell, o_orderpriority AS batch FROM orders),
 genes AS (SELECT p_partkey AS gene, p_name AS symbol, p_brand AS chr, p_partkey * 1000 AS pos, p_type = 'SMALL' AS mt FROM part),
 guides AS (SELECT s_suppkey AS guide_id, s_name AS name, 'Brand#' || (s_nationkey + 1) AS chr, s_suppkey * 20000 AS pos, s_nationkey % 5 = 0 AS control,
@@ -108,14 +113,14 @@ metrics AS (SELECT cell, CAST(sum(n) AS BIGINT) AS total, count(*) AS detected,
 EFFECTS = """
 size1 AS (SELECT guide, count(*) AS m FROM gu GROUP BY guide),
 gene_sum AS (SELECT gene, sum(n)::DOUBLE AS s, sum(n * n)::DOUBLE AS q FROM gc GROUP BY gene),
-own AS (SELECT guide, gene, sum(gc.n)::DOUBLE AS s1, sum(gc.n * gc.n)::DOUBLE AS q1 FROM gc JOIN gu USING (cell) GROUP BY 1, 2),
+own AS MATERIALIZED (SELECT guide, gene, sum(gc.n)::DOUBLE AS s1, sum(gc.n * gc.n)::DOUBLE AS q1 FROM gc JOIN gu USING (cell) GROUP BY 1, 2),
 raw AS (SELECT guide AS guide_id, gene, m AS cells, s1 / m AS m1, (s - s1) / (t - m) AS m0, (q1 - s1 * s1 / m) / nullif(m - 1, 0) AS v1, (q - q1 - (s - s1) * (s - s1) / (t - m)) / nullif(t - m - 1, 0) AS v0, t - m AS r
   FROM own JOIN gene_sum USING (gene) JOIN size1 USING (guide), (SELECT count(*) AS t FROM cells)),
 zed AS (SELECT *, (m1 - m0) / nullif(sqrt(v1 / cells + v0 / r), 0) AS z0 FROM raw),
 tee AS (SELECT *, 1 / (1 + 0.3275911 * abs(z0) / sqrt(2)) AS t0 FROM zed),
-eff AS (SELECT guide_id, gene, cells, round(log2((m1 + 0.01) / (m0 + 0.01)), 6) AS log2_fc, round(z0, 6) AS z,
+eff AS MATERIALIZED (SELECT guide_id, gene, cells, round(log2((m1 + 0.01) / (m0 + 0.01)), 6) AS log2_fc, round(z0, 6) AS z,
   round(t0 * (0.254829592 + t0 * (-0.284496736 + t0 * (1.421413741 + t0 * (-1.453152027 + t0 * 1.061405429)))) * exp(-z0 * z0 / 2), 6) AS p_value FROM tee),
-bhr AS (SELECT *, p_value * count(*) OVER () / row_number() OVER (ORDER BY p_value, guide_id, gene) AS q0, row_number() OVER (ORDER BY p_value, guide_id, gene) AS i FROM eff WHERE p_value IS NOT NULL),
+bhr AS MATERIALIZED (SELECT *, p_value * count(*) OVER () / row_number() OVER (ORDER BY p_value, guide_id, gene) AS q0, row_number() OVER (ORDER BY p_value, guide_id, gene) AS i FROM eff WHERE p_value IS NOT NULL),
 res AS (SELECT guide_id, gene, cells, log2_fc, z, p_value, least(1.0, min(q0) OVER (ORDER BY i DESC ROWS UNBOUNDED PRECEDING)) AS q_value FROM bhr
   UNION ALL SELECT guide_id, gene, cells, log2_fc, z, p_value, NULL FROM eff WHERE p_value IS NULL),
 """
@@ -291,6 +296,11 @@ def perturbation_effects(s):
     return s.effects
 
 
+#: Element effects as one query over tu, without names of their own.
+ELEMENT_ROWS = """WITH size1 AS (SELECT guide, count(*) AS m FROM tu GROUP BY guide), own AS (SELECT guide, gene, sum(gc.n)::DOUBLE AS s1, sum(gc.n * gc.n)::DOUBLE AS q1 FROM gc JOIN tu USING (cell) GROUP BY 1, 2),
+raw AS (SELECT guide AS target, gene, m AS cells, s1 / m AS m1, (s - s1) / (t - m) AS m0, (q1 - s1 * s1 / m) / nullif(m - 1, 0) AS v1, (q - q1 - (s - s1) * (s - s1) / (t - m)) / nullif(t - m - 1, 0) AS v0, t - m AS r
+  FROM own JOIN gene_sum USING (gene) JOIN size1 USING (guide), (SELECT count(*) AS t FROM cells)), zed AS (SELECT *, (m1 - m0) / nullif(sqrt(v1 / cells + v0 / r), 0) AS z0 FROM raw), tee AS (SELECT *, 1 / (1 + 0.3275911 * abs(z0) / sqrt(2)) AS t0 FROM zed)
+SELECT target, gene, round(log2((m1 + 0.01) / (m0 + 0.01)), 6) AS log2_fc, round(t0 * (0.254829592 + t0 * (-0.284496736 + t0 * (1.421413741 + t0 * (-1.453152027 + t0 * 1.061405429)))) * exp(-z0 * z0 / 2), 6) AS p_value FROM tee"""
 ELEMENTS = EFFECTS.replace("gu GROUP BY guide", "tu GROUP BY guide").replace("JOIN gu USING (cell)", "JOIN tu USING (cell)").split("bhr AS")[0]
 
 
@@ -299,25 +309,23 @@ def element_effects(s):
     return effects.effects(s.counts, effects.by_target(s.assigned, s.guides), s.cells, unit="target")
 
 
-def _halves(s):
-    near = s.effects.select("guide_id", "gene", "log2_fc")
-    return near.where("(guide_id + gene) % 3 != 0 and abs(log2_fc) > 3"), near.where("(guide_id + gene) % 3 != 1 and abs(log2_fc) > 3")
-
-
-@query("""a AS (SELECT guide_id, gene, log2_fc AS a_log2_fc FROM eff WHERE (guide_id + gene) % 3 <> 0 AND abs(log2_fc) > 3), b AS (SELECT guide_id, gene, log2_fc AS b_log2_fc FROM eff WHERE (guide_id + gene) % 3 <> 1 AND abs(log2_fc) > 3),
-@@SELECT coalesce(a.guide_id, b.guide_id) AS guide_id, coalesce(a.gene, b.gene) AS gene, a_log2_fc, b_log2_fc FROM a FULL JOIN b ON a.guide_id = b.guide_id AND a.gene = b.gene""", True)
+@query("tu AS (SELECT DISTINCT cell, target AS guide FROM gu JOIN guides ON guide = guide_id)," + EFFECTS.split("bhr AS")[0] + "el AS (SELECT * FROM (" + ELEMENT_ROWS + """)),
+b AS (SELECT u.guide_id, gene, log2_fc AS b_log2_fc, p_value AS b_p_value FROM el JOIN guides u USING (target)), a AS (SELECT guide_id, gene, log2_fc AS a_log2_fc, p_value AS a_p_value FROM eff),
+@@SELECT coalesce(a.guide_id, b.guide_id) AS guide_id, coalesce(a.gene, b.gene) AS gene, a_log2_fc, a_p_value, b_log2_fc, b_p_value FROM a FULL JOIN b ON a.guide_id = b.guide_id AND a.gene = b.gene""")
 def merge_methods_outer(s):
-    a, b = _halves(s)
-    return effects.merged(a, b, ["guide_id", "gene"])
+    """Results by guide and results by element, laid to the element's guides: many pairs have the latter alone."""
+    by_element = effects.effects(s.counts, effects.by_target(s.assigned, s.guides), s.cells, unit="target").join(s.guides.select("guide_id", "target"), "target")
+    chosen = ["guide_id", "gene", "log2_fc", "p_value"]
+    return effects.merged(s.effects.select(*chosen), by_element.select(*chosen), ["guide_id", "gene"])
 
 
-@query("""x AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'e' || s_suppkey END AS element, s_nationkey AS nation FROM supplier),
-a AS (SELECT element, nation, count(*) AS a_n FROM x WHERE s_suppkey % 2 = 0 GROUP BY 1, 2), b AS (SELECT element, nation, count(*) AS b_n FROM x WHERE s_suppkey % 5 < 3 GROUP BY 1, 2),
-@@SELECT coalesce(a.element, b.element) AS element, coalesce(a.nation, b.nation) AS nation, a_n, b_n FROM a FULL JOIN b ON a.element IS NOT DISTINCT FROM b.element AND a.nation IS NOT DISTINCT FROM b.nation""")
+@query("""a AS (SELECT CASE WHEN NOT control THEN target END AS element, chr, count(*) AS a_n FROM guides GROUP BY 1, 2), b AS (SELECT CASE WHEN NOT mt THEN 'G' || gene END AS element, chr, count(*) AS b_n FROM genes GROUP BY 1, 2),
+@@SELECT coalesce(a.element, b.element) AS element, coalesce(a.chr, b.chr) AS chr, a_n, b_n FROM a FULL JOIN b ON a.element IS NOT DISTINCT FROM b.element AND a.chr IS NOT DISTINCT FROM b.chr""")
 def merge_methods_nullsafe(s):
-    x = s.table("supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 3 != 0, F.concat(F.lit("e"), F.col("s_suppkey").cast("string"))).alias("element"), F.col("s_nationkey").alias("nation"))
-    count = lambda df: df.groupBy("element", "nation").agg(F.count("*").alias("n"))
-    return effects.merged(count(x.where("s_suppkey % 2 = 0")), count(x.where("s_suppkey % 5 < 3")), ["element", "nation"], null_safe=True)
+    """Guides by element and genes by element, both by chromosome; controls and flagged genes have no element, and those meet."""
+    a = s.guides.groupBy(F.when(~F.col("control"), F.col("target")).alias("element"), "chr").agg(F.count("*").alias("n"))
+    b = s.genes.groupBy(F.when(~F.col("mt"), F.concat(F.lit("G"), F.col("gene").cast("string"))).alias("element"), "chr").agg(F.count("*").alias("n"))
+    return effects.merged(a, b, ["element", "chr"], null_safe=True)
 
 
 @query("SELECT (r - 1) // 300 AS chunk, min(r) AS first, max(r) AS last, count(*) AS genes FROM (SELECT row_number() OVER (ORDER BY gene) AS r FROM genes) GROUP BY 1")
@@ -359,7 +367,7 @@ def bonferroni(s):
 @query("""k AS (SELECT guide_id, gene, p_value, p_value * count(*) OVER (PARTITION BY guide_id) / row_number() OVER (PARTITION BY guide_id ORDER BY p_value, gene) AS q0 FROM eff WHERE p_value IS NOT NULL),
 @@SELECT guide_id, gene, least(1.0, min(q0) OVER (PARTITION BY guide_id ORDER BY p_value DESC, gene DESC ROWS UNBOUNDED PRECEDING)) AS q_value FROM k UNION ALL SELECT guide_id, gene, NULL FROM eff WHERE p_value IS NULL""", True)
 def bh_by_group(s):
-    return statistics.bh(s.effects, "p_value", ["gene"], by=["guide_id"]).select("guide_id", "gene", "q_value")
+    return statistics.bh(s.kept_effects, "p_value", by=["guide_id"]).select("guide_id", "gene", "q_value")
 
 
 PER = """per AS (SELECT guide_id, count(*) AS n_tests, count(*) FILTER (q_value < 0.05) AS n_sig, count(*) FILTER (q_value < 0.05 AND log2_fc > 0) AS n_up, count(*) FILTER (q_value < 0.05 AND log2_fc < 0) AS n_down,
@@ -395,7 +403,7 @@ UNION ALL SELECT guide_id, gene, round(1 - p_value, 6), 0 FROM eff JOIN guides U
 
 @query(LABELLED + "@@SELECT * FROM lab", True)
 def eval_table_unbalanced(s):
-    return evaluation.labelled(s.effects, s.guides)
+    return evaluation.labelled(s.kept_effects, s.guides)
 
 
 EVENTS = "lab AS (SELECT value AS score, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label FROM events),"
@@ -424,12 +432,13 @@ def roc_auc(s):
 
 @query(LABELLED + CURVE + AREAS, True)
 def pr_auc(s):
-    return statistics.areas(evaluation.labelled(s.effects, s.guides))
+    return statistics.areas(evaluation.labelled(s.kept_effects, s.guides))
 
 
-@query()
+@query(LABELLED + """neg AS (SELECT *, row_number() OVER (ORDER BY ('0x' || substr(md5(guide_id || ':' || gene || ':42'), 1, 15))::BIGINT, guide_id, gene) AS k FROM lab WHERE label = 0),
+@@SELECT * FROM lab WHERE label = 1 UNION ALL SELECT guide_id, gene, score, label FROM neg WHERE k <= (SELECT count(*) FROM lab WHERE label = 1)""", True)
 def eval_table_balanced(s):
-    return statistics.balanced(evaluation.labelled(s.effects, s.guides), ["guide_id", "gene"])
+    return statistics.balanced(evaluation.labelled(s.kept_effects, s.guides), ["guide_id", "gene"])
 
 
 @query("SELECT guide_id, gene, log2_fc FROM eff JOIN guides USING (guide_id) WHERE (target, gene) IN (SELECT 'G' || gene, gene + 20 FROM genes)", True)
@@ -450,7 +459,7 @@ def volcano_classes(s):
 
 @query("""d AS (SELECT * FROM eff WHERE log2_fc < 0 AND p_value IS NOT NULL),@@(SELECT guide_id, gene, 'fold' AS "by" FROM d ORDER BY log2_fc, guide_id, gene LIMIT 10) UNION ALL (SELECT guide_id, gene, 'p' FROM d ORDER BY p_value, guide_id, gene LIMIT 10)""", True)
 def volcano_labels(s):
-    return evaluation.volcano_labels(s.effects)
+    return evaluation.volcano_labels(s.kept_effects)
 
 
 EDGES = "edges AS (SELECT 's' || guide_id AS src, 'g' || gene AS dst, abs(log2_fc) AS w FROM eff WHERE abs(z) >= 3), deg AS (SELECT node, round(sum(w), 6) AS degree, count(*) AS edges FROM (SELECT src AS node, w FROM edges UNION ALL SELECT dst, w FROM edges) GROUP BY node),"
@@ -511,16 +520,16 @@ def tf_enrichment_counts(s):
 
 @query(ENRICH + """f AS (SELECT *, rejections AS r, targets AS c, tests AS n FROM enr),
 t AS (SELECT factor, k, lgamma(r + 1) - lgamma(k + 1) - lgamma(r - k + 1) + lgamma(n - r + 1) - lgamma(c - k + 1) - lgamma(n - r - c + k + 1) - lgamma(n + 1) + lgamma(c + 1) + lgamma(n - c + 1) AS l FROM f, LATERAL (SELECT unnest(range(overlap, least(r, c) + 1)) AS k) WHERE least(r, c, n - r, n - c) > 0 AND n - r - c + k >= 0),
-@@SELECT factor, round(p, 6) AS p_value FROM f LEFT JOIN (SELECT factor, least(1.0, sum(exp(l))) AS p FROM t GROUP BY factor) USING (factor)""", True)
+@@SELECT factor, round(p, 6) AS p_value, CASE WHEN least(r, c, n - r, n - c) > 0 THEN round(overlap * (n - r - c + overlap) / ((r - overlap) * (c - overlap))::DOUBLE, 6) END AS odds_ratio FROM f LEFT JOIN (SELECT factor, least(1.0, sum(exp(l))) AS p FROM t GROUP BY factor) USING (factor)""", True)
 def fisher_greater(s):
     e = _enrichment(s)
-    p = statistics.fisher_greater(F.col("overlap"), F.col("rejections") - F.col("overlap"), F.col("targets") - F.col("overlap"), F.col("tests") - F.col("rejections") - F.col("targets") + F.col("overlap"))
-    return e.select("factor", F.round(p, 6).alias("p_value"))
+    cells = [F.col("overlap"), F.col("rejections") - F.col("overlap"), F.col("targets") - F.col("overlap"), F.col("tests") - F.col("rejections") - F.col("targets") + F.col("overlap")]
+    return e.select("factor", F.round(statistics.fisher_greater(*cells), 6).alias("p_value"), F.round(statistics.odds_ratio(*cells), 6).alias("odds_ratio"))
 
 
 @query("x AS (SELECT batch, guide, count(*) AS n FROM gu JOIN cells USING (cell) GROUP BY 1, 2), y AS (SELECT batch, n, row_number() OVER (PARTITION BY batch ORDER BY n, guide) AS i, count(*) OVER (PARTITION BY batch) AS k FROM x),@@SELECT batch, round(sum((2 * i - k - 1) * n) / (max(k) * sum(n)), 6) AS gini FROM y GROUP BY batch")
 def gini(s):
-    return statistics.gini(s.assigned.join(s.cells, "cell").groupBy("batch", "guide").agg(F.count("*").alias("n")), "n", ["batch"], ["guide"])
+    return statistics.gini(s.assigned.join(s.cells, "cell").groupBy("batch", "guide").agg(F.count("*").alias("n")), "n", ["batch"])
 
 
 @query("SELECT gene, reverse(translate(symbol, 'ACGTacgt', 'TGCAtgca')) AS rc FROM genes")
@@ -528,35 +537,62 @@ def reverse_complement(s):
     return s.genes.select("gene", ex.reverse_complement(F.col("symbol")).alias("rc"))
 
 
-READS = """reads AS (SELECT doc_id AS read_id, substr(text, 1, 80) AS seq FROM documents), sp AS (SELECT min(item_id) AS guide_order, substr(text, 2, 6) AS spacer FROM benchmark GROUP BY 2),
-hits AS (SELECT read_id, seq, guide_order, spacer, instr(seq, spacer) AS position FROM (SELECT read_id, seq, guide_order, spacer, row_number() OVER (PARTITION BY read_id ORDER BY guide_order) AS k FROM reads JOIN sp ON contains(seq, spacer)) WHERE k = 1),"""
-
-
-def _hits(s):
-    return sequences.guide_hits(s.reads, s.spacers, [6])
+READS = """reads AS (SELECT 'R1_Fwd' AS config, doc_id AS read_id, text AS seq FROM documents WHERE text IS NOT NULL), sp AS (SELECT min(item_id) AS guide_order, text AS spacer FROM benchmark WHERE text <> '' GROUP BY 2),
+"""
+HITS = """hits AS (SELECT config, read_id, seq, guide_order, spacer, instr(seq, spacer) - 1 AS position FROM (SELECT config, read_id, seq, guide_order, spacer, row_number() OVER (PARTITION BY config, read_id ORDER BY guide_order) AS k FROM reads JOIN sp ON contains(seq, spacer)) WHERE k = 1),
+fl AS (SELECT *, lpad(substr(seq, greatest(1, position - 11), least(position, 12)), 12, '-') AS flank FROM hits),"""
 
 
-@query(READS + "@@SELECT read_id, guide_order, position FROM hits")
+@query(READS + HITS + "@@SELECT read_id, guide_order, position FROM hits")
 def guide_search(s):
-    return _hits(s)
+    return sequences.guide_hits(s.reads, s.spacers)
 
 
-@query(READS + "@@SELECT read_id, guide_order, position, lpad(substr(seq, greatest(1, position - 12), least(position - 1, 12)), 12, '-') AS flank FROM hits")
+@query(READS + HITS + "@@SELECT read_id, guide_order, position, flank FROM fl")
 def upstream_flank_mode(s):
-    return sequences.with_flank(_hits(s), s.reads, s.spacers)
+    return sequences.with_flank(sequences.guide_hits(s.reads, s.spacers), s.reads, s.spacers)
+
 
+ORIENT = HITS + """md AS (SELECT config, position, c FROM (SELECT config, position, count(*) AS c, row_number() OVER (PARTITION BY config ORDER BY count(*) DESC, position) AS k FROM fl GROUP BY 1, 2) WHERE k = 1),
+tf AS (SELECT config, max(f) AS f FROM (SELECT config, count(*) AS f FROM fl JOIN md USING (config, position) GROUP BY config, flank) GROUP BY 1), cf AS (SELECT config, count(*) AS r FROM reads GROUP BY 1), ns AS (SELECT count(*) AS k FROM sp),
+gs AS (SELECT config, row_number() OVER (PARTITION BY config ORDER BY x, guide_order) AS i, x FROM (SELECT config, guide_order, count(h.read_id) AS x FROM cf CROSS JOIN sp LEFT JOIN hits h USING (config, guide_order) GROUP BY 1, 2)),
+gi AS (SELECT config, sum((2 * i - k - 1) * x) / (max(k) * nullif(sum(x), 0)) AS g FROM gs, ns GROUP BY 1), n AS (SELECT config, count(*) AS n FROM hits GROUP BY 1),
+sc AS (SELECT config, coalesce(n, 0) AS hits, coalesce(round(n / r, 6), 0.0) AS hit_ratio, coalesce(round(c / n, 6), 0.0) AS position_purity, coalesce(round(f / c, 6), 0.0) AS flank_purity, CASE WHEN n > 0 THEN round(g, 6) ELSE 0.0 END AS gini,
+  CASE WHEN n > 0 THEN round(3 * n / r + 2 * c / n + f / c + 1 - g, 6) ELSE 0.0 END AS score FROM cf LEFT JOIN n USING (config) LEFT JOIN md USING (config) LEFT JOIN tf USING (config) LEFT JOIN gi USING (config)),
+@@SELECT *, row_number() OVER (ORDER BY score DESC, config) = 1 AS is_winner FROM sc"""
 
-@query(READS + """fl AS (SELECT *, lpad(substr(seq, greatest(1, position - 12), least(position - 1, 12)), 12, '-') AS flank FROM hits), md AS (SELECT position, count(*) AS c FROM fl GROUP BY 1 ORDER BY c DESC, position LIMIT 1),
-tf AS (SELECT max(f) AS f FROM (SELECT count(*) AS f FROM fl WHERE position = (SELECT position FROM md) GROUP BY flank)), gs AS (SELECT row_number() OVER (ORDER BY x, guide_order) AS i, x FROM (SELECT guide_order, count(h.read_id) AS x FROM sp LEFT JOIN hits h USING (guide_order) GROUP BY 1)),
-gi AS (SELECT sum((2 * i - (SELECT count(*) FROM sp) - 1) * x) / ((SELECT count(*) FROM sp) * sum(x)) AS g FROM gs), n AS (SELECT count(*) AS n, (SELECT count(*) FROM reads) AS r FROM hits),
-@@SELECT n AS hits, round(n / r, 6) AS hit_ratio, round(c / n, 6) AS position_purity, round(f / c, 6) AS flank_purity, round(g, 6) AS gini, round(3 * n / r + 2 * c / n + f / c + 1 - g, 6) AS score FROM n, md, tf, gi""")
+
+def _oriented(s, reads: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    hits = sizes = None
+    for config, (own, spacers) in reads.items():
+        one = sequences.with_flank(sequences.guide_hits(own, spacers), own, spacers).withColumn("config", F.lit(config))
+        size = own.agg(F.count("*").alias("reads")).withColumn("config", F.lit(config))
+        hits, sizes = (one, size) if hits is None else (hits.unionByName(one), sizes.unionByName(size))
+    return sequences.orientation(store.written(hits, "hits"), sizes, s.spacers)
+
+
+@query(READS + ORIENT)
 def orientation_score(s):
-    return sequences.orientation(sequences.with_flank(_hits(s), s.reads, s.spacers), s.reads.count(), s.spacers.count())
+    return _oriented(s, {"R1_Fwd": (s.reads, s.spacers)})
+
+
+@query("""texts AS (SELECT 'R1' AS r, doc_id AS read_id, text AS seq FROM documents WHERE text IS NOT NULL UNION ALL SELECT 'R2', conv_id * 1000 + turn, text FROM conversations WHERE text IS NOT NULL),
+sp AS (SELECT min(item_id) AS guide_order, text AS spacer FROM benchmark WHERE text <> '' GROUP BY 2),
+reads AS (SELECT r || '_' || d AS config, read_id, CASE d WHEN 'Fwd' THEN seq ELSE reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) END AS seq FROM texts, (SELECT unnest(['Fwd', 'Rev']) AS d)),""" + ORIENT)
+def orientation_winner(s):
+    """Both read sets against the guides as they are and against reverse complements: of the reads, so that flanks read in their direction."""
+    turns = s.table("conversations").where("text is not null").select((F.col("conv_id") * 1000 + F.col("turn")).alias("read_id"), F.col("text").alias("seq"))
+    made = {}
+    for name, reads in (("R1", s.reads), ("R2", turns)):
+        made[f"{name}_Fwd"] = (reads, s.spacers)
+        made[f"{name}_Rev"] = (reads.select("read_id", ex.reverse_complement(F.col("seq")).alias("seq")), s.spacers)
+    return _oriented(s, made)
 
 
-@query(READS + "@@SELECT CAST(p - 1 AS INT) AS position, substr(rpad(seq, 20, 'N'), p, 1) AS base, round(count(*) / (SELECT count(*) FROM reads), 6) AS share FROM reads, (SELECT unnest(range(1, 21)) AS p) GROUP BY 1, 2")
+@query(READS + """b AS (SELECT p - 1 AS position, substr(seq, p, 1) AS base, count(*) AS n FROM (SELECT seq, unnest(range(1, length(seq) + 1)) AS p FROM reads) GROUP BY 1, 2), t AS (SELECT count(*) AS r FROM reads),
+@@SELECT CAST(position AS INT) AS position, base, round(sum(n) / max(r), 6) AS share FROM (SELECT * FROM b UNION ALL SELECT position, 'N', (SELECT r FROM t) - sum(n) FROM b GROUP BY 1), t GROUP BY 1, 2 HAVING sum(n) > 0""")
 def nucleotide_frequency(s):
-    return sequences.base_frequencies(s.reads.select("read_id", F.substring("seq", 1, 20).alias("seq")), 20)
+    return sequences.base_frequencies(s.reads)
 
 
 @query("x AS (SELECT l_orderkey AS cell, l_returnflag || l_linestatus AS feature, CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY 1, 2),@@SELECT cell, feature, round(ln(1 + n / exp(sum(ln(1 + n)) OVER (PARTITION BY cell) / 6)), 6) AS clr FROM x")
@@ -592,7 +628,9 @@ def cells_per_guide(s):
     return guides.assignment_counts(s.guides, s.assigned)
 
 
-@query()
+@query("""h AS (SELECT gene, CAST(sum(n) * 1000 AS BIGINT) AS n FROM gc GROUP BY gene), d AS (SELECT gene, n, CAST(pow(10, length(n::VARCHAR) - 3) AS BIGINT) AS d FROM h),
+r AS (SELECT gene, (n // d + CASE WHEN n % d * 2 > d OR (n % d * 2 = d AND n // d % 2 = 1) THEN 1 ELSE 0 END) * d AS r FROM d), u AS (SELECT gene, r, CASE WHEN r >= 1e12 THEN 12 WHEN r >= 1e9 THEN 9 WHEN r >= 1e6 THEN 6 ELSE 3 END AS p FROM r),
+@@SELECT gene, regexp_replace(printf('%.6f', r / pow(10, p)), '\\.?0+$', '') || CASE p WHEN 3 THEN 'K' WHEN 6 THEN 'M' WHEN 9 THEN 'B' ELSE 'T' END AS text FROM u""")
 def human_format(s):
     return s.counts.groupBy("gene").agg((F.sum("n") * 1000).alias("n")).select("gene", ex.human(F.col("n").cast("double")).alias("text"))
 
@@ -602,7 +640,10 @@ def mixture_assignment(s):
     return models.assign_mixture(s.tags.join(s.cells, "cell").select("batch", "cell", F.when(F.col("feature") == "AF", 1).otherwise(2).cast("long").alias("guide"), "n"))
 
 
-@query()
+@query("""gs AS (SELECT gene, sum(n)::DOUBLE AS s, sum(n * n)::DOUBLE AS q FROM gc GROUP BY gene), sz AS (SELECT guide, count(*) AS m FROM gu GROUP BY guide),
+ow AS (SELECT guide, gene, sum(gc.n)::DOUBLE AS s1, sum(gc.n * gc.n)::DOUBLE AS q1 FROM gc JOIN gu USING (cell) GROUP BY 1, 2), mo AS (SELECT *, t - m AS rest, s / t AS mean FROM ow JOIN gs USING (gene) JOIN sz USING (guide), (SELECT count(*) AS t FROM cells)),
+va AS (SELECT *, greatest((q / t - mean * mean - mean) / greatest(mean * mean, 1e-12), 0) AS spread FROM mo),
+@@SELECT guide, gene, round((s1 - m * mean) / sqrt(greatest(m * rest / t * (mean + spread * mean * mean), 1e-12)), 6) AS score_z FROM va""")
 def glm_score(s):
     cells = s.cells.count()
     sizes = s.assigned.groupBy("guide").agg(F.count("*").alias("m"))
@@ -638,9 +679,16 @@ def doublet_scores(s):
     return models.doublet_scores(_vectors(s))
 
 
+def _register() -> None:
+    """The other modules of queries register theirs when they are imported; they import this one."""
+    from . import catalog_inputs, catalog_results  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _register()
     return {name: (lambda spark, folder, f=f: f(Screen(spark, folder))) for name, f in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _register()
     return dict(_SQL)

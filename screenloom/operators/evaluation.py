@@ -52,6 +52,15 @@ def labelled(results: DataFrame, guides: DataFrame) -> DataFrame:
     return positive.unionByName(negative)
 
 
+def linked(results: DataFrame, guides: DataFrame, links: DataFrame) -> DataFrame:
+    """Scores 1 - p: positives are results on a validated link (target, gene), negatives controls on the genes of the positives."""
+    known = results.where("p_value is not null").join(guides.select("guide_id", "control", "target"), "guide_id")
+    score = F.round(1 - F.col("p_value"), 6).alias("score")
+    positive = known.join(links, ["target", "gene"], "left_semi").select("guide_id", "gene", score, F.lit(1).alias("label"))
+    negative = known.where("control").join(positive.select("gene").distinct(), "gene", "left_semi").select("guide_id", "gene", score, F.lit(0).alias("label"))
+    return positive.unionByName(negative)
+
+
 def volcano(results: DataFrame, fc: float = 1.0, alpha: float = 0.05) -> DataFrame:
     """Class of each result: up, down or none."""
     kind = F.when((F.col("log2_fc") >= fc) & (F.col("p_value") <= alpha), "up").when((F.col("log2_fc") <= -fc) & (F.col("p_value") <= alpha), "down").otherwise("none")

@@ -27,6 +27,30 @@ def bound_genes(genes: DataFrame, peaks: DataFrame, width: int) -> DataFrame:
     return met.select(F.col("b_id").alias("peak"), F.col("a_id").alias("gene")).distinct()
 
 
+def strong_peaks(peaks: DataFrame, share: float) -> DataFrame:
+    """Peaks (factor, score, ...) that reach the quantile `share` of their factor's scores."""
+    cuts = peaks.groupBy("factor").agg(F.percentile("score", share).alias("_cut"))
+    return peaks.join(cuts, "factor").where(F.col("score") >= F.col("_cut")).drop("_cut")
+
+
+def enrichment_by_window(results: DataFrame, genes: DataFrame, peaks: DataFrame, widths: list[int], alpha: float) -> DataFrame:
+    """enrichment() of each width of the windows around gene starts: (width, factor, tests, rejections, targets, overlap).
+
+    Peaks meet the widest windows once; which narrower ones they reach follows from the distance. peaks have a factor.
+    """
+    widest = max(widths)
+    starts = tss_windows(genes, widest).select("id", "chr", "start", "stop", (F.col("stop") - widest).alias("tss"))
+    met = overlapping(starts, peaks, 4 * widest).select(F.col("a_id").alias("gene"), F.col("b_id").alias("peak"))
+    sides = met.join(starts.select(F.col("id").alias("gene"), "tss"), "gene").join(peaks.select(F.col("id").alias("peak"), "factor", F.col("start").alias("p0"), F.col("stop").alias("p1")), "peak")
+    wide = sides.withColumn("width", F.explode(F.array(*map(F.lit, widths))))
+    reached = wide.where((F.greatest(F.lit(0), F.col("tss") - F.col("width")) < F.col("p1")) & (F.col("p0") < F.col("tss") + F.col("width")))
+    bound = reached.select("width", "factor", "gene").distinct().withColumn("bound", F.lit(True))
+    every = results.withColumn("width", F.explode(F.array(*map(F.lit, widths))))
+    joined = every.join(bound, ["width", "factor", "gene"], "left")
+    hit, known = F.col("p_value") <= alpha, F.coalesce("bound", F.lit(False))
+    return joined.groupBy("width", "factor").agg(F.count("*").alias("tests"), F.count_if(hit).alias("rejections"), F.count_if(known).alias("targets"), F.count_if(hit & known).alias("overlap"))
+
+
 def tracks(results: DataFrame, guides: DataFrame, genes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """BEDPE rows (guide to another gene) and bedgraph rows (guide on its own target) of results with coordinates."""
     at = guides.select("guide_id", F.col("chr").alias("chr1"), F.col("pos").alias("start1"), "target_gene")

@@ -67,3 +67,9 @@ def balanced_chunks(genes: DataFrame, size: int) -> DataFrame:
     return numbered.groupBy(chunk.cast("long").alias("chunk")).agg(F.min("row").alias("start"), (F.max("row") + 1).alias("stop"))
 
 
+def chunk_guides(pairs: DataFrame, genes: DataFrame, guides: DataFrame, size: int) -> DataFrame:
+    """(chunk, guide_id): the guides that chunks of `size` genes test, and controls in every chunk."""
+    numbered = ranked(genes.select("gene"), "gene", [], "row").select("gene", F.floor((F.col("row") - 1) / size).cast("long").alias("chunk"))
+    tested = pairs.join(numbered, "gene").select("chunk", "guide_id")
+    every = numbered.select("chunk").distinct().crossJoin(guides.where("control").select("guide_id"))  # a row for each chunk and control
+    return tested.unionByName(every).distinct()

@@ -589,7 +589,7 @@ def orientation_winner(s):
     return _oriented(s, made)
 
 
-@query(READS + """b AS (SELECT p - 1 AS position, substr(seq, p, 1) AS base, count(*) AS n FROM (SELECT seq, unnest(range(1, length(seq) + 1)) AS p FROM reads) GROUP BY 1, 2), t AS (SELECT count(*) AS r FROM reads),
+@query(READS + """b AS (SELECT p - 1 AS position, base, count(*) AS n FROM (SELECT unnest(l) AS base, generate_subscripts(l, 1) AS p FROM (SELECT string_split(seq, '') AS l FROM reads WHERE seq <> '')) GROUP BY 1, 2), t AS (SELECT count(*) AS r FROM reads),
 @@SELECT CAST(position AS INT) AS position, base, round(sum(n) / max(r), 6) AS share FROM (SELECT * FROM b UNION ALL SELECT position, 'N', (SELECT r FROM t) - sum(n) FROM b GROUP BY 1), t GROUP BY 1, 2 HAVING sum(n) > 0""")
 def nucleotide_frequency(s):
     return sequences.base_frequencies(s.reads)

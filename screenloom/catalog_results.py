@@ -245,6 +245,12 @@ def stratified_score(s):
     return models.stratified_score(s.counts, s.assigned, cells, DEPTHS)
 
 
+@query()
+def pca_by_batch(s):
+    vectors = s.table("embeddings").select((F.col("label") % 3).cast("string").alias("batch"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
+    return models.components_by_batch(vectors, 10)
+
+
 @query()
 def doublet_filter(s):
     """Cells that aren't called doublets."""

@@ -273,6 +273,18 @@ def principal_components(vectors: DataFrame, k: int = 2) -> DataFrame:
     return reducer(vectors, k)(vectors)
 
 
+def components_by_batch(vectors: DataFrame, k: int = 10) -> DataFrame:
+    """(batch, id, pc array) of (batch, id, features array): principal components of each batch by itself, scaled by its own deviations.
+
+    A batch without rows has none; there is a pass over the table for each batch of the sheet.
+    """
+    out = None
+    for r in vectors.select("batch").distinct().orderBy("batch").collect():
+        own = principal_components(vectors.where(F.col("batch").eqNullSafe(F.lit(r.batch))), k).select(F.lit(r.batch).alias("batch"), "id", "pc")
+        out = own if out is None else out.unionByName(own)
+    return out if out is not None else vectors.select("batch", "id", F.expr("cast(array() as array<double>)").alias("pc"))
+
+
 def paired(vectors: DataFrame, ratio: int = 2, seed: int = 42) -> DataFrame:
     """Simulated doublets (id, features) of (id, features array): each cell's mean with each of the `ratio` cells that follow it in the order of a hash of the id."""
     hashed = written(vectors.select("id", "features", F.xxhash64("id", F.lit(seed)).alias("h")), "hashed")

@@ -226,11 +226,26 @@ def test_doublets(spark):
     assert models.principal_components(df.limit(0)).count() == 0
 
 
+def test_components(spark):
+    """Components of a batch are those of the batch alone; their variances are the correlation matrix's largest eigenvalues."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (300, 6)) @ rng.normal(0, 1, (6, 6))
+    df = spark.createDataFrame([("ab"[i % 2], i, v.tolist()) for i, v in enumerate(x)], "batch string, id long, features array<double>")
+    got = models.components_by_batch(df, 3).collect()
+    assert len(got) == 300
+    for b in "ab":
+        own = np.array([r.pc for r in sorted((r for r in got if r.batch == b), key=lambda r: r.id)])
+        part = x["ab".index(b) :: 2]
+        values = np.sort(np.linalg.eigvalsh(np.corrcoef(part.T)))[::-1][:3]
+        assert np.allclose(own.var(axis=0), values, rtol=1e-4) and np.allclose(own.mean(axis=0), 0, atol=1e-5)
+    assert models.components_by_batch(df.limit(0)).count() == 0
+
+
 def test_stratified_score(spark):
     """A planted effect is seen, and a gene that follows depth and batch alone isn't."""
     rng = np.random.default_rng(6)
     cells = [(i, "ab"[i % 2], float(rng.integers(50, 400))) for i in range(2000)]
-    counts, treated = [], [(i, 1) for i in range(0, 2000, 2)] + [(i, 2) for i in range(0, 2000, 5)]
+    counts, treated = [], [(i, 1) for i in range(0, 2000, 2) if i % 20] + [(i, 3) for i in range(0, 2000, 2)] + [(i, 2) for i in range(0, 2000, 5)]
     for i, b, depth in cells:
         for gene, rate in ((1, 0.01 * (3 if b == "a" else 1)), (2, 0.02 * (0.4 if i % 5 == 0 else 1))):
             n = int(rng.poisson(rate * depth))
@@ -238,7 +253,8 @@ def test_stratified_score(spark):
                 counts.append((i, gene, n))
     got = {(r.guide, r.gene): r for r in models.stratified_score(
         spark.createDataFrame(counts, "cell long, gene long, n long"), spark.createDataFrame(treated, "cell long, guide long"), spark.createDataFrame(cells, "cell long, batch string, depth double"), [100.0, 200.0, 300.0]).collect()}
-    # guide 1 marks batch a: gene 1 differs by batch, which the rates of batches take up
+    # guide 1 marks most of batch a: gene 1 differs by batch, which the rates of batches take up; guide 3 marks all of it and can't be told from it
+    assert got[1, 3].z is None if (1, 3) in got else got[3, 1].z is None
     assert abs(got[1, 1].z) < 4 and abs(got[2, 1].z) < 4 and got[2, 2].z < -15 and got[2, 2].log2_fc < -0.8
 
 

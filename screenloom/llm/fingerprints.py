@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .columns import first_not_below, let, words
 
-PLACE = (1 << 24) - 1  # the low bits of a hash give way to the k-mer's place in the text
+PLACE = (1 << 24) - 1  # the low bits of a hash give way to the k-mer's place in the text, from 1
 BINS, BIN_BITS, TUPLE, HASH_BITS = 64, 6, 3, 39
 PART_ROWS, MOST_PARTS = 500, 10_000
 
@@ -21,13 +21,13 @@ def order_minhash(text: Column) -> Column:
     first, and from the last bin on to the first. So a draw of a long text is from its own bin, and one of a short text goes on into the
     next bins until it has three: every entry has an order. It hashes its k-mers in the order of
     the text, so reordered words change entries though their k-mers stay, and entries follow edit distance. A single word is a k-mer; a text of
-    fewer than three k-mers hashes those it has. Places count modulo 2**24 words.
+    fewer than three k-mers draws those it has again. Places count modulo 2**24 words.
     """
 
     def hashed(w: Column) -> Column:
         n = F.size(w)
         at = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
-        return F.sort_array(F.transform(at, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)).bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.bitwiseAND(F.lit(PLACE)).cast("long"))))
+        return F.sort_array(F.transform(at, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)).bitwiseAND(F.lit(~PLACE)).bitwiseOR((i + 1).bitwiseAND(F.lit(PLACE)).cast("long"))))
 
     def numbered(s: Column) -> Column:
         def one(x: Column, j: Column) -> Column:
@@ -46,16 +46,22 @@ def order_minhash(text: Column) -> Column:
 
     def entries(s: Column) -> Column:
         n = F.size(s)
-
-        def entry(b: Column) -> Column:
-            first = first_not_below(s, F.call_function("shiftleft", (b - BINS // 2).cast("long"), F.lit(64 - BIN_BITS)))
-            drawn = F.transform(F.sequence(F.lit(0), F.least(n, F.lit(TUPLE)) - 1), lambda i: F.get(s, F.pmod(first + i, n)))
-            # the place goes to the front for the order, 39 bits of the hash stay behind it
-            ordered = F.sort_array(F.transform(drawn, lambda x: F.shiftleft(x.bitwiseAND(F.lit(PLACE)), HASH_BITS).bitwiseOR(F.shiftrightunsigned(x, 64 - HASH_BITS))))
-            hashes = F.transform(ordered, lambda y: y.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-            return (b * 65536 + F.xxhash64(hashes).bitwiseAND(F.lit(65535)).cast("int")).cast("int")
-
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), entry)).otherwise(F.expr("cast(array() as array<int>)"))
+        # the place goes to the front for the order, 39 bits of the hash stay behind it
+        turned = F.transform(s, lambda x: F.shiftleft(x.bitwiseAND(F.lit(PLACE)), HASH_BITS).bitwiseOR(F.shiftrightunsigned(x, 64 - HASH_BITS)))
+        ring = let(turned, lambda r: F.when(n >= TUPLE, F.concat(r, F.slice(r, F.lit(1), F.lit(TUPLE)))).otherwise(F.flatten(F.array_repeat(r, 2 * TUPLE))))
+        # where the k-mers of each bin begin: the bins' least values, sorted in among them, less the bins before
+        starts = F.array(*[F.lit(b << (64 - BIN_BITS)).cast("long") for b in range(-BINS // 2, BINS // 2)])
+        among = F.transform(F.sort_array(F.concat(s, starts)), lambda x, i: F.when(x.bitwiseAND(F.lit((1 << (64 - BIN_BITS)) - 1)) == 0, i))
+
+        def entry(r: Column):
+            def one(at: Column, b: Column) -> Column:
+                drawn = F.sort_array(F.slice(r, at - b + 1, F.lit(TUPLE)))
+                hashes = F.transform(drawn, lambda y: y.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+                return (b * 65536 + F.xxhash64(hashes).bitwiseAND(F.lit(65535)).cast("int")).cast("int")
+
+            return F.transform(F.array_compact(among), one)
+
+        return F.when(n > 0, let(ring, entry)).otherwise(F.expr("cast(array() as array<int>)"))
 
     return let(words(text), lambda w: let(hashed(w), lambda h: let(numbered(h), lambda s: let(least(s), entries))))
 

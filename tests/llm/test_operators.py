@@ -338,7 +338,7 @@ def signature(text):
         h = xxhash.xxh64_intdigest(w[i].encode(), 42)
         kmers.append((xxhash.xxh64_intdigest(w[i + 1].encode(), h) if i + 1 < len(w) else h, i))
     mask = (1 << 64) - (1 << 24)
-    listed = sorted(signed(h & mask | i) for h, i in kmers)
+    listed = sorted(signed(h & mask | i + 1) for h, i in kmers)
     numbered, seen = [], Counter()
     for x in listed:
         top = x & ~((1 << 24) - 1)
@@ -355,7 +355,7 @@ def signature(text):
     out = []
     for b in range(64):
         first = next((i for i, x in enumerate(kept) if x >> 58 >= b - 32), len(kept))
-        drawn = [kept[(first + i) % len(kept)] for i in range(min(3, len(kept)))]
+        drawn = [kept[(first + i) % len(kept)] for i in range(3)]
         code = 42
         for x in sorted(drawn, key=lambda x: (x & ((1 << 24) - 1), (x % 2**64) >> 25)):
             code = xxhash.xxh64_intdigest(((x % 2**64) >> 25).to_bytes(8, "little"), code)

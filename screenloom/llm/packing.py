@@ -14,6 +14,7 @@ from .bpe import encoder, ids_of, prepared
 from .common import arrow_batches, release, table
 
 BLOCK_IDS = 1 << 18
+KEEP = 128 << 20  # bytes of encodings that a worker remembers
 BLOCKS = "part int, block int, start long, n_ids long, width int, doc_ids array<long>, offsets array<long>, payload binary"
 
 
@@ -61,7 +62,7 @@ def write_blocks(docs: DataFrame, path: str, end_id: int | None = None, block_id
     arrow_batches(spark)
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, KEEP)
         size = 1 + max(max(enc.ids.values()), *enc.special.values(), end_id or 0)
         width, tail = width_of(size), b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         part, block, start, names, parts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0

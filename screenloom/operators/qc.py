@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.store import written
 from .order import ranked
 
 
@@ -53,7 +54,8 @@ def ladder(cells: DataFrame, column: str, steps: list[int]) -> DataFrame:
 
 
 def barcode_rank(metrics: DataFrame) -> DataFrame:
-    return ranked(metrics.select("cell", "total"), "total", ["cell"], descending=True).select("cell", "total", "rank", F.round(F.log1p("total"), 6).alias("log_total"))
+    """Cells by falling total with their rank and log1p of the total; metrics are worked out once."""
+    return ranked(written(metrics.select("cell", "total"), "totals"), "total", ["cell"], descending=True).select("cell", "total", "rank", F.round(F.log1p("total"), 6).alias("log_total"))
 
 
 def knee(ranks: DataFrame) -> DataFrame:

@@ -82,6 +82,28 @@ def release() -> None:
         trim(0)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """df with its place from 0 in the given order. df must be a written table, whose files give the same rows in the same order again.
+
+    Rows are dealt to ranges of the order, and by their place in df where they are alike in it, so no task gets a hot key whole. Each range is
+    written in order; a place is the number of rows in earlier ranges and the place in the own one. Rows that are alike in the order take places in no set order.
+    """
+    tie, place = free_name(df, "tie"), free_name(df, "place")
+    several = [*order, F.col(tie)]
+    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*several).sortWithinPartitions(*several).drop(tie)
+    laid = table(dealt.withColumn(place, F.monotonically_increasing_id()), "numbered")
+    # the id has the range in its upper 31 bits and the place within it in the lower 33
+    part, within = F.shiftright(place, 33), F.col(place).bitwiseAND((1 << 33) - 1)
+    sizes = laid.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()  # a row a range
+    base, before = {}, 0
+    for r in sorted(sizes):
+        base[r.part], before = before, before + r.n
+    if not base:
+        return laid.select(*df.columns, F.lit(0).cast("long").alias(name))
+    starts = F.lit([base.get(i, 0) for i in range(max(base) + 1)])
+    return laid.select(*df.columns, (F.element_at(starts, part.cast("int") + 1) + within).cast("long").alias(name))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores so that no column of df has it."""
     taken = {c.lower() for c in df.columns}

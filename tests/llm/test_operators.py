@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from screenloom.llm import decontaminate, encoding, fingerprints, langid, packing, repeats, secrets, sharding, simhash
+from screenloom.llm import common, decontaminate, encoding, fingerprints, importance, langid, packing, phrases, quality, repeats, secrets, sharding, simhash
 
 CLASHING = "key part shard label score lang_pred _lang language held_out curve row found spans whole base tokens words tie low size node bucket chunk begin".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
@@ -524,3 +524,170 @@ def test_components(spark):
     for hub in (100_000, 7):
         assert {r.node: r.component for r in components(df, hub).collect()} == {n: c for n, c in label.items() if any(n in e and e[0] != e[1] for e in edges)}
     assert components(df.limit(0)).count() == 0
+
+
+def plain_statistics(text):
+    """A few of the statistics of op11, one text at a time."""
+    t = text or ""
+    words = words_of(t)
+    letters = sum(c.isascii() and c.isalpha() and c.islower() or ord(c) > 127 for c in t)
+    pairs = list(zip(words, words[1:]))
+    lines = [x for x in re.split("[\x0a-\x0d]", t) if x]
+    share = lambda a, b: np.log(quality.SMALL + a / max(b, 1))
+    low = [w.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for w in words]
+    return {
+        0: np.log1p(len(t)), 1: np.log1p(len(words)), 2: np.log1p(sum(map(len, words)) / max(1, len(words))), 4: np.log1p(max(map(len, words), default=0)), 6: np.log1p(len(lines)),
+        7: share(letters, len(t)), 15: share(len(set(low)), len(words)), 16: share(max(Counter(low).values(), default=0), len(words)), 17: share(len(set(zip(low, low[1:]))), len(pairs)),
+        18: share(sum(a == b for a, b in zip(low, low[1:])), len(pairs)), 20: share(len(set(lines)), len(lines)),
+    }
+
+
+def test_op11_statistics(rows):
+    import pyarrow as pa
+
+    texts = [r[1] for r in rows] + ["Ab12 !! cd\nAb12 !! cd\r\n\n x x x", "A" * 5000 + "\n" * 3]
+    made = quality.statistics(pa.array(texts))
+    assert made.shape == (len(texts), quality.WIDTH) and np.isfinite(made).all()
+    for got, text in zip(made, texts):
+        for place, value in plain_statistics(text).items():
+            assert got[place] == pytest.approx(value, abs=1e-9), (place, text and text[:40])
+
+
+def test_op11(spark, docs, rows):
+    """The fitted discriminant against numpy on the same labelled rows, for tables with nulls, repeated ids and labels that contradict each other."""
+    import pyarrow as pa
+
+    labels = [(i, int(r[1] is not None and len(r[1]) > 200), 0) for i, r in enumerate(rows) if i % 4] + [(3, 0, 0), (3, 1, 0), (5, None, 0), (None, 1, 0), (7, 2, 0), (9, 1, 0), (9, 1, 0)]
+    got = quality.quality_digest(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert multiset((r.doc_id, r.held_out) for r in got) == multiset((r[0], r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0) for r in rows)
+    known = [(q, r) for i, q in sorted({(i, q) for i, q, _ in labels if i is not None and q in (0, 1)}) for r in rows if r[0] == i and zlib.crc32(str(i).encode()) % 5]
+    x, y = quality.statistics(pa.array([r[1] for _, r in known])).astype(np.float32).astype(float), np.array([q for q, _ in known])
+    centre, scale = x.mean(axis=0), np.sqrt(np.maximum(x.var(axis=0), 1e-6))
+    everyone = (quality.statistics(pa.array([r[1] for r in rows])).astype(np.float32).astype(float) - centre) / scale
+    logs = []
+    for one in (0, 1):
+        z = (x[y == one] - centre) / scale
+        d = z - z.mean(axis=0)
+        s = d.T @ d / len(d)
+        level = np.trace(s) / len(s)
+        share = min(1, max((((d * d).sum(axis=1)) ** 2).mean() - (s * s).sum(), 0) / len(d) / ((s - level * np.eye(len(s))) ** 2).sum())
+        s = (1 - share) * s + (share * max(level, 1e-3) + 1e-6) * np.eye(len(s))
+        away = everyone - z.mean(axis=0)
+        logs.append(np.log(len(d) + 1) - np.linalg.slogdet(s)[1] / 2 - (away @ np.linalg.inv(s) * away).sum(axis=1) / 2)
+    wanted = 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -700, 700)))
+    by = {(r[0], round(float(w), 6)) for r, w in zip(rows, wanted)}
+    assert {(r.doc_id, round(r.score, 6)) for r in got} == by
+    assert all(r.predicted == int(r.score >= 0.3) for r in got)
+
+
+def test_op11_one_label(spark, docs, empty):
+    """Without labels every score is a half; with one label alone it is that label's share."""
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.score for r in quality.quality_digest(docs, none).collect()} == {0.5}
+    one = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert all(r.score > 0.9 and r.predicted == 1 for r in quality.quality_digest(docs, one).collect())
+    assert quality.quality_digest(empty, one).collect() == []
+
+
+def plain_collocations(rows, longest=3, least=10, top=2000):
+    low, counts, total = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), {}, Counter()
+    for lang, text in rows:
+        own = counts.setdefault(lang or "und", Counter())
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(low)):
+            words = re.findall("[^\x20\x09]+", piece)
+            total[lang or "und"] += len(words)
+            own.update(tuple(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    out = []
+    for lang, own in counts.items():
+        found = {p: a for p, a in own.items() if a >= least and len(p) > 1}
+        held = {q: max(a for p, a in found.items() if len(p) > len(q) and any(p[i : i + len(q)] == q for i in range(len(p)))) if any(len(p) > len(q) and any(p[i : i + len(q)] == q for i in range(len(p))) for p in found) else 0 for q in found}
+        made = []
+        for p, a in found.items():
+            if 100 * held[p] < 50 * a:
+                score, k = min((1000000 * a * a // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p)))
+                made.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        out += [(lang, n + 1, p.decode(), -a, l, r, total[lang], -s) for n, (s, a, p, l, r) in enumerate(sorted(made)[:top])]
+    return out
+
+
+@pytest.mark.parametrize("longest,sizes,hub", [(3, (25, 27, 1_000_000), 100_000), (4, (14, 14, 40), 2)])
+def test_op12(spark, docs, rows, monkeypatch, longest, sizes, hub):
+    """With room to spare, and with so few buckets and rows held that all of it is full."""
+    monkeypatch.setattr(phrases, "HUB", hub)
+    bits = phrases.Bits(*sizes)
+    more = [(100, "New York, New York! NEW york\tnew  york. Ümläut Ümläut, a-b a-b;a-b " * 8, "xx", None, 1), (101, "x" * 5000 + " y", "xx", None, 1)]
+    table = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string, source string, n_chars long"))
+    got = phrases.collocations(table, longest, bits=bits).collect()
+    expected = plain_collocations([(r[2], r[1]) for r in [*rows, *more]], longest)
+    assert sorted(map(tuple, got)) == sorted(expected) and len(got) > 50
+    short = phrases.collocations(table, longest, top=3, bits=bits).collect()
+    assert sorted(map(tuple, short)) == sorted(r for r in expected if r[1] <= 3)
+
+
+def test_op12_empty(empty):
+    assert phrases.collocations(empty).collect() == []
+
+
+def test_op12_large_counts(spark):
+    """Products beyond 64 bits are exact."""
+    scored = spark.sql("select 3000000000L as a, 3000000001L as l, 3000000007L as r").selectExpr("(cast(1000000 as decimal(38,0)) * cast(a as decimal(38,0)) * cast(a as decimal(38,0))) div (cast(l as decimal(38,0)) * cast(r as decimal(38,0))) as s")
+    assert scored.first().s == 1000000 * 3000000000**2 // (3000000001 * 3000000007)
+
+
+def plain_draw(rows, target, share, least, runs, buckets, seed):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    import math
+
+    def feats(text):
+        w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(low))
+        return len(w), [zlib.crc32(" ".join(w[i : i + k]).encode()) % buckets for k in range(1, runs + 1) for i in range(len(w) - k + 1)]
+
+    own = [(i, *feats(t)) for i, t in rows]
+    s, t = Counter(b for *_, f in own for b in f), Counter(b for x in target for b in feats(x)[1])
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (s.total() + buckets) / ((s[b] + 1) * (t.total() + buckets)))) for b in range(buckets)]
+    out = []
+    for i, n, f in own:
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n >= least))
+    pool = sorted((r for r in out if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    return out, [r[:4] for r in pool[: share * len(pool) // 100]]
+
+
+@pytest.mark.parametrize("share,runs,buckets", [(10, 1, 10_000), (70, 2, 97)])
+def test_op13(spark, docs, rows, share, runs, buckets):
+    target = ["The house by the river", None, "", "stone, light; under-over x 12 été " + "z" * 300]
+    got = importance.resampled(docs, spark.createDataFrame([(t,) for t in target], "text string"), share / 100, 20, runs, buckets).collect()
+    everyone, drawn = plain_draw([(r[0], r[1]) for r in rows], target, share, 20, runs, buckets, 2024)
+    assert multiset((r.doc_id, r.n_features, r.weight, r.score) for r in got) == multiset(r[:4] for r in everyone)
+    ranked = sorted((r for r in got if r["rank"] is not None), key=lambda r: r["rank"])
+    assert [r["rank"] for r in ranked] == list(range(1, len(drawn) + 1)) and [tuple(r)[:4] for r in ranked] == drawn
+
+
+def test_op13_empty(spark, docs, empty):
+    none = spark.createDataFrame([], "text string")
+    assert importance.resampled(empty, none).collect() == []
+    assert sum(r["rank"] is not None for r in importance.resampled(docs, none).collect()) > 0
+
+
+def test_op13_crcs():
+    rng = np.random.default_rng(3)
+    body = rng.integers(0, 256, 5000).astype(np.uint8)
+    starts = np.sort(rng.integers(0, 4000, 200))
+    ends = starts + rng.choice([0, 1, 3, 63, 64, 65, 500], 200)
+    assert importance.crcs(body, starts, ends).tolist() == [zlib.crc32(body[a:b]) for a, b in zip(starts, ends)]
+
+
+def test_numbered_equal_rows(spark):
+    """Rows alike in the order are spread over ranges, and places are 0 to n - 1."""
+    same = common.table(spark.range(0, 40_000, 1, 8).selectExpr("if(id < 30000, 7L, id) as x"), "same")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        laid = common.numbered(same, [same["x"].asc()])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = laid.collect()
+    assert sorted(r.position for r in got) == list(range(40_000))
+    order = sorted(got, key=lambda r: r.position)
+    assert all(a.x <= b.x for a, b in zip(order, order[1:]))
+    assert len(laid.inputFiles()) == 4

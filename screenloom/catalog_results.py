@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .catalog import EDGES, INTENDED, LABELLED, TSS, query
-from .operators import evaluation, exports, genomics, guides, models, order, pairs, preparation, statistics
+from .catalog import EDGES, INTENDED, LABELLED, LIMIT, TSS, query
+from .operators import evaluation, exports, genomics, guides, models, order, pairs, preparation, regression, statistics
 from .plans import store
 
 META = "meta AS (SELECT guide_id, target, chr, pos AS \"start\", pos + 20 AS \"end\" FROM guides),"
@@ -245,6 +245,29 @@ def stratified_score(s):
     return models.stratified_score(s.counts, s.assigned, cells, DEPTHS)
 
 
+def _design(s):
+    """Batch and the logarithm of depth, in steps of a 64th."""
+    cells = s.cells.join(s.metrics.select("cell", F.log("total").alias("log_depth")), "cell", "left").na.fill(0, ["log_depth"])
+    return regression.design(cells, ["batch"], ["log_depth"])
+
+
+@query()
+def nb_regression(s):
+    """Coefficients of every gene's negative-binomial regression on batch and depth."""
+    made = _design(s)
+    return regression.coefficients(regression.nb_regression(s.counts, made), made.names)
+
+
+@query()
+def resampled_p_values(s):
+    """Every guide and gene within the cis distance, against treated cells drawn anew within batch and depth."""
+    made, counts = _design(s), store.written(s.counts, "counts")
+    near = pairs.within_distance(s.guides, s.genes, LIMIT).select(F.col("guide_id").alias("guide"), "gene")
+    tested = counts.join(near.select("gene").distinct(), "gene", "left_semi")
+    fits = store.written(regression.nb_regression(tested, made), "fits")
+    return regression.resampled_p(counts, s.assigned, made, fits, near)
+
+
 @query()
 def pca_by_batch(s):
     vectors = s.table("embeddings").select((F.col("label") % 3).cast("string").alias("batch"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))

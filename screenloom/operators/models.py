@@ -6,12 +6,15 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import two_sided_p
 from ..plans.store import written
 from .order import ranked
+from .regression import by_blocks, dense
 
 
 def poisson_mixture(values: np.ndarray, restarts: int = 5, rounds: int = 100, weights: np.ndarray | None = None) -> np.ndarray:
@@ -75,11 +78,12 @@ def stratified_score(counts: DataFrame, treated: DataFrame, cells: DataFrame, de
     counts (cell, gene, n), treated (cell, unit), cells (cell, batch, depth). Under the null model a gene's mean in a cell is a rate of its batch
     times the cell's depth, which is taken at the mean of its stratum (batch and level of depth); its overdispersion is fitted by moments over
     all cells. The score of the treated cells against all of them has the variance that is left after the batches' rates are fitted.
-    Cells without a count enter through the strata's sizes, so no zeros are laid out.
+    Cells without a count enter through the strata's sizes, so no zeros are laid out. Expected counts and variances of all pairs are products of
+    the genes' and the units' vectors over strata, block by block (by_blocks); a pair is shuffled once.
     """
     placed = strata(cells, depths).select("cell", "batch", "stratum", "depth")
     sizes = placed.groupBy("batch", "stratum").agg(F.count("*").alias("cells"), F.avg("depth").alias("depth"))
-    known = counts.join(placed.select("cell", "stratum"), "cell")
+    known = written(counts.join(placed.select("cell", "stratum"), "cell"), "known")
     own = known.groupBy("gene", "stratum").agg(F.sum("n").alias("y"), F.sum(F.col("n") * F.col("n")).alias("q"))
     # every gene in every stratum of a batch where it has a count
     rates = own.join(sizes, "stratum").groupBy("gene", "batch").agg(F.sum("y").alias("y_batch"))
@@ -89,18 +93,29 @@ def stratified_score(counts: DataFrame, treated: DataFrame, cells: DataFrame, de
     square = F.col("mean") * F.col("mean")
     left = F.sum(F.col("q") - 2 * F.col("y") * F.col("mean") + F.col("cells") * square)
     spread = joined.groupBy("gene").agg(F.greatest(F.lit(0.0), (left - F.sum(F.col("cells") * F.col("mean"))) / F.sum(F.col("cells") * square)).alias("spread"))
-    model = written(means.join(spread, "gene").select("gene", "batch", "stratum", "cells", "mean", (1 + F.col("spread") * F.col("mean")).alias("scale")), "model")
-    whole = model.groupBy("gene", "batch").agg(F.sum(F.col("cells") * F.col("mean") / F.col("scale")).alias("whole"))
-    mine = written(known.join(treated, "cell").groupBy(unit, "gene", "stratum").agg(F.sum("n").alias("y")), "mine")
-    held = treated.join(placed.select("cell", "stratum"), "cell").groupBy(unit, "stratum").agg(F.count("*").alias("m"))
-    tested = mine.select(unit, "gene").distinct().join(held, unit).join(model.drop("cells"), ["gene", "stratum"]).join(mine, [unit, "gene", "stratum"], "left")
-    y, mu = F.coalesce("y", F.lit(0)), F.col("m") * F.col("mean")
-    batches = tested.groupBy(unit, "gene", "batch").agg(
-        F.sum(y).alias("observed"), F.sum(mu).alias("expected"), F.sum((y - mu) / F.col("scale")).alias("score"), F.sum(mu / F.col("scale")).alias("info")
-    )
-    joined = batches.join(whole, ["gene", "batch"]).groupBy(unit, "gene").agg(
-        F.sum("observed").alias("observed"), F.sum("expected").alias("expected"), F.sum("score").alias("score"), F.sum(F.col("info") - F.col("info") * F.col("info") / F.col("whole")).alias("info")
-    )
+    model = written(means.join(spread, "gene").select("gene", "batch", "stratum", "mean", (1 + F.col("spread") * F.col("mean")).alias("scale")), "model")
+    rows = sorted(sizes.collect())  # a row for each batch and level of depth
+    number = counts.sparkSession.createDataFrame([(r.stratum, i) for i, r in enumerate(rows)], "stratum string, place int")
+    batch, many = np.unique([r.batch for r in rows], return_inverse=True)[1].astype(int), np.array([r.cells for r in rows], float)
+    number = F.broadcast(number)
+    vectors = model.join(number, "stratum").select("gene", "place", "mean", (F.col("mean") / F.col("scale")).alias("share"))
+    held = treated.join(placed.select("cell", "stratum"), "cell").groupBy(unit, "stratum").agg(F.count("*").cast("double").alias("m")).join(number, "stratum").select(unit, "place", "m")
+    scaled = known.join(model.select("gene", "stratum", "scale"), ["gene", "stratum"]).select("cell", "gene", "n", (F.col("n") / F.col("scale")).alias("part"))
+    pairs = scaled.join(treated, "cell").groupBy(unit, "gene").agg(F.sum("n").cast("double").alias("observed"), F.sum("part").alias("part"))
+
+    def test(genes: pa.Table, units: pa.Table, asked: pa.Table) -> pa.Table:
+        names, (mean, part) = dense(genes, "gene", ["mean", "share"], len(many))
+        own, (m,) = dense(units, unit, ["m"], len(many))
+        at = np.asarray(pc.index_in(asked.column("gene"), names)), np.asarray(pc.index_in(asked.column(unit), own))
+        expected, drawn, info = (mean @ m.T)[at], np.zeros(asked.num_rows), np.zeros(asked.num_rows)
+        for b in range(batch.max(initial=-1) + 1):
+            some, whole = (part[:, batch == b] @ m[:, batch == b].T)[at], (part[:, batch == b] @ many[batch == b])[at[0]]
+            drawn += some
+            info += some - some * some / np.where(whole > 0, whole, 1)
+        return pa.table({unit: asked.column(unit), "gene": asked.column("gene"), "observed": asked.column("observed"), "expected": expected, "score": np.asarray(asked.column("part")) - drawn, "info": info})
+
+    kind = dict(treated.dtypes)[unit]
+    joined = by_blocks(written(vectors, "vectors"), written(held, "held"), pairs, test, f"{unit} {kind}, gene {dict(counts.dtypes)['gene']}, observed double, expected double, score double, info double", unit)
     z = F.when(F.col("info") > 1e-9, F.col("score") / F.sqrt("info"))
     made = joined.select(unit, "gene", "observed", "expected", F.log2((F.col("observed") + 0.01) / (F.col("expected") + 0.01)).alias("log2_fc"), z.alias("z"))
     return made.select(unit, "gene", F.col("observed").cast("long").alias("observed"), *[F.round(c, digits).alias(c) for c in ("expected", "log2_fc", "z")], F.round(two_sided_p(F.col("z")), digits).alias("p_value"))

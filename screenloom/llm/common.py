@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one number that a join may broadcast: some 48 MB as a hash table.
 BROADCAST_KEYS = 2_000_000
+#: Folders of the tables that this process wrote and did not drop, oldest first.
+WRITTEN: list[str] = []
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -51,6 +53,7 @@ def table(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
         (df.coalesce(parts) if parts else df).write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
+    WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
@@ -61,6 +64,18 @@ def drop_table(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        WRITTEN[:] = [path for path in WRITTEN if path.rsplit("/", 1)[1] != folder.getName()]
+
+
+def drop_written(spark: SparkSession, since: int, but: DataFrame) -> None:
+    """Remove the tables written after the first `since`, all but the table `but`: what a finished stage read on the way to its result."""
+    kept = {file.rsplit("/", 2)[1] for file in but.inputFiles()}
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in WRITTEN[since:]:
+        if path.rsplit("/", 1)[1] not in kept:
+            folder = files.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            WRITTEN.remove(path)
 
 
 def arrow_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_table, table
@@ -11,18 +11,21 @@ HUB = 100_000  # edges of a node that one join task takes
 ROWS = 200_000  # edges of a written file
 
 
-def with_least(edges: DataFrame, hub: int = HUB, few: int = 1, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """edges (u, v) with m, the least v of their u, and the table (u, m) of every u, both of u with `few` edges or more.
+def with_least(edges: DataFrame, hub: int = HUB, few: int = 1, parts: int | None = None, own: Column | None = None, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """edges (u, v, more) with m, the least v of their u, and the table (u, m) of every u, both of u with `few` edges or more.
+
+    own: which edges can be the least; a u without one has no m and is left out.
 
     The minimum is aggregated before the shuffle. A node with n edges, n over `hub`, is dealt to ceil(n / hub) keys of the
     join, each with a copy of its minimum; these nodes are at most edges / hub, and are broadcast.
     """
-    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).where(F.col("n") >= few)
+    least = F.min("v") if own is None else F.min(F.when(own, F.col("v")))
+    low = edges.groupBy("u").agg(least.alias("m"), F.count("*").alias("n")).where((F.col("n") >= few) & F.col("m").isNotNull())
     low = table(low.select("u", "m", F.ceil(F.col("n") / hub).alias("deals")), "low", parts)
     hubs = low.where("deals > 1").select("u", "deals")
     copies = low.select("u", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"))
-    dealt = edges.join(F.broadcast(hubs), "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("deals", F.lit(1).cast("long"))).alias("deal"))
-    return dealt.join(copies, ["u", "deal"]).select("u", "v", "m"), low
+    dealt = edges.join(F.broadcast(hubs), "u", "left").select("u", "v", *more, F.pmod(F.xxhash64("v"), F.coalesce("deals", F.lit(1).cast("long"))).alias("deal"))
+    return dealt.join(copies, ["u", "deal"]).select("u", "v", *more, "m"), low
 
 
 def components(edges: DataFrame, hub: int = HUB) -> DataFrame:

@@ -107,7 +107,7 @@ def windows_of(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def train(labelled: DataFrame, per_label: int = 600, most_rows: int = 60_000) -> ByteNetwork | None:
     """Fit a network on (doc_id, text, lang) rows: about per_label of each label, fewer where that would be over most_rows in all.
 
-    The rows are those with the smallest hashes of doc_id and text, and one window from the middle of each text is used. The driver gets
+    Rows are taken by a hash of doc_id and text, 1.2 times as many as wanted at first, and one window from the middle of each text is used. The driver gets
     at most 1.25 * most_rows windows; with more labels than rows some labels go unlearnt. None if there is no labelled text.
     """
     known = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'")

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .columns import let
-from .common import free_name, table
+from .common import drop_table, free_name, numbered, table
 
 BITS = 4
 
@@ -108,41 +107,25 @@ def facts(docs: DataFrame, *more: Column) -> DataFrame:
     return found.select("*", F.xxhash64("doc_id", "text_crc32", "size").alias("tie"))
 
 
-def bases_of(placed: DataFrame) -> DataFrame:
-    """(curve, low, base): the number of rows before each bucket of placed (curve, low)."""
-    counts = placed.groupBy("curve", "low").agg(F.count("*").alias("n"))
-    cell_sums = counts.groupBy("curve").agg(F.sum("n").alias("cell_n"))  # at most 65,536 rows
-    cell_sums = cell_sums.select("curve", F.coalesce(F.sum("cell_n").over(W.orderBy("curve").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("cell_before"))
-    before = counts.select("curve", "low", F.coalesce(F.sum("n").over(W.partitionBy("curve").orderBy("low").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("low_before"))
-    return before.join(cell_sums, "curve").select("curve", "low", (F.col("low_before") + F.col("cell_before")).alias("base"))
-
-
-def positioned(placed: DataFrame, bases: DataFrame) -> DataFrame:
-    """placed with position, its place from 0: the rows in earlier buckets and the rank in the own bucket, by tie."""
-    rank = F.row_number().over(W.partitionBy("curve", "low").orderBy("tie"))
-    return placed.join(bases, ["curve", "low"]).withColumn("position", F.col("base") + rank - 1)
-
-
 def on_curve(rows: DataFrame) -> DataFrame:
-    """rows (with the columns of facts) with curve, their place on it by quantiles of doc_id, size, lang and source, and low: 8 bits of tie."""
+    """rows (with the columns of facts) with curve, their place on it by quantiles of doc_id, size, lang and source."""
     lang, source = text_order(rows, ["lang", "source"])
     named = rows.withColumn("lang_order", lang).withColumn("source_order", source)
     cells = quantised(named.select("doc_id", "size", "lang_order", "source_order"), ["doc_id", "size", "lang_order", "source_order"])
-    return named.withColumn("curve", hilbert_index(cells)).withColumn("low", F.shiftright("tie", 56).cast("int")).drop("lang_order", "source_order")
+    return named.withColumn("curve", hilbert_index(cells)).drop("lang_order", "source_order")
 
 
 def hilbert_order(docs: DataFrame) -> DataFrame:
     """(doc_id, size, text_crc32, curve, position): every document's place from 0 in curve order.
 
     The dimensions are doc_id, the text's size, lang and source, each by quantiles of its order.
-    Ties on the curve are ordered by a hash of doc_id and text. Position is the number of rows in earlier
-    buckets plus the rank in the own bucket; a bucket is a cell of the curve (at most 65,536) and
-    8 bits of the hash, so that a cell with many rows is split. Only these figures are shuffled,
-    no text. Nulls: doc_id and text may be null (size 1, crc of no bytes); rows that repeat each
+    Ties on the curve are ordered by a hash of doc_id and text. Rows are dealt to ranges of that order,
+    and a place is the number of rows in earlier ranges and the place in the own one (numbered), so that neither a
+    cell with many rows nor a row that is there very often is one task's. Only these figures are shuffled, no text. Nulls: doc_id and text may be null (size 1, crc of no bytes); rows that repeat each
     other take places in no set order.
     """
-    placed = table(on_curve(table(facts(docs), "facts")).select("doc_id", "size", "text_crc32", "curve", "low", "tie"), "curve")
-    return positioned(placed, bases_of(placed)).select("doc_id", "size", "text_crc32", "curve", "position")
+    placed = table(on_curve(table(facts(docs), "facts")).select("doc_id", "size", "text_crc32", "curve", "tie"), "curve")
+    return numbered(placed, [F.col("curve"), F.col("tie")]).select("doc_id", "size", "text_crc32", "curve", "position")
 
 
 def shard_and_slot(n: int, shards: int) -> tuple[Column, Column]:
@@ -162,7 +145,8 @@ def write_shards(docs: DataFrame, path: str, shards: int = 8, rows_per_file: int
 
     The law is that of shard(): row counts of shards are at most one apart. A run of the curve is a range of few values in each dimension, so
     the min and max statistics of files and row groups prune on each of doc_id, size, lang and source. Files have about rows_per_file rows; a column shard_number
-    of docs would clash with the folders' and is an error. Rows are shuffled with their texts twice, for their places and for the files.
+    of docs would clash with the folders' and is an error. Rows are shuffled with their texts twice, for their places and for the files, and lie
+    in the shared folder in between.
     """
     if free_name(docs, "shard_number") != "shard_number":
         raise ValueError("docs have a column shard_number")
@@ -170,7 +154,8 @@ def write_shards(docs: DataFrame, path: str, shards: int = 8, rows_per_file: int
     number, slot = shard_and_slot(n, shards)
     whole = free_name(docs, "whole")
     placed = on_curve(facts(docs, F.struct("*").alias(whole)))
-    bases = table(bases_of(placed.select("curve", "low")), "bases")
-    laid = positioned(placed, bases).select(whole, number.alias("shard_number"), slot.alias("slot"))
+    ordered = numbered(placed.select(whole, "curve", "tie"), [F.col("curve"), F.col("tie")])
+    laid = ordered.select(whole, number.alias("shard_number"), slot.alias("slot"))
     files = max(shards, -(-n // rows_per_file))
     laid.repartitionByRange(files, "shard_number", "slot").sortWithinPartitions("shard_number", "slot").select(f"{whole}.*", "shard_number").write.partitionBy("shard_number").parquet(path)
+    drop_table(ordered)

@@ -195,15 +195,18 @@ def links(points: DataFrame, radius: int = 4, most: int = MOST, levels: int = LE
 def near_groups(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """(doc_id, fp, component_id) of each row: component_id is the smallest doc_id reachable by links of at most `radius` bits.
 
-    Exact copies meet as one fingerprint before any comparison. Texts without words have fingerprint 0 and are linked like
-    any other. A row with a null doc_id takes part through its fingerprint if another row has
-    it, and never names a component; if it is alone its component is null. Rows that repeat a doc_id stay.
+    Exact copies meet as one fingerprint before any comparison, and links are between fingerprints, so a row with a null doc_id links its
+    neighbours like any other and only never names a component; a component of null ids alone is null. Texts without words have
+    fingerprint 0 and are linked like any other. Rows that repeat a doc_id stay.
     """
     own = table(fingerprints(docs, shingle), "fingerprints")
-    points = table(own.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "points")
-    found = components(links(points, radius))
-    named = points.join(found, points["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return own.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    points = table(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    found = components(links(points.select("fp", F.col("fp").alias("rep")), radius)).withColumnRenamed("node", "fp")
+    linked = table(found.join(points, "fp").select("fp", "component", "least"), "linked")
+    named = linked.groupBy("component").agg(F.min("least").alias("first"))
+    firsts = linked.select("fp", "component").join(named, "component").select("fp", "first")
+    known = points.join(firsts, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id"))
+    return own.join(known, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def near_groups_digest(docs: DataFrame) -> DataFrame:

@@ -153,11 +153,20 @@ def groups(points, radius):
 
 
 def test_op2(docs, rows):
-    known = [(i, fingerprint(t)) for i, t, *_ in rows if i is not None]
+    """Rows with a null doc_id take part in links and name no component."""
+    known = sorted(((i, fingerprint(t)) for i, t, *_ in rows), key=lambda r: (r[0] is None, r[0] or 0))
     first = groups([f for _, f in known], 4)
     expected = [(i, f"{f:016x}", known[g][0]) for (i, f), g in zip(known, first)]
-    got = simhash.near_groups_digest(docs).where("doc_id is not null").collect()
-    assert multiset(got) == multiset(expected)
+    assert multiset(simhash.near_groups_digest(docs).collect()) == multiset(expected)
+
+
+def test_op2_null_between(spark, monkeypatch):
+    """1 and 2 are 7 bits apart and meet through a row without an id, which also links two rows that have none."""
+    prints = {1: 0b111, 2: 0b1111000, None: 0}
+    made = spark.createDataFrame([(i, f) for i, f in prints.items()] + [(None, 1 << 60), (7, -1), (None, -1), (None, 0x0F0F0F0F0F0F)], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: docs)
+    got = simhash.near_groups(made).collect()
+    assert multiset((r.doc_id, r.component_id) for r in got) == multiset([(1, 1), (2, 1), (None, 1), (None, 1), (7, 7), (None, 7), (None, None)])
 
 
 @pytest.mark.parametrize("most, levels", [(20_000, 8), (30, 3), (30, 0)])
@@ -462,6 +471,16 @@ def test_op9_files(spark, docs, rows, empty, tmp_path):
         assert hit <= 0.7 * len(files), (column, hit, len(files))
 
 
+def test_op9_equal_rows(spark, tmp_path):
+    """Very many equal rows: the law holds, in figures and in files."""
+    spark.range(0, 30_000, 1, 4).selectExpr("5L as doc_id", "'same text' as text", "'en' as lang", "'s' as source").write.parquet(str(tmp_path / "same"))
+    same = spark.read.parquet(str(tmp_path / "same"))
+    got = sharding.shard(same).groupBy("shard").agg({"slot": "max", "*": "count"}).collect()
+    assert sorted(r["count(1)"] for r in got) == [3750] * 8 and {r["max(slot)"] for r in got} == {3749}
+    sharding.write_shards(same, str(tmp_path / "out"))
+    assert sorted(r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("shard_number").count().collect()) == [3750] * 8
+
+
 def test_hilbert_neighbours(spark):
     from pyspark.sql import functions as F
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import expressions as ex
@@ -18,6 +18,8 @@ from .plans import store
 STEPS = [10, 50, 100, 150]
 LIMIT = 100_000
 RESULT_DIGITS = 6
+Q_DIGITS = 9
+HALF = 1e-12  # so that a value between two rounded ones goes up in any engine
 
 
 class Screen:
@@ -73,7 +75,12 @@ class Screen:
 
     @cached_property
     def results(self) -> DataFrame:
-        return statistics.bh(self.kept_effects, "p_value")
+        return statistics.bh(self.kept_effects, "p_value").withColumn("q_value", F.round(F.col("q_value") + HALF, Q_DIGITS))
+
+    @cached_property
+    def rejected(self) -> Column:
+        """Whether a result is rejected at 0.05: by the largest rejected p, without an order of all results."""
+        return F.coalesce(F.col("p_value") <= F.lit(statistics.rejection_cut(self.kept_effects, "p_value", 0.05)), F.lit(False))
 
     @cached_property
     def edges(self) -> DataFrame:
@@ -120,9 +127,10 @@ zed AS (SELECT *, (m1 - m0) / nullif(sqrt(v1 / cells + v0 / r), 0) AS z0 FROM ra
 tee AS (SELECT *, 1 / (1 + 0.3275911 * abs(z0) / sqrt(2)) AS t0 FROM zed),
 eff AS MATERIALIZED (SELECT guide_id, gene, cells, round(log2((m1 + 0.01) / (m0 + 0.01)), 6) AS log2_fc, round(z0, 6) AS z,
   round(t0 * (0.254829592 + t0 * (-0.284496736 + t0 * (1.421413741 + t0 * (-1.453152027 + t0 * 1.061405429)))) * exp(-z0 * z0 / 2), 6) AS p_value FROM tee),
-bhr AS MATERIALIZED (SELECT *, p_value * count(*) OVER () / row_number() OVER (ORDER BY p_value, guide_id, gene) AS q0, row_number() OVER (ORDER BY p_value, guide_id, gene) AS i FROM eff WHERE p_value IS NOT NULL),
-res AS (SELECT guide_id, gene, cells, log2_fc, z, p_value, least(1.0, min(q0) OVER (ORDER BY i DESC ROWS UNBOUNDED PRECEDING)) AS q_value FROM bhr
-  UNION ALL SELECT guide_id, gene, cells, log2_fc, z, p_value, NULL FROM eff WHERE p_value IS NULL),
+bhr AS (SELECT p_value AS p, count(*) AS c FROM eff WHERE p_value IS NOT NULL GROUP BY 1),
+bhq AS (SELECT p, p * sum(c) OVER () / sum(c) OVER (ORDER BY p) AS q0 FROM bhr),
+bhm AS MATERIALIZED (SELECT p, round(least(1.0, min(q0) OVER (ORDER BY p DESC)) + 1e-12, 9) AS q_value FROM bhq),
+res AS (SELECT guide_id, gene, cells, log2_fc, z, p_value, q_value FROM eff LEFT JOIN bhm ON p = p_value),
 """
 
 
@@ -364,10 +372,12 @@ def bonferroni(s):
     return statistics.bonferroni(s.effects, "p_value").select("guide_id", "gene", "p_bonferroni")
 
 
-@query("""k AS (SELECT guide_id, gene, p_value, p_value * count(*) OVER (PARTITION BY guide_id) / row_number() OVER (PARTITION BY guide_id ORDER BY p_value, gene) AS q0 FROM eff WHERE p_value IS NOT NULL),
-@@SELECT guide_id, gene, least(1.0, min(q0) OVER (PARTITION BY guide_id ORDER BY p_value DESC, gene DESC ROWS UNBOUNDED PRECEDING)) AS q_value FROM k UNION ALL SELECT guide_id, gene, NULL FROM eff WHERE p_value IS NULL""", True)
+@query("""k AS (SELECT guide_id, p_value AS p, count(*) AS c FROM eff WHERE p_value IS NOT NULL GROUP BY 1, 2),
+k0 AS (SELECT guide_id, p, p * sum(c) OVER (PARTITION BY guide_id) / sum(c) OVER (PARTITION BY guide_id ORDER BY p) AS q0 FROM k),
+k1 AS (SELECT guide_id, p, round(least(1.0, min(q0) OVER (PARTITION BY guide_id ORDER BY p DESC)) + 1e-12, 9) AS q_value FROM k0),
+@@SELECT e.guide_id, gene, q_value FROM eff e LEFT JOIN k1 ON k1.guide_id = e.guide_id AND p = p_value""", True)
 def bh_by_group(s):
-    return statistics.bh(s.kept_effects, "p_value", by=["guide_id"]).select("guide_id", "gene", "q_value")
+    return statistics.bh(s.kept_effects, "p_value", by=["guide_id"]).select("guide_id", "gene", F.round(F.col("q_value") + HALF, Q_DIGITS).alias("q_value"))
 
 
 PER = """per AS (SELECT guide_id, count(*) AS n_tests, count(*) FILTER (q_value < 0.05) AS n_sig, count(*) FILTER (q_value < 0.05 AND log2_fc > 0) AS n_up, count(*) FILTER (q_value < 0.05 AND log2_fc < 0) AS n_down,
@@ -376,12 +386,12 @@ round(median(log2_fc), 7) AS median_fc, max(abs(log2_fc)) AS max_abs_fc, round(c
 
 @query(PER + "@@SELECT * FROM per", True)
 def per_guide_trans(s):
-    return evaluation.per_guide(s.results)
+    return evaluation.per_guide(s.kept_effects, s.rejected)
 
 
 @query(PER + "@@SELECT control, count(*) AS guides, CAST(sum(n_tests) AS BIGINT) AS tests, CAST(sum(n_sig) AS BIGINT) AS sig, round(median(n_sig), 6) AS median_sig, round(avg(n_sig), 6) AS mean_sig FROM per JOIN guides USING (guide_id) GROUP BY control", True)
 def overall_trans(s):
-    return evaluation.overall(evaluation.per_guide(s.results), s.guides)
+    return evaluation.overall(evaluation.per_guide(s.kept_effects, s.rejected), s.guides)
 
 
 INTENDED = "intended AS (SELECT u.guide_id, target, log2_fc, p_value FROM guides u LEFT JOIN eff e ON e.guide_id = u.guide_id AND gene = target_gene WHERE NOT control),"

@@ -37,10 +37,15 @@ def concat_first_wins(s):
     return concat.first_wins([first, second, third], ["symbol", "chr"])
 
 
-@query("SELECT unnest(['doc_id', 'text']) AS name")
+@query("""a AS (SELECT doc_id, text FROM documents), b AS (SELECT doc_id, text FROM documents JOIN labels USING (doc_id)), u AS (SELECT * FROM a UNION ALL SELECT * FROM b),
+@@SELECT 'doc_id' AS name, count(*) AS n_rows, count(doc_id) AS filled FROM u UNION ALL SELECT 'text', count(*), count(text) FROM u""")
 def shared_columns(s):
+    """The columns that both tables have, with how many of all their rows have a value in each."""
     frames = [s.table("documents"), s.table("documents").join(s.table("labels"), "doc_id").select("doc_id", "quality", "text")]
-    return s.spark.createDataFrame([(c,) for c in concat.shared_columns(frames)], "name string")
+    names = concat.shared_columns(frames)
+    both = frames[0].select(names).unionByName(frames[1].select(names))
+    counted = both.agg(F.count("*").alias("n_rows"), *[F.count(c).alias(c) for c in names])
+    return counted.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col("n_rows"), F.col(c).alias("filled")) for c in names])).alias("x")).select("x.*")
 
 
 @query("SELECT guide_id AS guide, target, chr FROM guides")
@@ -98,7 +103,8 @@ def batch_covariates(s):
     return preparation.with_covariates(s.cells, preparation.covariate_table(s.spark, COVARIATES)).select("cell", "batch", "cov1")
 
 
-@query("SELECT 'n_regionkey + n_name' AS formula")
+@query("""l AS (SELECT 1 AS i, 'same' AS c, count(DISTINCT 'x') AS k FROM nation UNION ALL SELECT 2, 'n_regionkey', count(DISTINCT n_regionkey) FROM nation
+UNION ALL SELECT 3, 'empty', count(DISTINCT CAST(NULL AS VARCHAR)) FROM nation UNION ALL SELECT 4, 'n_name', count(DISTINCT n_name) FROM nation),@@SELECT string_agg(c, ' + ' ORDER BY i) AS formula FROM l WHERE k > 1""")
 def covariate_formula(s):
     table = s.table("nation").withColumn("same", F.lit("x")).withColumn("empty", F.lit(None).cast("string"))
     return s.spark.createDataFrame([(preparation.formula(table, ["same", "n_regionkey", "empty", "n_name"]),)], "formula string")
@@ -225,7 +231,7 @@ def number_formats(s):
     return s.guides.select("guide_id", ex.thousands(F.col("guide_id") * 12345).alias("thousands"), ex.percent(F.col("guide_id") / 128).alias("percent"))
 
 
-@query()
+@query("SELECT doc_id AS read_id FROM documents WHERE text IS NOT NULL AND ('0x' || substr(md5(doc_id || ':42'), 1, 15))::BIGINT < " + str(int(0.1 * 16**15)))
 def fastq_subsample(s):
     """A tenth of the reads by their hash, the same in every run: the sample is what is asked for."""
     return preparation.subsampled(s.reads, 0.1).select("read_id")

@@ -172,11 +172,13 @@ def validated_links_table(s):
     return evaluation.linked(s.kept_effects, s.guides, known)
 
 
-@query()
+@query("""b AS (SELECT guide_id, gene, log2_fc, p_value, row_number() OVER (ORDER BY ('0x' || substr(md5(guide_id || ':' || gene || ':42'), 1, 15))::BIGINT, guide_id, gene) AS place FROM eff WHERE p_value IS NOT NULL),
+@@SELECT guide_id, gene, log2_fc, p_value FROM b WHERE place <= 10000""", True)
 def volcano_background(s):
     """At most 10,000 results as the plot's background, by the smallest hashes: the sample is what is asked for."""
-    hashed = store.written(s.effects.where("p_value is not null").select("guide_id", "gene", "log2_fc", "p_value", F.xxhash64("guide_id", "gene", F.lit(42)).alias("h")), "background")
-    return order.ranked(hashed, "h", ["guide_id", "gene"], "place").where("place <= 10000").drop("h", "place")
+    text = F.concat_ws(":", F.col("guide_id").cast("string"), F.col("gene").cast("string"), F.lit("42"))
+    hashed = s.effects.where("p_value is not null").select("guide_id", "gene", "log2_fc", "p_value", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("h"))
+    return order.ranked(store.written(hashed, "background"), "h", ["guide_id", "gene"], "place").where("place <= 10000").drop("h", "place")
 
 
 @query("x AS (SELECT chr AS factor, guide_id, pos, s_acctbal AS score FROM guides JOIN supplier ON s_suppkey = guide_id), q AS (SELECT factor, quantile_cont(score, 0.75) AS cut FROM x GROUP BY factor),@@SELECT factor, guide_id, pos, score FROM x JOIN q USING (factor) WHERE score >= cut")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def per_guide(results: DataFrame, alpha: float = 0.05) -> DataFrame:
-    hit = F.col("q_value") < alpha
+def per_guide(results: DataFrame, hit: Column) -> DataFrame:
+    """Tests of each guide, and how many of them are hits: q_value < alpha, or p_value up to rejection_cut() where no q is needed."""
     tested = results.dropna(subset=["log2_fc", "p_value"])
     return tested.groupBy("guide_id").agg(
         F.count("*").alias("n_tests"),

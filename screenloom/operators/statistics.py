@@ -32,6 +32,34 @@ def bh(results: DataFrame, p: str, name: str = "q_value", by: list[str] | None =
     return results.join(low.select(*keys, p, F.least(F.lit(1.0), F.col("_low")).alias(name)), [*keys, p], "left").select(*results.columns, name)
 
 
+def rejection_cut(results: DataFrame, p: str, alpha: float, bins: int = 512) -> float | None:
+    """The largest p whose Benjamini-Hochberg adjusted value is below alpha, None if there is none: p and all smaller ones are rejected.
+
+    That is the largest p with p * n / (number of values up to p) < alpha. Values are counted in `bins` ranges between 0 and alpha, and from the
+    highest range on that may hold it, each is counted in finer ones until it is a single value. So nothing is ordered and no row is joined;
+    every pass gives the driver at most `bins` rows. results is read for each pass: hand in a written table.
+    """
+    values = results.where(F.col(p).isNotNull()).select(F.col(p).cast("double").alias("p"))
+    n = values.count()
+
+    def search(low: float, high: float, before: int) -> float | None:
+        width = (high - low) / bins or 1.0
+        place = F.least(F.floor((F.col("p") - low) / width), F.lit(bins - 1))
+        rows = sorted(values.where(F.col("p").between(low, high)).groupBy(place.alias("place")).agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).collect())
+        upto = before + sum(r.n for r in rows)
+        for r in reversed(rows):
+            if r.lo == r.hi:
+                found = r.lo if r.lo * n / upto < alpha else None
+            else:  # no value of the range does if even its least would not with all of the range counted
+                found = search(r.lo, r.hi, upto - r.n) if r.lo * n / upto < alpha else None
+            if found is not None:
+                return found
+            upto -= r.n
+        return None
+
+    return search(0.0, alpha, 0) if n else None
+
+
 def bonferroni(results: DataFrame, p: str, name: str = "p_bonferroni") -> DataFrame:
     total = results.agg(F.count(p).alias("_n"))
     return results.crossJoin(F.broadcast(total)).withColumn(name, F.least(F.lit(1.0), F.col(p) * F.col("_n"))).drop("_n")

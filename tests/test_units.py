@@ -19,6 +19,21 @@ def test_bh_skips_nulls(spark):
     assert q[4] is None and np.allclose(q[:4], [0.02, 0.04, 0.04, 0.02])
 
 
+def test_rejection_cut(spark):
+    """The largest rejected p against adjusted values of sorted rows, with ties, nulls, few bins and none rejected."""
+    rng = np.random.default_rng(5)
+    for k, (share, digits) in enumerate([(0.3, 6), (0.02, 6), (0.3, 2), (0.0, 6)]):
+        p = np.round(np.where(rng.random(3000) < share, rng.random(3000) ** 6 / 50, rng.random(3000)), digits)
+        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(p)] + [(-1, None)], "i long, p double")
+        ordered = np.sort(p)
+        adjusted = np.minimum.accumulate((ordered * len(p) / np.searchsorted(ordered, ordered, side="right"))[::-1])[::-1]
+        for alpha in (0.05, 0.5):
+            hits = ordered[adjusted < alpha]
+            wanted = hits.max() if len(hits) else None
+            assert statistics.rejection_cut(df, "p", alpha, bins=512 if k % 2 else 7) == wanted, (share, digits, alpha)
+    assert statistics.rejection_cut(df.where("p is null"), "p", 0.05) is None
+
+
 def test_areas(spark):
     df = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.7, 1), (0.6, 0)], "score double, label int")
     assert statistics.areas(df).first().auroc == 0.75

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import EDGES, INTENDED, LABELLED, LIMIT, TSS, query
-from .operators import evaluation, exports, genomics, guides, models, order, pairs, preparation, regression, statistics
+from .operators import assignment, evaluation, exports, genomics, guides, models, order, pairs, preparation, regression, statistics
 from .plans import store
 
 META = "meta AS (SELECT guide_id, target, chr, pos AS \"start\", pos + 20 AS \"end\" FROM guides),"
@@ -270,6 +270,13 @@ def resampled_p_values(s):
     return regression.resampled_p(counts, s.assigned, made, fits, near)
 
 
+@query()
+def mixture_with_covariates(s):
+    """Cells of each guide by its counts, where depth and batch move both components' means."""
+    counts = s.table("lineitem").groupBy(F.col("l_orderkey").alias("cell"), F.col("l_suppkey").alias("guide")).agg(F.sum("l_quantity").cast("long").alias("n"))
+    return assignment.assign_with_covariates(counts, _design(s))
+
+
 @query()
 def pca_by_batch(s):
     vectors = s.table("embeddings").select((F.col("label") % 3).cast("string").alias("batch"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,16 +59,34 @@ def ranked(df: DataFrame, key: str, ties: list[str], name: str = "rank", descend
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key in the given order."""
+    """The first row of each key in the given order; null keys are a key.
+
+    Spark keeps the first row of each key in every task before the shuffle (WindowGroupLimit), so a hot key sends a row a task.
+    """
     return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Every row whose key occurs more than once."""
-    return df.withColumn("_n", F.count("*").over(W.partitionBy(*keys))).where("_n > 1").drop("_n")
+    """Every row whose key occurs more than once; null keys are a key.
+
+    Keys are counted first and rows then joined to them, which AQE may split: no window has to hold all rows of a frequent key. df is read twice.
+    """
+    many = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return df.join(many, reduce(lambda x, y: x & y, [df[k].eqNullSafe(many[f"_{k}"]) for k in keys]), "left_semi")
 
 
 def unique_names(df: DataFrame, name: str, order: str) -> DataFrame:
-    """name made unique by -1, -2 and so on after the first of each."""
-    n = F.row_number().over(W.partitionBy(name).orderBy(order)) - 1
-    return df.withColumn("unique_name", F.when(n == 0, F.col(name)).otherwise(F.concat_ws("-", F.col(name), n.cast("string"))))
+    """name made unique by -1, -2 and so on after the first of each, in the order of a number that must not be null; null names stay null.
+
+    Rows are numbered within a name and a range of the order, after those that the name has in earlier ranges, so a frequent name is spread
+    over ranges. df is read three times: hand in a written table if it is dear.
+    """
+    parts = dealt(df, order, [])
+    counts = parts.groupBy(F.col(name).alias("_name"), F.col("_bucket").alias("_b")).agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(W.partitionBy("_name").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # at most MOST rows a name
+    starts = counts.select("_name", "_b", before.alias("_before"))
+    inside = parts.withColumn("_n", F.row_number().over(W.partitionBy(name, "_bucket").orderBy(order)) - 1)
+    placed = inside.join(starts, (F.col("_bucket") == F.col("_b")) & F.col(name).eqNullSafe(F.col("_name")))
+    n = F.col("_n") + F.col("_before")
+    unique = F.when(n == 0, F.col(name)).when(F.col(name).isNotNull(), F.concat_ws("-", F.col(name), n.cast("string")))
+    return placed.select(*df.columns, unique.alias("unique_name"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..plans.store import written
 from .order import ranked
+from .quantiles import exact_quantiles
 
 
 def cell_metrics(counts: DataFrame, genes: DataFrame) -> DataFrame:
@@ -32,19 +33,29 @@ def fraction_filter(counts: DataFrame, fraction: float) -> DataFrame:
 
 
 def summaries(cells: DataFrame, columns: list[str], by: str = "batch") -> DataFrame:
-    """Median, mean, deviation, extremes and quartiles of each column, for every batch and for all."""
+    """Median, mean, deviation, extremes and quartiles of each column, for every batch and for all.
 
-    def seven(c: str):
-        yield F.round(F.median(c), 6).alias(f"{c}_median")
+    Quantiles are exact and found by counting ranges, so no task holds the values of a batch, or of all cells. cells is worked out once.
+    """
+    cells = written(cells.select(by, *columns), "cells")
+
+    def four(c: str):
         yield F.round(F.avg(c), 6).alias(f"{c}_mean")
         yield F.round(F.stddev_samp(c), 6).alias(f"{c}_std")
         yield F.min(c).alias(f"{c}_min")
         yield F.max(c).alias(f"{c}_max")
-        yield F.round(F.percentile(c, 0.25), 6).alias(f"{c}_q25")
-        yield F.round(F.percentile(c, 0.75), 6).alias(f"{c}_q75")
 
-    grouped = cells.groupingSets([[by], []], by).agg(F.count("*").alias("n_cells"), *[m for c in columns for m in seven(c)])
-    return grouped.withColumn(by, F.coalesce(by, F.lit("all")))
+    # grouping_id tells the row of all cells from that of cells without a batch
+    whole = F.grouping_id().cast("int")
+    grouped = cells.groupingSets([[by], []], by).agg(F.count("*").alias("n_cells"), *[m for c in columns for m in four(c)], whole.alias("_all"))
+    both = cells.select(by, *columns, F.lit(0).alias("_all")).unionByName(cells.select(F.lit(None).cast(dict(cells.dtypes)[by]).alias(by), *columns, F.lit(1).alias("_all")))
+    names = {0.5: "median", 0.25: "q25", 0.75: "q75"}
+    found = exact_quantiles(both, [by, "_all"], columns, list(names))
+    wide = found.groupBy(by, "_all").agg(*[F.round(F.max(F.when((F.col("column") == c) & (F.col("share") == s), F.col("value"))), 6).alias(f"{c}_{n}") for c in columns for s, n in names.items()])
+    wide = wide.withColumnsRenamed({by: "_by", "_all": "_whole"})
+    joined = grouped.join(wide, grouped[by].eqNullSafe(wide["_by"]) & (F.col("_all") == F.col("_whole")), "left")
+    order = [f"{c}_{n}" for c in columns for n in ("median", "mean", "std", "min", "max", "q25", "q75")]
+    return joined.select(F.coalesce(grouped[by], F.lit("all")).alias(by), "n_cells", *order)
 
 
 def ladder(cells: DataFrame, column: str, steps: list[int]) -> DataFrame:

@@ -341,6 +341,12 @@ def chunk_manifest(s):
     return guides.chunks(s.genes, 300)
 
 
+@query("""r AS (SELECT row_number() OVER (ORDER BY gene) AS r FROM genes), t AS (SELECT count(*) AS n, count(*) > 300 AND count(*) * (SELECT count(*) FROM cells) > 2147483647 AS cut FROM genes),
+@@SELECT 'auto' AS mode, CASE WHEN cut THEN (r - 1) // 300 ELSE 0 END AS chunk, min(r) AS first, max(r) AS last, count(*) AS genes FROM r, t GROUP BY 2""")
+def chunk_plan_auto(s):
+    return guides.planned_chunks(s.genes, s.cells.count(), 300)
+
+
 @query("""t AS (SELECT count(*) AS n, CAST(ceil(count(*) / 300.0) AS BIGINT) AS k FROM genes), r AS (SELECT row_number() OVER (ORDER BY gene) - 1 AS r FROM genes),
 @@SELECT CASE WHEN r < n % k * (n // k + 1) THEN r // (n // k + 1) ELSE n % k + (r - n % k * (n // k + 1)) // (n // k) END AS chunk, min(r) AS start, max(r) + 1 AS stop FROM r, t GROUP BY 1""")
 def balanced_chunks(s):

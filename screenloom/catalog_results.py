@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import EDGES, INTENDED, LABELLED, LIMIT, TSS, query
-from .operators import assignment, evaluation, exports, genomics, guides, models, order, pairs, preparation, regression, statistics
+from .operators import assignment, evaluation, exports, genomics, guides, models, order, pairs, preparation, qc, regression, statistics
 from .plans import store
 
 META = "meta AS (SELECT guide_id, target, chr, pos AS \"start\", pos + 20 AS \"end\" FROM guides),"
@@ -148,10 +148,10 @@ def results_in_order(s):
     return order.ranked(s.kept_effects.select("guide_id", "gene", "log2_fc", "p_value"), "gene", ["guide_id"], "place")
 
 
-@query("SELECT guide_id, gene, p_value <= 0.05 AS significant FROM eff WHERE p_value IS NOT NULL", True)
+@query("SELECT guide_id, gene, q_value <= 0.05 AS significant FROM res WHERE q_value IS NOT NULL", True)
 def corrected_shortcut(s):
     """Values that are adjusted already are held against the rate as they are."""
-    return s.effects.where("p_value is not null").select("guide_id", "gene", (F.col("p_value") <= 0.05).alias("significant"))
+    return s.results.where("q_value is not null").select("guide_id", "gene", (F.col("q_value") <= 0.05).alias("significant"))
 
 
 @query(LABELLED + "@@SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives, count(*) FILTER (label = 0) < count(*) FILTER (label = 1) AS too_few FROM lab", True)
@@ -277,6 +277,23 @@ def mixture_with_covariates(s):
     return assignment.assign_with_covariates(counts, _design(s))
 
 
+def _tag_sets(s):
+    values = qc.centred_log_ratio(s.tags, 6).join(s.cells, "cell").select("batch", "cell", F.col("feature").alias("tag"), F.col("clr").alias("value"))
+    return models.tag_sets(store.written(values, "tag-values"))
+
+
+@query()
+def hto_joint(s):
+    """Each cell's most likely set of tags with its probability and that of the next."""
+    return _tag_sets(s)
+
+
+@query()
+def hto_clusters(s):
+    """The sets of tags that occur, with their cells."""
+    return models.tag_clusters(_tag_sets(s))
+
+
 @query()
 def pca_by_batch(s):
     vectors = s.table("embeddings").select((F.col("label") % 3).cast("string").alias("batch"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
@@ -285,10 +302,10 @@ def pca_by_batch(s):
 
 @query()
 def doublet_filter(s):
-    """Cells that aren't called doublets."""
+    """Cells that aren't called doublets, by the threshold that the simulated ones' scores give."""
     from . import catalog
 
-    return models.doublet_calls(models.doublet_scores(catalog._vectors(s))).where("not is_doublet").select("id")
+    return models.called_doublets(catalog._vectors(s)).where("not is_doublet").select("id")
 
 
 @query("SELECT guide_id, count(*) AS n_tests, round(median(log2_fc), 7) AS median_fc, round(avg(log2_fc), 10) AS mean_fc FROM eff WHERE log2_fc IS NOT NULL AND p_value IS NOT NULL GROUP BY guide_id", True)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.checks import CheckError
+
 
 def per_guide(results: DataFrame, hit: Column) -> DataFrame:
     """Tests of each guide, and how many of them are hits: q_value < alpha, or p_value up to rejection_cut() where no q is needed."""
@@ -52,6 +54,16 @@ def labelled(results: DataFrame, guides: DataFrame) -> DataFrame:
     return positive.unionByName(negative)
 
 
+def require_controls(table: DataFrame) -> DataFrame:
+    """table (label 0 or 1) if it has positives and at least as many negatives, else an error: a balanced evaluation draws as many negatives as there are positives."""
+    found = table.agg(F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives")).first()
+    if not found.positives:
+        raise CheckError("no result is a positive")
+    if found.negatives < found.positives:
+        raise CheckError(f"{found.negatives} negatives for {found.positives} positives")
+    return table
+
+
 def linked(results: DataFrame, guides: DataFrame, links: DataFrame) -> DataFrame:
     """Scores 1 - p: positives are results on a validated link (target, gene), negatives controls on the genes of the positives."""
     known = results.where("p_value is not null").join(guides.select("guide_id", "control", "target"), "guide_id")

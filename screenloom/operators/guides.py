@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import CONTROL
+from ..plans.checks import CheckError
 from .order import ranked
 
+MOST_ENTRIES = 2**31 - 1  # cells x genes that are worked on without chunks
+
 
 def guides_per_target(guides: DataFrame) -> DataFrame:
     """Median number of guides of a target, cut to a whole number, at least one."""
@@ -56,6 +59,19 @@ def chunks(genes: DataFrame, size: int) -> DataFrame:
     return numbered.groupBy(F.floor((F.col("row") - 1) / size).cast("long").alias("chunk")).agg(F.min("row").alias("first"), F.max("row").alias("last"), F.count("*").alias("genes"))
 
 
+def planned_chunks(genes: DataFrame, cells: int, size: int, mode: str = "auto", most: int = MOST_ENTRIES) -> DataFrame:
+    """(mode, chunk, first, last, genes): chunks() if the matrix is to be cut, else all genes as one.
+
+    auto cuts a matrix of more than `most` entries (cells x genes), force always, off never; no more genes than `size` are one chunk in any mode.
+    Another mode, or a size below 1, is an error. No genes give no rows.
+    """
+    if mode not in ("auto", "off", "force") or size < 1:
+        raise CheckError(f"mode {mode!r} is none of auto, off and force, or size {size} is below 1")
+    n = genes.count()
+    cut = n > size and (mode == "force" or mode == "auto" and cells * n > most)
+    return chunks(genes, size if cut else max(1, n)).select(F.lit(mode).alias("mode"), "chunk", "first", "last", "genes")
+
+
 def balanced_chunks(genes: DataFrame, size: int) -> DataFrame:
     """As few chunks as `size` allows, whose sizes differ by one at most; the first ones take what is left over."""
     n = genes.count()

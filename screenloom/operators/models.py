@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import two_sided_p
@@ -179,6 +180,32 @@ def hashing_tags(tag_counts: DataFrame) -> DataFrame:
     return marked.select("cell", F.when(F.col("tags") == "", "negative").otherwise(F.col("tags")).alias("tags"))
 
 
+def tag_sets(tag_counts: DataFrame, digits: int = 6) -> DataFrame:
+    """(batch, cell, tags, n_tags, posterior, second_posterior) from (batch, cell, tag, value): each cell's most likely set of tags among all sets.
+
+    A set's probability is the product of its tags' posteriors of the upper Gaussian and of the other tags' of the lower one; over all sets they add up to
+    1. So the best set has each tag on its likelier side, the next best differs in the tag whose sides are closest, and no other set
+    has to be laid out. A posterior never falls as the value rises: it is 0 up to the lower mean, and beyond the upper one at least what it is there. A tag without a row is
+    absent. Tags are joined by '-'; none: negative. A tie goes to the set without the tag.
+    """
+    levels = tag_counts.groupBy("batch", "tag", "value").agg(F.count("*").alias("weight"))
+    x = F.col("value")
+    share = F.when((F.col("m1") <= F.col("m0")) | (x <= F.col("m0")), 0.0).when(x >= F.col("m1"), F.greatest(upper_share(x), upper_share(F.col("m1")))).otherwise(upper_share(x))
+    placed = tag_counts.join(F.broadcast(normal_mixture(levels)), ["batch", "tag"]).withColumn("p", share)
+    likelier, other = F.greatest("p", 1 - F.col("p")), F.least("p", 1 - F.col("p"))
+    tags = F.array_sort(F.collect_list(F.when(F.col("p") > 0.5, F.col("tag"))))
+    found = placed.groupBy("batch", "cell").agg(tags.alias("found"), F.exp(F.sum(F.log(likelier))).alias("posterior"), F.max(other / likelier).alias("odds"))
+    name = F.when(F.size("found") == 0, "negative").otherwise(F.array_join("found", "-"))
+    return found.select("batch", "cell", name.alias("tags"), F.size("found").alias("n_tags"), F.round("posterior", digits).alias("posterior"), F.round(F.col("posterior") * F.col("odds"), digits).alias("second_posterior"))
+
+
+def tag_clusters(sets: DataFrame, least: float = 0.8, digits: int = 6) -> DataFrame:
+    """(cluster, tags, n_tags, cells, sure, mean_posterior) of tag_sets(): clusters are numbered from 0 by the number of tags, then their names; sure cells have a posterior of `least` or more."""
+    groups = sets.groupBy("n_tags", "tags").agg(F.count("*").alias("cells"), F.count_if(F.col("posterior") >= least).alias("sure"), F.round(F.avg("posterior"), digits).alias("mean_posterior"))
+    number = F.row_number().over(W.orderBy("n_tags", "tags")) - 1  # a row for each set that occurs
+    return groups.select(number.alias("cluster"), "tags", "n_tags", "cells", "sure", "mean_posterior")
+
+
 def spline_basis(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
     """Columns 1, x, x^2, x^3 and (x - k)^3 beyond each knot, for x scaled to 0 .. 1."""
     return np.stack([np.ones_like(x), x, x**2, x**3, *(np.maximum(x - k, 0) ** 3 for k in knots)], axis=1)
@@ -311,17 +338,17 @@ def paired(vectors: DataFrame, ratio: int = 2, seed: int = 42) -> DataFrame:
     return both.select((F.col("place") * ratio + F.col("step")).alias("id"), F.zip_with("features", "more", lambda a, b: (a + b) / 2).alias("features"))
 
 
-def doublet_scores(vectors: DataFrame, k: int = 15, ratio: int = 2, components: int = 8, leaf: int = 2000, margin: float = 0.1, seed: int = 42) -> DataFrame:
+def doublet_scores(vectors: DataFrame, k: int = 15, ratio: int = 2, components: int = 8, leaf: int = 2000, margin: float = 0.1, seed: int = 42, simulated: bool = False) -> DataFrame:
     """(id, score) of (id, features array): the share of simulated doublets among each cell's k nearest neighbours, as a likelihood of being one.
 
     Simulated doublets are made of all cells, `ratio` for each; both kinds are reduced to principal components. Points are
     dealt to leaves of about `leaf` points by quantiles of one component after the other; a point whose component is within `margin` (in shares of
     its rank) of a bound is a neighbour to the leaf beyond it too. So neighbours are searched among all points near a cell; tests measure the recall. Points
-    that can't be told apart by their components are parted by a hash. No cells give no rows.
+    that can't be told apart by their components are parted by a hash. No cells give no rows. With `simulated` the simulated ones are scored too: (id, kind, score), kind 1.
     """
     n = vectors.count()
     if not n:
-        return vectors.select("id", F.lit(0.0).alias("score"))
+        return vectors.select("id", *([F.lit(0).alias("kind")] if simulated else []), F.lit(0.0).alias("score"))
     reduced = reducer(vectors, components)
     own = reduced(vectors.select("id", "features")).withColumn("kind", F.lit(0))
     made = reduced(paired(vectors, ratio, seed)).withColumn("kind", F.lit(1))
@@ -339,7 +366,7 @@ def doublet_scores(vectors: DataFrame, k: int = 15, ratio: int = 2, components:
 
     def score(p: pd.DataFrame) -> pd.DataFrame:
         x, kind = np.stack(p["pc"].to_numpy()), p["kind"].to_numpy(float)
-        asked = np.flatnonzero(p["home"].to_numpy(bool) & (kind == 0))
+        asked = np.flatnonzero(p["home"].to_numpy(bool) & (simulated | (kind == 0)))
         out = np.zeros(len(asked))
         size = min(k, len(x) - 1)
         for lo in range(0, len(asked), 512):
@@ -350,11 +377,57 @@ def doublet_scores(vectors: DataFrame, k: int = 15, ratio: int = 2, components:
             out[lo : lo + 512] = (kind[near].sum(axis=1) + 1) / (size + 2)
         # the share of simulated ones among neighbours, against their share among all points
         odds = out / (1 - out) / ratio
-        return pd.DataFrame({"id": p["id"].to_numpy()[asked], "score": np.round(odds / (1 + odds), 6)})
+        return pd.DataFrame({"id": p["id"].to_numpy()[asked], "kind": kind[asked].astype(int), "score": np.round(odds / (1 + odds), 6)})
+
+    scored = points.groupBy("leaf").applyInPandas(score, "id long, kind int, score double")
+    return scored if simulated else scored.drop("kind")
 
-    return points.groupBy("leaf").applyInPandas(score, "id long, score double")
+
+def valley(counts: np.ndarray, rounds: int = 10_000) -> int | None:
+    """The lowest place between the two peaks that a histogram has left after as many smoothings (means of three) as it takes; None if it never has two."""
+    h = np.asarray(counts, float)
+    for _ in range(rounds):
+        steps = np.sign(np.diff(h))
+        rising, peaks = True, []
+        for i, step in enumerate([*steps, -1.0]):
+            if step < 0 and rising:
+                peaks.append(i)
+            if step:
+                rising = step > 0
+        if len(peaks) == 2:
+            low, high = peaks
+            return low + int(np.argmin(h[low : high + 1]))
+        if len(peaks) < 2:
+            return None
+        wide = np.concatenate([h[:1], h, h[-1:]])
+        h = (wide[:-2] + wide[1:-1] + wide[2:]) / 3
+    return None
+
+
+def doublet_threshold(scores: DataFrame, otherwise: float = 0.5, bins: int = 256) -> float:
+    """The score in the valley between the two peaks of (score): meant for simulated doublets, of which those of like cells score low and those of unlike cells high.
+
+    Spark counts the scores in `bins` equal ranges between the least and the greatest. Scores without two peaks, and none at all, give `otherwise`.
+    """
+    ends = scores.agg(F.min("score").alias("lo"), F.max("score").alias("hi")).first()
+    if ends.lo is None or ends.lo == ends.hi:
+        return otherwise
+    width = (ends.hi - ends.lo) / bins
+    place = F.least(F.floor((F.col("score") - ends.lo) / width), F.lit(bins - 1)).alias("place")
+    counts = np.zeros(bins)
+    for r in scores.where("score is not null").groupBy(place).agg(F.count("*").alias("n")).collect():  # at most `bins` rows
+        counts[r.place] = r.n
+    found = valley(counts)
+    return otherwise if found is None else ends.lo + (found + 0.5) * width
 
 
 def doublet_calls(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
     """scores with is_doublet: a score above the threshold, that of a cell whose neighbours are as likely simulated as not."""
     return scores.withColumn("is_doublet", F.col("score") > threshold)
+
+
+def called_doublets(vectors: DataFrame, **settings) -> DataFrame:
+    """(id, score, threshold, is_doublet) of each cell, the threshold taken from the scores of the simulated doublets; settings are those of doublet_scores()."""
+    scored = written(doublet_scores(vectors, simulated=True, **settings), "doublet-scores")
+    threshold = doublet_threshold(scored.where("kind = 1").select("score"))
+    return doublet_calls(scored.where("kind = 0").select("id", "score", F.round(F.lit(threshold), 6).alias("threshold")), threshold)

@@ -91,3 +91,87 @@ def test_odd_guides(spark, planted):
     rows = [(c, 1, 3) for c in range(2000)] + [(7, 2, 50), (8, 3, 0), (9, 3, None), (99999, 4, 9), (3, None, 5)]
     got = assignment.assign_with_covariates(spark.createDataFrame(rows, kind), made).collect()
     assert {(r.cell, r.guide) for r in got} == {(7, 2)}
+
+
+def test_tag_sets(spark):
+    """The best and the next best set, and that all sets add up to 1, by laying out every set of three tags; a cell without a tag's row; clusters."""
+    from itertools import product
+
+    from screenloom.operators import models
+
+    rng = np.random.default_rng(8)
+    truth = rng.random((600, 3)) < 0.3
+    values = np.where(truth, rng.normal(2.0, 0.7, truth.shape), rng.normal(0.0, 0.7, truth.shape))
+    rows = [("b", c, "xyz"[t], float(values[c, t])) for c in range(600) for t in range(3)] + [("b", 600, "x", 2.5)]
+    df = spark.createDataFrame(rows, "batch string, cell long, tag string, value double")
+    got = {r.cell: r for r in models.tag_sets(df, 9).collect()}
+    model = {r.tag: r for r in models.normal_mixture(df.groupBy("batch", "tag", "value").count().withColumnRenamed("count", "weight")).collect()}
+
+    def posterior(tag, x):
+        m = model[tag]
+        density = lambda v: [s * np.exp(-((v - a) ** 2) / (2 * b)) / np.sqrt(b) for s, a, b in ((1 - m.share, m.m0, m.v0), (m.share, m.m1, m.v1))]
+        at = lambda v: density(v)[1] / sum(density(v))
+        return 0.0 if x <= m.m0 else max(at(x), at(m.m1)) if x >= m.m1 else at(x)
+
+    assert len(got) == 601 and got[600].tags == "x"
+    for c in range(600):
+        p = [posterior(t, values[c, i]) for i, t in enumerate("xyz")]
+        sets = sorted(((np.prod([q if k else 1 - q for q, k in zip(p, kept)]), kept) for kept in product((0, 1), repeat=3)), reverse=True)
+        assert sum(s for s, _ in sets) == pytest.approx(1)
+        assert got[c].posterior == pytest.approx(sets[0][0], abs=1e-8) and got[c].second_posterior == pytest.approx(sets[1][0], abs=1e-8)
+        assert got[c].tags == ("-".join(t for t, k in zip("xyz", sets[0][1]) if k) or "negative") and got[c].n_tags == sum(sets[0][1])
+    assert np.mean([got[c].n_tags == truth[c].sum() for c in range(600)]) > 0.7
+    clusters = models.tag_clusters(models.tag_sets(df, 9)).collect()
+    assert [r.cluster for r in clusters] == list(range(len(clusters))) and clusters[0].tags == "negative"
+    assert sum(r.cells for r in clusters) == 601 and sum(r.sure for r in clusters) == sum(r.posterior >= 0.8 for r in got.values())
+    assert models.tag_sets(df.limit(0)).count() == 0
+
+
+def test_valley():
+    from screenloom.operators import models
+
+    rng = np.random.default_rng(4)
+    two = np.histogram(np.concatenate([rng.normal(0.25, 0.06, 4000), rng.normal(0.8, 0.05, 1500)]), 256, (0, 1))[0]
+    assert 0.4 < (models.valley(two) + 0.5) / 256 < 0.68
+    assert models.valley(np.exp(-((np.arange(256) - 90) ** 2) / 400)) is None
+    assert models.valley(np.zeros(256)) is None and models.valley(np.ones(8)) is None
+    assert models.valley(np.array([0, 5, 0, 0, 0, 9, 0])) in (2, 3)
+
+
+def test_doublet_threshold(spark):
+    """Cells of five kinds and pairs of unlike ones, drawn from all cells as doublets come about: the threshold from simulated scores lies between them; scores without two peaks have the one given."""
+    from screenloom.operators import models
+
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 6, (5, 12))
+    single = np.concatenate([c + rng.normal(0, 1, (240, 12)) for c in centres])
+    pairs = [(i, j) for i, j in rng.integers(0, 1200, (200, 2)) if i // 240 != j // 240][:60]
+    double = np.array([(single[i] + single[j]) / 2 for i, j in pairs])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([single, double]))], "id long, features array<double>")
+    rows = models.called_doublets(df).collect()
+    assert len(rows) == 1260 and len({r.threshold for r in rows}) == 1
+    called = {r.id for r in rows if r.is_doublet}
+    assert len([i for i in called if i >= 1200]) >= 0.8 * 60 and len([i for i in called if i < 1200]) <= 0.1 * 1200
+    kind = "score double"
+    assert models.doublet_threshold(spark.createDataFrame([], kind), 0.3) == 0.3
+    assert models.doublet_threshold(spark.createDataFrame([(0.5,)] * 3, kind), 0.3) == 0.3
+    assert models.called_doublets(df.limit(0)).count() == 0
+
+
+def test_planned_chunks(spark):
+    from screenloom.operators import evaluation, guides
+    from screenloom.plans.checks import CheckError
+
+    genes = spark.range(10).selectExpr("id as gene")
+    many = lambda *a: sorted((r["first"], r["last"]) for r in guides.planned_chunks(genes, 100, *a).collect())
+    assert many(4) == [(1, 10)] and many(4, "auto", 999) == [(1, 4), (5, 8), (9, 10)] == many(4, "force")
+    assert many(4, "auto", 1000) == [(1, 10)] == many(4, "off", 1) == many(10, "force")
+    assert guides.planned_chunks(genes.limit(0), 100, 4).count() == 0
+    for bad in ((4, "some"), (0, "auto")):
+        with pytest.raises(CheckError):
+            guides.planned_chunks(genes, 100, *bad)
+    table = spark.createDataFrame([(1,), (0,), (0,)], "label int")
+    assert evaluation.require_controls(table) is table
+    for bad in (table.where("label = 0"), table.where("label = 1"), table.limit(0)):
+        with pytest.raises(CheckError):
+            evaluation.require_controls(bad)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import effects, evaluation, pairs, qc, statistics
 from . import checks, store
@@ -34,4 +35,4 @@ def analyse(screen: Screen, mito_below: float = 20.0, limit: int | None = 1_000_
     if limit is not None:
         found = found.join(pairs.within_distance(screen.guides, screen.genes, limit).select("guide_id", "gene"), ["guide_id", "gene"], "left_semi")
     results = statistics.bh(store.written(found, "effects"), "p_value")
-    return {"cells": passing, "results": results, "per_guide": evaluation.per_guide(results, alpha)}
+    return {"cells": passing, "results": results, "per_guide": evaluation.per_guide(results, F.col("q_value") < alpha)}

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from screenloom.operators import order, pairs, quantiles
+from screenloom.operators import order, pairs, qc, quantiles
 
 SHARES = [0.0, 0.25, 0.5, 0.9, 1.0]
 
@@ -74,3 +74,13 @@ def test_one_name_of_half_the_rows(spark):
         seen[name] = n + 1
         wanted[i] = name if n == 0 or name is None else f"{name}-{n}"
     assert {r.id: r.unique_name for r in order.unique_names(df, "name", "id").collect()} == wanted
+
+
+def test_summaries(spark):
+    """A batch without a name is called as all cells are, but has its own quantiles; no cells don't crash."""
+    df = spark.createDataFrame([("a", 1, 10), ("a", 3, 20), (None, 8, 30), ("b", None, 5)], "batch string, x int, y int")
+    got = sorted((r.batch, r.n_cells, r.x_median, r.x_q75, r.y_median) for r in qc.summaries(df, ["x", "y"]).collect() if r.batch != "b")
+    assert got == [("a", 2, 2.0, 2.5, 15.0), ("all", 1, 8.0, 8.0, 30.0), ("all", 4, 3.0, 5.5, 15.0)]
+    [b] = qc.summaries(df, ["x", "y"]).where("batch = 'b'").collect()
+    assert (b.n_cells, b.x_median, b.x_max, b.y_median) == (1, None, None, 5.0)
+    assert all(r.x_median is None for r in qc.summaries(df.limit(0), ["x", "y"]).collect())

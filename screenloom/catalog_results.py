@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import EDGES, INTENDED, LABELLED, LIMIT, TSS, query
-from .operators import assignment, evaluation, exports, genomics, guides, models, order, pairs, preparation, qc, regression, statistics
+from .operators import assignment, evaluation, exports, genomics, guides, models, neighbours, order, pairs, preparation, qc, regression, statistics
 from .plans import store
 
 META = "meta AS (SELECT guide_id, target, chr, pos AS \"start\", pos + 20 AS \"end\" FROM guides),"
@@ -294,12 +294,22 @@ def hto_clusters(s):
     return models.tag_clusters(_tag_sets(s))
 
 
-@query()
-def pca_by_batch(s):
+def _pca_by_batch(s):
     vectors = s.table("embeddings").select((F.col("label") % 3).cast("string").alias("batch"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
     return models.components_by_batch(vectors, 10)
 
 
+@query()
+def pca_by_batch(s):
+    return _pca_by_batch(s)
+
+
+@query()
+def neighbours_by_batch(s):
+    """The graph of each batch's nearest neighbours over its principal components."""
+    return neighbours.neighbour_graph(_pca_by_batch(s))
+
+
 @query()
 def doublet_filter(s):
     """Cells that aren't called doublets, by the threshold that the simulated ones' scores give."""

@@ -318,13 +318,46 @@ def principal_components(vectors: DataFrame, k: int = 2) -> DataFrame:
 def components_by_batch(vectors: DataFrame, k: int = 10) -> DataFrame:
     """(batch, id, pc array) of (batch, id, features array): principal components of each batch by itself, scaled by its own deviations.
 
-    A batch without rows has none; there is a pass over the table for each batch of the sheet.
+    All batches take one pass for the sums, which tasks make for the batches they see and Spark adds up, and one for the result. The driver
+    gets k axes of a batch, the batches are those of a sample sheet; each batch's eigenvectors are worked out in a task. A batch without rows has none.
     """
-    out = None
-    for r in vectors.select("batch").distinct().orderBy("batch").collect():
-        own = principal_components(vectors.where(F.col("batch").eqNullSafe(F.lit(r.batch))), k).select(F.lit(r.batch).alias("batch"), "id", "pc")
-        out = own if out is None else out.unionByName(own)
-    return out if out is not None else vectors.select("batch", "id", F.expr("cast(array() as array<double>)").alias("pc"))
+    width = vectors.agg(F.max(F.size("features")).alias("n")).first().n or 0
+    keyed = vectors.select("batch", F.col("batch").cast("string").alias("key"), "id", "features")
+
+    def sums(batches):
+        held: dict = {}
+        for p in batches:
+            x = np.stack(p["features"].to_numpy()) if len(p) else np.empty((0, width))
+            for key in set(p["key"]):
+                own = x[[value == key for value in p["key"]]]
+                flat = np.concatenate([[len(own)], own.sum(axis=0), (own.T @ own).ravel()])
+                held[key] = held.get(key, 0) + flat
+        for key, flat in held.items():
+            yield pd.DataFrame({"key": [key] * len(flat), "at": np.arange(len(flat)), "value": flat})
+
+    def axes(p: pd.DataFrame) -> pd.DataFrame:
+        flat = p.sort_values("at")["value"].to_numpy()
+        mean = flat[1 : 1 + width] / flat[0]
+        cov = flat[1 + width :].reshape(width, width) / flat[0] - np.outer(mean, mean)
+        scale = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+        vec = np.linalg.eigh(cov / np.outer(scale, scale))[1][:, ::-1][:, :k]
+        vec = vec * np.sign(vec[np.abs(vec).argmax(axis=0), np.arange(vec.shape[1])])
+        return pd.DataFrame({"key": [p["key"].iloc[0]], "mean": [mean.tolist()], "scale": [scale.tolist()], "axes": [vec.ravel().tolist()]})
+
+    added = keyed.select("key", "features").mapInPandas(sums, "key string, at long, value double").groupBy("key", "at").agg(F.sum("value").alias("value"))
+    found = added.groupBy("key").applyInPandas(axes, "key string, mean array<double>, scale array<double>, axes array<double>").collect()
+    of = {r.key: (np.array(r["mean"]), np.array(r["scale"]), np.array(r["axes"]).reshape(width, -1)) for r in found}
+
+    def place(batches):
+        for p in batches:
+            for key in set(p["key"]):
+                own = p[[value == key for value in p["key"]]]
+                mean, scale, vec = of[key]
+                x = (np.stack(own["features"].to_numpy()) - mean) / scale
+                yield pd.DataFrame({"batch": own["batch"], "id": own["id"], "pc": [np.round(r, 6).tolist() for r in x @ vec]})
+
+    kind = vectors.schema["batch"].dataType.simpleString()
+    return keyed.mapInPandas(place, f"batch {kind}, id long, pc array<double>")
 
 
 def paired(vectors: DataFrame, ratio: int = 2, seed: int = 42) -> DataFrame:

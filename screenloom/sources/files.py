@@ -10,6 +10,7 @@ from ..operators.concat import stacked
 from ..operators.order import running
 from ..plans.checks import require_columns
 from ..plans.store import written
+from . import downloads
 
 SHEET = "R1_path string, R2_path string, file_modality string, measurement_sets string, sequencing_run string, lane string, seqspec string, barcode_onlist string, guide_design string, barcode_hashtag_map string"
 GTF = "seqname string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string"
@@ -170,14 +171,13 @@ def read_run_info(spark: SparkSession, path: str) -> DataFrame:
     return wide.select(*[F.col(c).cast("string") for c in wide.columns]).unpivot([], wide.columns, "parameter", "value")
 
 
-def md5_of(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, md5) of whole files; those that are missing have no row."""
-    return spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(path).select("path", F.md5("content").alias("md5"))
+def md5_of(spark: SparkSession, path: str | list[str], whole: int = 64 << 20) -> DataFrame:
+    """(path, md5) of the whole files that paths or patterns name; one that names none is Spark's error. Files over `whole` bytes are read in pieces, smaller ones as a row each."""
+    small, large = downloads.sums_below(spark, path, whole)
+    return small.unionByName(downloads.streamed_sums(large))
 
 
-def verified(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """files (path, md5) with found, the sum of the file as it is, null where there is none, and matches."""
-    paths = [r.path for r in files.select("path").distinct().collect()]  # a row for each file of a sample sheet
-    sums = md5_of(spark, paths).withColumnRenamed("md5", "found") if paths else spark.createDataFrame([], "path string, found string")
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    return files.join(sums.select(plain.alias("path"), "found"), "path", "left").withColumn("matches", F.coalesce(F.lower("md5") == F.col("found"), F.lit(False)))
+def verified(files: DataFrame) -> DataFrame:
+    """files (path, md5) with found, the sum of the file as it is, null where there is none, and matches. Files of any size are read in pieces, by paths that pyarrow opens."""
+    sums = downloads.streamed_sums(files).withColumnRenamed("md5", "found")
+    return files.join(sums, "path", "left").withColumn("matches", F.coalesce(F.lower("md5") == F.col("found"), F.lit(False)))

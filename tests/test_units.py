@@ -332,7 +332,7 @@ def test_files(spark, tmp_path):
     import hashlib
 
     sums = spark.createDataFrame([(str(tmp_path / "r.fa"), hashlib.md5((tmp_path / "r.fa").read_bytes()).hexdigest()), (str(tmp_path / "p.tsv"), "0" * 32)], "path string, md5 string")
-    assert {r.path.rsplit("/", 1)[1]: r.matches for r in files.verified(spark, sums).collect()} == {"r.fa": True, "p.tsv": False}
+    assert {r.path.rsplit("/", 1)[1]: r.matches for r in files.verified(sums).collect()} == {"r.fa": True, "p.tsv": False}
     assert {tuple(r) for r in files.read_run_info(spark, str(tmp_path / "i.json")).collect()} == {("n", "3"), ("p", "1.5")}
 
 

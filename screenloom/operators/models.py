@@ -206,36 +206,62 @@ def tag_clusters(sets: DataFrame, least: float = 0.8, digits: int = 6) -> DataFr
     return groups.select(number.alias("cluster"), "tags", "n_tags", "cells", "sure", "mean_posterior")
 
 
-def spline_basis(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
-    """Columns 1, x, x^2, x^3 and (x - k)^3 beyond each knot, for x scaled to 0 .. 1."""
-    return np.stack([np.ones_like(x), x, x**2, x**3, *(np.maximum(x - k, 0) ** 3 for k in knots)], axis=1)
-
-
-def smoothing_spline(points: DataFrame, x: str, y: str, last: int, most_knots: int = 31) -> tuple[np.ndarray, np.ndarray]:
-    """(knots, coefficients) of the cubic least-squares spline of points with the fewest even knots whose squared residuals add up to their number at most.
-
-    x runs from 1 to last and is scaled to 0 .. 1. The normal equations are summed over all points by their partitions, one row of numbers each;
-    knots are 0, 1, 3, 7 and so on up to most_knots.
+def local_basis(lo: float, hi: float, knots: np.ndarray) -> np.ndarray:
+    """The spline's functions 1, x, x^2, x^3 and (x - k)^3 beyond each knot as cubics of u = (x - lo) / (hi - lo), one a column, between neighbouring knots lo and hi."""
+    h = hi - lo
+    power = [[math.comb(p, q) * lo ** (p - q) * h**q if q <= p else 0.0 for q in range(4)] for p in range(4)]
+    beyond = [[math.comb(3, q) * (lo - k) ** (3 - q) * h**q for q in range(4)] if k <= lo else [0.0] * 4 for k in knots]
+    return np.array(power + beyond).T
+
+
+def spline_sums(points: DataFrame, x: Column, y: Column, knots: np.ndarray) -> dict[int, tuple]:
+    """For each interval between knots that has points: their number, the sum of y^2, of u^p (p to 6) and of y u^p (p to 3). All that a fit asks of them."""
+    bounds = [0.0, *knots.tolist(), 1.0]
+    t = points.select(x.alias("t"), y.alias("y"))
+    t = t.withColumn("i", F.size(F.filter(F.lit(knots.tolist()), lambda k: k <= F.col("t"))) if len(knots) else F.lit(0))
+    lo, hi = (F.element_at(F.lit(bounds), F.col("i") + n) for n in (1, 2))
+    u = (F.col("t") - lo) / (hi - lo)
+    powers = [F.sum(F.pow("u", F.lit(p))).alias(f"u{p}") for p in range(7)] + [F.sum(F.col("y") * F.pow("u", F.lit(p))).alias(f"y{p}") for p in range(4)]
+    rows = t.withColumn("u", u).groupBy("i").agg(F.count("*").alias("n"), F.sum(F.col("y") ** 2).alias("square"), *powers).collect()  # a row an interval
+    return {r.i: (r.n, r.square, np.array([r[f"u{p}"] for p in range(7)]), np.array([r[f"y{p}"] for p in range(4)])) for r in rows}
+
+
+def smoothing_spline(points: DataFrame, x: str, y: str, last: int, most_knots: int = 63, fewest: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(knots, coefficients) of a cubic smoothing spline of points whose squared residuals add up to their number, or to less if a plain cubic's do.
+
+    x runs from 1 to last and is scaled to 0 .. 1. Knots are put into the middle of the intervals with the greatest residuals, one first and then as many as there are,
+    until the least-squares spline's residuals are within the points' number, most_knots are reached or no interval with residuals has `fewest` points
+    for each half. Of the splines with these knots the one with the least jumps of its third derivative is taken whose residuals are that
+    number. Each round is one aggregation with eleven sums an interval.
     """
+    t = (F.col(x).cast("double") - 1) / max(1, last - 1)
     knots = np.empty(0)
     while True:
-
-        def sums(batches, knots=knots):
-            size = 4 + len(knots)
-            outer, cross, square, n = np.zeros((size, size)), np.zeros(size), 0.0, 0
-            for p in batches:
-                a, b = spline_basis((p["x"].to_numpy(float) - 1) / max(1, last - 1), knots), p["y"].to_numpy(float)
-                outer, cross, square, n = outer + a.T @ a, cross + a.T @ b, square + b @ b, n + len(b)
-            yield pd.DataFrame({"n": [n], "square": [float(square)], "cross": [cross.tolist()], "outer": [outer.ravel().tolist()]})
-
-        parts = points.select(F.col(x).alias("x"), F.col(y).alias("y")).mapInPandas(sums, "n long, square double, cross array<double>, outer array<double>").collect()
-        size, n = 4 + len(knots), sum(r.n for r in parts)
-        outer, cross = np.sum([r.outer for r in parts], axis=0).reshape(size, size), np.sum([r.cross for r in parts], axis=0)
-        made = np.linalg.lstsq(outer, cross, rcond=1e-12)[0]
-        residual = sum(r.square for r in parts) - 2 * made @ cross + made @ outer @ made
-        if residual <= n or len(knots) >= most_knots:
-            return knots, made
-        knots = np.linspace(0, 1, 2 * len(knots) + 3)[1:-1]
+        held = spline_sums(points, t, F.col(y).cast("double"), knots)
+        bounds, size = [0.0, *knots, 1.0], 4 + len(knots)
+        parts = {i: (local_basis(bounds[i], bounds[i + 1], knots), *sums) for i, sums in held.items()}
+        outer, cross, n = np.zeros((size, size)), np.zeros(size), 0
+        for basis, count, _, u, v in parts.values():
+            outer, cross, n = outer + basis.T @ u[np.add.outer(range(4), range(4))] @ basis, cross + basis.T @ v, n + count
+
+        def residuals(made: np.ndarray, parts=parts) -> dict[int, float]:
+            local = {i: (basis @ made, square, u, v) for i, (basis, _, square, u, v) in parts.items()}
+            return {i: square - 2 * c @ v + c @ u[np.add.outer(range(4), range(4))] @ c for i, (c, square, u, v) in local.items()}
+
+        made = np.linalg.lstsq(outer, cross, rcond=1e-13)[0]
+        left = residuals(made)
+        wide = [i for i in sorted(left, key=left.get, reverse=True) if left[i] > 0 and parts[i][1] >= 2 * fewest][: min(max(1, len(knots)), most_knots - len(knots))]
+        if sum(left.values()) <= n or not wide:
+            break
+        knots = np.sort(np.concatenate([knots, [(bounds[i] + bounds[i + 1]) / 2 for i in wide]]))
+    if len(knots) and sum(left.values()) < n:
+        jumps = np.diag(np.r_[np.zeros(4), np.ones(len(knots))])
+        low, high = -40.0, 40.0
+        for _ in range(80):
+            middle = (low + high) / 2
+            made = np.linalg.lstsq(outer + np.exp(middle) * jumps, cross, rcond=1e-13)[0]
+            low, high = (middle, high) if sum(residuals(made).values()) < n else (low, middle)
+    return knots, made
 
 
 def second_knee(ranks: DataFrame, first: int) -> DataFrame:

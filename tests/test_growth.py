@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from screenloom.operators import effects
+from screenloom import catalog
+from screenloom.operators import effects, order
 
 
 def plan(df):
@@ -25,3 +26,17 @@ def test_pairs_are_shuffled_once(spark):
     physical = grouped._jdf.queryExecution().sparkPlan().toString() + grouped._jdf.queryExecution().executedPlan().toString()
     assert not any(f"hashpartitioning({a}#" in line and f", {b}#" in line for line in physical.split("\n") for a, b in (("guide", "gene"), ("gene", "target")))
     assert grouped.count() == 12
+
+
+def test_ranked_numbers_all_rows(spark):
+    """Rows without a key are numbered too, before the others."""
+    rows = [(None, 2), (None, 1), *[(i % 7, i) for i in range(50)]]
+    made = order.ranked(spark.createDataFrame(rows, "k int, t int"), "k", ["t"])
+    assert "aggregate(" not in plan(made)  # no search for each row's bucket
+    got = made.collect()
+    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [(r.k, r.t) for r in sorted(got, key=lambda r: r["rank"])] == expected and sorted(r["rank"] for r in got) == list(range(1, 53))
+
+
+def test_background_needs_no_full_order(spark):
+    assert "GlobalLimit" in plan(catalog.queries()["volcano_background"](spark, "/root/testdata/sf0.001"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import effects, order
+from screenloom.operators import effects, order, statistics
 
 
 def plan(df):
@@ -40,3 +40,15 @@ def test_ranked_numbers_all_rows(spark):
 
 def test_background_needs_no_full_order(spark):
     assert "GlobalLimit" in plan(catalog.queries()["volcano_background"](spark, "/root/testdata/sf0.001"))
+
+
+def test_curves_read_their_table_once(spark, tmp_path):
+    spark.createDataFrame([(i, i % 9 / 10, int(i % 4 == 0)) for i in range(60)], "id long, score double, label int").write.parquet(str(tmp_path / "scored"))
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    assert not any("/scored/" in f for f in statistics.areas(scored).inputFiles())
+
+
+def test_balanced_reads_its_table_once(spark, tmp_path):
+    spark.createDataFrame([(i, i % 9 / 10, int(i % 4 == 0)) for i in range(60)], "id long, score double, label int").write.parquet(str(tmp_path / "once"))
+    made = statistics.balanced(spark.read.parquet(str(tmp_path / "once")), ["id"])
+    assert not any("/once/" in f for f in made.inputFiles()) and made.count() == 30

@@ -86,6 +86,8 @@ def balanced_chunks(genes: DataFrame, size: int) -> DataFrame:
 def chunk_guides(pairs: DataFrame, genes: DataFrame, guides: DataFrame, size: int) -> DataFrame:
     """(chunk, guide_id): the guides that chunks of `size` genes test, and controls in every chunk."""
     numbered = ranked(genes.select("gene"), "gene", [], "row").select("gene", F.floor((F.col("row") - 1) / size).cast("long").alias("chunk"))
-    tested = pairs.join(numbered, "gene").select("chunk", "guide_id")
-    every = numbered.select("chunk").distinct().crossJoin(guides.where("control").select("guide_id"))  # a row for each chunk and control
-    return tested.unionByName(every).distinct()
+    controls = guides.where("control").select("guide_id").distinct()
+    every = numbered.select("chunk").distinct().crossJoin(F.broadcast(controls))  # a row for each chunk and control, each once
+    others = pairs.join(numbered, "gene").select("chunk", "guide_id").distinct()
+    tested = others.join(F.broadcast(controls.withColumnRenamed("guide_id", "_control")), F.col("guide_id").eqNullSafe(F.col("_control")), "left_anti")
+    return tested.unionByName(every)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import effects, order, statistics
+from screenloom.operators import effects, guides, order, statistics
 
 
 def plan(df):
@@ -52,3 +52,12 @@ def test_balanced_reads_its_table_once(spark, tmp_path):
     spark.createDataFrame([(i, i % 9 / 10, int(i % 4 == 0)) for i in range(60)], "id long, score double, label int").write.parquet(str(tmp_path / "once"))
     made = statistics.balanced(spark.read.parquet(str(tmp_path / "once")), ["id"])
     assert not any("/once/" in f for f in made.inputFiles()) and made.count() == 30
+
+
+def test_chunks_of_controls_are_not_compared(spark):
+    """Rows of chunks and controls are each made once and go through no grouping; repeated and null guides stay single."""
+    near = spark.createDataFrame([(1, 0), (1, 1), (2, 5), (3, 5), (None, 5)], "guide_id long, gene long")
+    known = spark.createDataFrame([(1, False), (2, True), (2, True), (3, False), (None, True)], "guide_id long, control boolean")
+    made = guides.chunk_guides(near, spark.range(6).select(F.col("id").alias("gene")), known, 3)
+    assert plan(made).lstrip().startswith("Union")
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, [(0, 1), (1, 3), (0, 2), (1, 2), (0, None), (1, None)]))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import effects, guides, order, statistics
+from screenloom.operators import effects, guides, models, order, statistics
 
 
 def plan(df):
@@ -61,3 +61,10 @@ def test_chunks_of_controls_are_not_compared(spark):
     made = guides.chunk_guides(near, spark.range(6).select(F.col("id").alias("gene")), known, 3)
     assert plan(made).lstrip().startswith("Union")
     assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, [(0, 1), (1, 3), (0, 2), (1, 2), (0, None), (1, None)]))
+
+
+def test_score_lays_out_no_blocks(spark):
+    """Vectors meet the pairs where they are: none is sent to a block of other units or genes."""
+    counts, treated, cells = screen(spark)
+    made = models.stratified_score(counts, treated, cells, [30.0, 50.0])
+    assert "InArrow" not in plan(made) and made.count() == 24

@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near copies (five-word shingles, exact Jaccard similarity of 0.8 or more): the smallest doc_id's."""
+    """Keeps one row of each group of near copies, the smallest doc_id's: pairs that op2's fingerprints link or that share a band, of an exact Jaccard similarity of 0.8 or more."""
     return one_of_each(docs)
 
 

@@ -1,4 +1,4 @@
-"""The pipeline's near copies: candidates from banded min-hashes of word shingles, checked by their exact Jaccard similarity."""
+"""The pipeline's near copies: candidates from operator 2's linked fingerprints and from banded min-hashes of word shingles, checked by their exact Jaccard similarity."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, by_keys, drop_table, free_name, release, table
 from .graph import components, with_least
+from .simhash import fingerprint_column, links as fingerprint_links
 from .textbytes import LOWER, ROOTS, buffer_of, mixed, range_hashes, slices, word_hashes, word_ranges
 
 SHINGLE, LEAST = 5, 0.8
+FINGERPRINT_SHINGLE, RADIUS = 4, 4  # operator 2's
 BANDS, ROWS = 20, 5  # a pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 0.9996 at 0.8
 ROUNDS = 2  # rounds that hold the members of a band against one of them; each later round takes twice as many
 #: Odd factors of the min-hashes' orders, and of the rows of a band.
@@ -52,15 +54,27 @@ def bands(texts: pa.Array) -> pa.Array:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, bands) of each row; equal texts have one node, a 64-bit hash of the text."""
+    """(doc_id, node, fp, bands) of each row: operator 2's fingerprint and the bands; equal texts have one node, a 64-bit hash of the text."""
     arrow_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands(batch.column(2))], names=["doc_id", "node", "bands"])
+            prints = pa.array(fingerprint_column(batch.column(2), FINGERPRINT_SHINGLE))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints, bands(batch.column(2))], names=["doc_id", "node", "fp", "bands"])
         release()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"), "text").mapInArrow(run, "doc_id long, node long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"), "text").mapInArrow(run, "doc_id long, node long, fp long, bands array<long>")
+
+
+def near_prints(points: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, centre): pairs of texts (node, fp, bands) that connect those whose fingerprints operator 2 links, by at most radius bits.
+
+    Texts without words, which all have fingerprint 0, are left to their equal ones.
+    """
+    some = points.where(F.size("bands") > 0).select("node", "fp")
+    first = table(some.groupBy("fp").agg(F.min("node").alias("rep")), "prints")
+    equal = some.join(first.hint("merge"), "fp").where("node != rep").select("node", F.col("rep").alias("centre"))
+    return equal.unionByName(fingerprint_links(first, radius).select(F.col("u").alias("node"), F.col("v").alias("centre")))
 
 
 def grams(texts: DataFrame) -> DataFrame:
@@ -100,23 +114,32 @@ def alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.select("node", "centre", "a", "b").mapInArrow(run, "node long, centre long")
 
 
-def groups(docs: DataFrame, points: DataFrame, least: float = LEAST, repeated: bool = True) -> DataFrame:
+def groups(docs: DataFrame, points: DataFrame, least: float = LEAST, repeated: bool = True, prints: DataFrame | None = None) -> DataFrame:
     """(node, rep, group) of points (node, rep, bands): texts joined by links of pairs whose similarity is least or more.
 
+    The pairs prints (node, centre) are compared first; texts that they join are one group from the start and aren't compared again.
+
     Every band that two texts share holds its members against the smallest of them; those that aren't alike
     are held against the smallest that is left, and so on until every member is like one that it was held against or has been that one itself. After
     ROUNDS rounds the centres double with each round, so a band of k groups takes about log2 k more, and texts that are in one group by then
     aren't compared any more: they count as alike. A group of copies of any size costs a few pairs a
     member, and all links are exact, but a pair can be missed that shares no band, or whose texts are only like different centres.
-    Only texts that share a band are shingled. repeated: whether rows of docs may repeat a doc_id and its text.
+    Only texts that share a band or that prints names are shingled. repeated: whether rows of docs may repeat a doc_id and its text.
     """
     members = points.select(F.explode("bands").alias("u"), F.col("node").alias("v"))
     crowd = least_of_each(members)
-    wanted = table(crowd.select(F.col("v").alias("node")).distinct().join(points, "node").select(row_key(F.col("node"), F.col("rep")).alias("row")), "wanted")
+    asked = crowd.select(F.col("v").alias("node"))
+    if prints is not None:
+        prints = table(prints, "print-pairs")
+        asked = asked.unionByName(prints.select("node")).unionByName(prints.select(F.col("centre").alias("node")))
+    wanted = table(asked.distinct().join(points, "node").select(row_key(F.col("node"), F.col("rep")).alias("row")), "wanted")
     own = docs.select(F.xxhash64("text").alias("node"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     made = grams(by_keys(own, row_key(F.col("node"), F.col("doc_id")), wanted))
     sets = table(made.dropDuplicates(["node"]) if repeated else made, "grams")
     links, n, centres, known = None, 0, 1, None
+    if prints is not None:
+        links = table(alike(prints, sets, least), "alike")
+        known = table(components(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))), "known")
     while links is None or not crowd.isEmpty():
         held = crowd.where("v != m").select("u", F.col("v").alias("node"), F.col("m").alias("centre"), F.lit(False).alias("met"))
         if known is not None:  # texts that earlier rounds put into one group needn't be compared
@@ -166,15 +189,15 @@ def one_of_each(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """docs with one row of each group of near copies: the one with the smallest doc_id, null ids last.
 
     Copies are texts with equal 64-bit hashes, and texts linked by pairs whose distinct five-word shingles have a Jaccard
-    similarity of least or more. Texts without words are copies of equal ones only. Of rows that
+    similarity of least or more: pairs that operator 2's fingerprints link, then those that share a band. Texts without words are copies of equal ones only. Of rows that
     repeat a doc_id and its text one stays. Texts aren't shuffled as long as the keys of the rows that go can be broadcast
     (by_keys): they are read for their sketches, those of candidates for their shingles, and the kept ones for the result.
     """
     own = table(sketches(docs), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    points = table(own.groupBy("node").agg(F.min(first).alias("first"), F.first("bands").alias("bands")).select("node", F.col("first.id").alias("rep"), "bands"), "points")
+    points = table(own.groupBy("node").agg(F.min(first).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")).select("node", F.col("first.id").alias("rep"), "fp", "bands"), "points")
     tally = table(own.groupBy(row_key(F.col("node"), F.col("doc_id")).alias("row")).agg(F.count("*").alias("n")), "tally")
-    named = groups(docs, points, least, not tally.where("n > 1").isEmpty())
+    named = groups(docs, points, least, not tally.where("n > 1").isEmpty(), near_prints(points))
     best = named.groupBy("group").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"), F.col("node").alias("node"))).alias("best"))
     kept = best.select(row_key(F.col("best.node"), F.col("best.rep")).alias("row"), F.lit(True).alias("stays"))
     marked = table(tally.join(kept.hint("merge"), "row", "left").where("stays is null or n > 1"), "marked")

@@ -133,3 +133,15 @@ def test_edges(spark, tmp_path):
             gone = {"language": {"", "  ", None}}.get(name, set())
             assert {r.text for r in got} == {r[1] for r in rows} - gone
             assert len(got) == (len({r[1] for r in rows}) if name == "near copies" else len([r for r in rows if r[1] not in gone]))
+
+
+def test_near_copies_take_linked_fingerprints(spark):
+    """Copies that share no band are found by operator 2's links between fingerprints."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "end"])), (3, " ".join(f"other{i}" for i in range(50)))]
+    own = nearcopies.sketches(spark.createDataFrame(rows, "doc_id long, text string"))
+    points = common.table(own.selectExpr("node", "doc_id as rep", "fp", "array(doc_id) as bands"), "points")
+    found = nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string"), points, prints=nearcopies.near_prints(points)).collect()
+    group = {r.rep: r.group for r in found}
+    assert group[1] == group[2] != group[3]

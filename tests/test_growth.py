@@ -68,3 +68,15 @@ def test_score_lays_out_no_blocks(spark):
     counts, treated, cells = screen(spark)
     made = models.stratified_score(counts, treated, cells, [30.0, 50.0])
     assert "InArrow" not in plan(made) and made.count() == 24
+
+
+def test_elements_are_laid_out_in_place(spark):
+    """The full join of results by guide and by target, against Spark's own; the rows it lays out go through no exchange."""
+    a = spark.createDataFrame([(1, 10, 0.5, 0.1), (2, 10, None, 0.2), (9, 10, 1.0, 0.3), (3, 11, 2.0, None)], "guide_id long, gene long, log2_fc double, p_value double")
+    by_target = spark.createDataFrame([("T", 10, 5.0, 0.5), ("T", 12, None, None), ("U", 11, 6.0, 0.6)], "target string, gene long, log2_fc double, p_value double")
+    known = spark.createDataFrame([(1, "T"), (2, "T"), (3, "U"), (4, "T"), (5, None)], "guide_id long, target string")
+    made = effects.merged_by_guide(a, by_target, known)
+    wide = by_target.join(known, "target").select("guide_id", "gene", "log2_fc", "p_value")
+    plain = effects.merged(a, wide, ["guide_id", "gene"])
+    assert made.columns == plain.columns and sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+    assert "FullOuter" not in plan(made)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import effects, guides, models, order, statistics
+from screenloom.operators import assignment, effects, guides, models, order, regression, statistics
 
 
 def plan(df):
@@ -80,3 +80,20 @@ def test_elements_are_laid_out_in_place(spark):
     plain = effects.merged(a, wide, ["guide_id", "gene"])
     assert made.columns == plain.columns and sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
     assert "FullOuter" not in plan(made)
+
+
+
+
+def test_guides_are_fitted_together(spark):
+    """Guides share a task's calls and have the posteriors that each has alone; a block has several guides, and null guides are left out."""
+    rows = [(c, g, 1 + (c * (g + 3)) % 4 + (40 if c % (g + 4) == 0 else 0)) for g in range(6) for c in range(120) if (c + g) % 5]
+    counts = spark.createDataFrame([*rows, (1, None, 5)], "cell long, guide long, n long")
+    made = regression.design(spark.createDataFrame([(c, f"b{c % 2}", float(c % 3)) for c in range(150)], "cell long, batch string, depth double"), ["batch"], ["depth"])
+    called = assignment.assign_with_covariates(counts, made, 0.0)
+    assert "FlatMapGroupsInPandas [block" in plan(called) or "block#" in plan(called)
+    got = {(r.cell, r.guide): r.posterior for r in called.collect()}
+    alone = {}
+    for g in range(6):
+        for r in assignment.assign_with_covariates(counts.where(F.col("guide") == g), made, 0.0).collect():
+            alone[r.cell, r.guide] = r.posterior
+    assert got == alone and {g for _, g in got} == set(range(6))

@@ -13,10 +13,11 @@ from .textbytes import BREAK, LOWER, ROOTS, buffer_of, mixed, range_hashes, slic
 Q, BUDGET = 10, 0.08
 LEAST_Q = 6  # floor(n / (edits + 1)) is at least 6 for every length n with edits, at a budget of 0.08
 BLOCK_BYTES = 8 << 20  # benchmark text that one pass over the documents holds
-TABLE_BITS = 24
+TABLE_BITS = 24  # of a table of q-grams at most; a small benchmark has a smaller one
+SLICE_BYTES = 1 << 19  # of texts whose q-grams are laid out at a time
 ALIGNED_CELLS, FAR = 1 << 18, 1 << 28
 REGION_BYTES = 4 << 20  # of texts that are aligned at a time
-POSTINGS = 1 << 20  # shared q-grams that are laid out at a time
+POSTINGS = 1 << 18  # shared q-grams that are laid out at a time
 
 
 def normalised(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,8 +75,10 @@ class ItemIndex:
         order = np.argsort(grams, kind="stable")
         self.owner, self.place = owner[order], place[order]
         self.grams, self.first, self.count = np.unique(grams[order], return_index=True, return_counts=True)
-        self.table = np.zeros(1 << TABLE_BITS, bool)
-        self.table[self.grams >> np.uint64(64 - TABLE_BITS)] = True
+        bits = min(TABLE_BITS, max(8, len(self.grams).bit_length() + 5))  # 1 of 32 places is taken, of the largest table more
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[self.grams >> self.shift] = True
         self.spread = int(sizes.max(initial=0) * 2 + 2)
 
     def bands(self, doc: np.ndarray, near: np.ndarray, k: np.ndarray):
@@ -104,7 +107,7 @@ class ItemIndex:
     def regions(self, body: np.ndarray, at: np.ndarray):
         """(text, item, first byte, end) of the bands of diagonals that share enough q-grams with an item; they may reach beyond the text."""
         hashes = gram_hashes(body, self.q)
-        near = np.flatnonzero(self.table[hashes >> np.uint64(64 - TABLE_BITS)])
+        near = np.flatnonzero(self.table[hashes >> self.shift])
         k = np.searchsorted(self.grams, hashes[near])
         same = (k < len(self.grams)) & (self.grams[np.minimum(k, len(self.grams) - 1)] == hashes[near]) if len(self.grams) else np.zeros(0, bool)
         near, k = near[same], k[same]
@@ -208,10 +211,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, budget: float = BUD
         shared = spark.sparkContext.broadcast(sorted(held, key=str))
 
         def run(batches, shared=shared):
+            release()  # what the worker's earlier stages left
             made = indexes(shared.value, q, budget)
             for batch in batches:
                 names, rows = batch.column(0).to_pylist(), []
-                for first, count in slices(batch.column(1)):
+                for first, count in slices(batch.column(1), SLICE_BYTES):
                     raw, raw_at = buffer_of(batch.column(1).slice(first, count))
                     body, at, origin = normalised(raw, raw_at)
                     for name, (d, _, edits, begin, end) in ((index.names[hit[1]], hit) for index in made for hit in index.found(body, at)):

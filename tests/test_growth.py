@@ -82,6 +82,16 @@ def test_elements_are_laid_out_in_place(spark):
     assert "FullOuter" not in plan(made)
 
 
+def test_pairs_are_laid_out_after_their_shuffle(spark):
+    """A count is dealt by gene with its cell's units; pairs are made where they are added up, and aren't sorted to meet their gene's totals."""
+    counts, treated, cells = screen(spark)
+    made = effects.effects(counts, treated.unionByName(treated.withColumn("guide", F.col("guide") + 10)), cells)
+    text = plan(made)
+    assert -1 < text.find("Generate inline") < text.find("RepartitionByExpression [gene")
+    assert "ShuffledHashJoin" in made._jdf.queryExecution().sparkPlan().toString()
+    got = {(r.guide, r.gene): r.z for r in made.collect()}
+    assert len(got) == 48 and all(got[g, gene] == got[g + 10, gene] for g in range(4) for gene in range(6))
+
 
 
 def test_guides_are_fitted_together(spark):

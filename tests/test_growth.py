@@ -93,6 +93,22 @@ def test_pairs_are_laid_out_after_their_shuffle(spark):
     assert len(got) == 48 and all(got[g, gene] == got[g + 10, gene] for g in range(4) for gene in range(6))
 
 
+def test_families_are_adjusted_without_a_join(spark):
+    """Adjusted values of each family from one reading of the rows: ties take the last one's, null p and null families stay."""
+    rows = [(f, p) for f in ("a", "b", None) for p in (0.01, 0.02, 0.02, 0.5, None, 0.03, 0.9)] + [("c", None), ("d", 0.7)]
+    made = statistics.bh(spark.createDataFrame(rows, "family string, p double"), "p", by=["family"])
+    assert "Join" not in plan(made)
+
+    def adjusted(p, others):
+        return None if p is None else min(1.0, min(x * len(others) / sum(y <= x for y in others) for x in others if x >= p))
+
+    expected = [(f, p, adjusted(p, [y for g, y in rows if g == f and y is not None])) for f, p in rows]
+    key = lambda r: tuple((v is not None, v) if v is not None else (False, "") for v in r)
+    got = made.collect()
+    assert sorted([tuple(r)[:2] for r in got], key=str) == sorted(rows, key=str)
+    for a, b in zip(sorted(map(tuple, got), key=str), sorted(expected, key=str)):
+        assert key(a)[:2] == key(b)[:2] and (a[2] == b[2] or abs(a[2] - b[2]) < 1e-12)
+
 
 def test_guides_are_fitted_together(spark):
     """Guides share a task's calls and have the posteriors that each has alone; a block has several guides, and null guides are left out."""

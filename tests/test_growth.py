@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import assignment, effects, guides, models, order, regression, statistics
+from screenloom.operators import assignment, effects, evaluation, guides, models, order, regression, statistics
 
 
 def plan(df):
@@ -123,3 +123,27 @@ def test_guides_are_fitted_together(spark):
         for r in assignment.assign_with_covariates(counts.where(F.col("guide") == g), made, 0.0).collect():
             alone[r.cell, r.guide] = r.posterior
     assert got == alone and {g for _, g in got} == set(range(6))
+
+
+def test_rows_stay_in_place_for_guides(spark):
+    """However large the tables are held to be, sizes, guides and links are broadcast: neither cells' guides nor results are shuffled by guide."""
+    counts, treated, cells = screen(spark)
+    known = spark.createDataFrame([(i, i == 3, f"T{i % 2}", i + 1) for i in range(4)] + [(9, False, "T9", 1), (1, False, "U", 2)], "guide_id long, control boolean, target string, target_gene long")
+    links = spark.createDataFrame([("T0", 2), ("U", 4), ("T9", 1)], "target string, gene long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = effects.effects(counts, treated, cells).withColumnRenamed("guide", "guide_id")
+        own, score = evaluation.intended(made, known), evaluation.linked(made, known, links)
+        assert "BroadcastHashJoin [guide#" in made._jdf.queryExecution().sparkPlan().toString()
+        assert all("LeftSemi, BuildRight" in df._jdf.queryExecution().sparkPlan().toString() for df in (own, score))
+        assert "SortMergeJoin [gene" not in score._jdf.queryExecution().sparkPlan().toString()
+        rows = {(r.guide_id, r.gene): r for r in made.collect()}
+        expected = [(g, t, *((rows[g, n].log2_fc, rows[g, n].p_value) if (g, n) in rows else (None, None))) for g, control, t, n in map(tuple, known.collect()) if not control]
+        assert sorted(map(str, map(tuple, own.collect()))) == sorted(map(str, expected))
+        positive = [(g, n) for g, _, t, _ in map(tuple, known.collect()) for u, n in map(tuple, links.collect()) if t == u and (g, n) in rows]
+        got = score.collect()
+        assert sorted((r.guide_id, r.gene) for r in got if r.label) == sorted(positive)
+        assert sorted((r.guide_id, r.gene) for r in got if not r.label) == sorted((3, n) for n in {n for _, n in positive})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -15,7 +15,9 @@ from .textbytes import LOWER, ROOTS, buffer_of, mixed, range_hashes, slices, wor
 SHINGLE, LEAST = 5, 0.8
 FINGERPRINT_SHINGLE, RADIUS = 4, 4  # operator 2's
 BANDS, ROWS = 20, 5  # a pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 0.9996 at 0.8
-ROUNDS = 2  # rounds that hold the members of a band against one of them; each later round takes twice as many
+CENTRES = (1, 1, 2)  # how many of a band's members the others are held against, round by round; what is left then meets by rare shingles
+RARITY_BITS, RARITY_BLOCK = 18, 4096  # shingles are counted in so many hashed places, and added up by blocks of them
+CROWD = 200  # texts of a shingle that one task of the join takes
 #: Odd factors of the min-hashes' orders, and of the rows of a band.
 FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * ROOTS[0]) | np.uint64(1)
 
@@ -114,16 +116,87 @@ def alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.select("node", "centre", "a", "b").mapInArrow(run, "node long, centre long")
 
 
+def rarity(sets: DataFrame) -> np.ndarray:
+    """How many texts of sets (node, grams) have a shingle, counted by its upper RARITY_BITS bits: 1 MB whatever the corpus."""
+
+    def run(batches):
+        counts = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            for grams in batch.column(0):
+                counts += np.bincount(places(np.frombuffer(grams.as_buffer(), np.uint64)), minlength=len(counts))
+        if counts.any():
+            blocks = counts.reshape(-1, RARITY_BLOCK)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks), dtype=np.int32)), pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "counts"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        made = sum(np.frombuffer(c.as_buffer(), np.int64) for c in rows.column("counts"))
+        return pa.table({"block": rows.column("block").slice(0, 1), "counts": pa.array([made.tobytes()], pa.binary())})
+
+    schema = "block int, counts binary"
+    rows = sets.select("grams").mapInArrow(run, schema).groupBy("block").applyInArrow(add, schema).collect()  # a row a block
+    counts = np.zeros((1 << RARITY_BITS) // RARITY_BLOCK * RARITY_BLOCK, np.int32)
+    for r in rows:
+        counts[r.block * RARITY_BLOCK : (r.block + 1) * RARITY_BLOCK] = np.minimum(np.frombuffer(r.counts, np.int64), np.iinfo(np.int32).max)
+    return counts
+
+
+def places(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """(token, node, size, at, small): the rarest shingles of each text of sets (node, grams), with their places from 0 in the order of rarity.
+
+    Texts of a similarity of least or more share at least one of them, and one that is `small` in the smaller text. Shingles of a single text are left out.
+    """
+    counts = rarity(sets)
+
+    def run(batches):
+        for batch in batches:
+            rows = [[], [], [], [], []]
+            for node, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                grams = np.frombuffer(value.as_buffer(), np.uint64)
+                seen, n = counts[places(grams)], len(grams)
+                order = np.lexsort((grams, seen))[: n - int(np.ceil(least * n - 1e-9)) + 1]
+                at = np.flatnonzero(seen[order] > 1)
+                small = at < n - int(np.ceil(2 * least / (1 + least) * n - 1e-9)) + 1
+                for column, values in zip(rows, (grams[order[at]].view(np.int64), np.full(len(at), node), np.full(len(at), n), at, small)):
+                    column.append(values)
+            arrays = [pa.array(np.concatenate(c).astype(t)) for c, t in zip(rows, (np.int64, np.int64, np.int32, np.int32, np.bool_))] if rows[0] else []
+            if arrays:
+                yield pa.RecordBatch.from_arrays(arrays, names=["token", "node", "size", "at", "small"])
+
+    return sets.select("node", "grams").mapInArrow(run, "token long, node long, size int, at int, small boolean")
+
+
+def by_rare_shingles(sets: DataFrame, least: float) -> DataFrame:
+    """(node, centre): the pairs of sets (node, grams) that may have a similarity of least or more, each once; no such pair is missing.
+
+    In one order of all shingles, rare ones first, two texts of that similarity share a shingle near the beginning of both, after which enough
+    of both is left for what they must have in common. A shingle of many texts is dealt to several tasks.
+    """
+    rows = table(prefixes(sets, least), "prefixes")
+    crowded = table(rows.groupBy("token").agg(F.ceil(F.count("*") / CROWD).alias("deals")).where("deals > 1"), "crowded").hint("merge")
+    known = rows.join(crowded, "token", "left").withColumn("deals", F.coalesce("deals", F.lit(1).cast("long")))
+    large = known.select("token", F.pmod(F.xxhash64("node"), F.col("deals")).alias("deal"), "node", F.col("size").alias("n"), "at")
+    small = known.where("small").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)).alias("deal"), F.col("node").alias("centre"), F.col("size").alias("m"), F.col("at").alias("to"))
+    first = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("centre") < F.col("node")))
+    shared = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("to"))  # at most, if this is the first shingle that both have
+    enough = (F.col("m") >= least * F.col("n") - 1e-9) & (shared >= least / (1 + least) * (F.col("n") + F.col("m")) - 1e-9)
+    met = large.alias("l").join(small.alias("s").hint("merge"), (F.col("l.token") == F.col("s.token")) & (F.col("l.deal") == F.col("s.deal")) & first & enough)
+    return met.select("node", "centre").distinct()
+
+
 def groups(docs: DataFrame, points: DataFrame, least: float = LEAST, repeated: bool = True, prints: DataFrame | None = None) -> DataFrame:
     """(node, rep, group) of points (node, rep, bands): texts joined by links of pairs whose similarity is least or more.
 
     The pairs prints (node, centre) are compared first; texts that they join are one group from the start and aren't compared again.
 
     Every band that two texts share holds its members against the smallest of them; those that aren't alike
-    are held against the smallest that is left, and so on until every member is like one that it was held against or has been that one itself. After
-    ROUNDS rounds the centres double with each round, so a band of k groups takes about log2 k more, and texts that are in one group by then
-    aren't compared any more: they count as alike. A group of copies of any size costs a few pairs a
-    member, and all links are exact, but a pair can be missed that shares no band, or whose texts are only like different centres.
+    are held against the smallest that is left, then against two of those left (CENTRES); texts that are in one group by then count as alike. Texts that
+    are left in any band are compared with each other, whatever band they have, where rare shingles let them be alike: none of their links is missed.
+    A group of copies of any size costs a few pairs a member, and all links are exact, but a pair can be missed that shares no band, or
+    of which one text is like a centre of their band and in a group without the other.
     Only texts that share a band or that prints names are shingled. repeated: whether rows of docs may repeat a doc_id and its text.
     """
     members = points.select(F.explode("bands").alias("u"), F.col("node").alias("v"))
@@ -136,11 +209,15 @@ def groups(docs: DataFrame, points: DataFrame, least: float = LEAST, repeated: b
     own = docs.select(F.xxhash64("text").alias("node"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     made = grams(by_keys(own, row_key(F.col("node"), F.col("doc_id")), wanted))
     sets = table(made.dropDuplicates(["node"]) if repeated else made, "grams")
-    links, n, centres, known = None, 0, 1, None
+    links, known = None, None
     if prints is not None:
         links = table(alike(prints, sets, least), "alike")
-        known = table(components(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))), "known")
-    while links is None or not crowd.isEmpty():
+        known = linked(links)
+    for n, centres in enumerate(CENTRES):
+        if n and crowd.isEmpty():
+            break
+        if n:
+            known = linked(links)
         held = crowd.where("v != m").select("u", F.col("v").alias("node"), F.col("m").alias("centre"), F.lit(False).alias("met"))
         if known is not None:  # texts that earlier rounds put into one group needn't be compared
             a, b = known.select("node", F.col("component").alias("a")), known.select(F.col("node").alias("centre"), F.col("component").alias("b"))
@@ -152,18 +229,22 @@ def groups(docs: DataFrame, points: DataFrame, least: float = LEAST, repeated: b
         left = left.groupBy("u", "node").agg(F.max(F.coalesce("like", "met")).alias("like")).where("not like").select("u", F.col("node").alias("v"))
         if centres > 1:  # a centre is held against the others
             left = left.join(crowd.select("u", F.col("m").alias("v")).distinct(), ["u", "v"], "left_anti")
-        n += 1
-        centres = 1 << max(0, n + 1 - ROUNDS)
-        before, crowd = crowd, least_of_each(left, centres)
+        before, crowd = crowd, least_of_each(left, CENTRES[n + 1] if n + 1 < len(CENTRES) else 1)
         drop_table(before)
-        if n == ROUNDS and not crowd.isEmpty():
-            known = table(components(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))), "known")
-    joined = components(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))).withColumnRenamed("component", "group")
+    if not crowd.isEmpty():
+        rest = table(sets.hint("merge").join(crowd.select(F.col("v").alias("node")).distinct(), "node"), "rest")
+        links = links.unionByName(table(alike(by_rare_shingles(rest, least), rest, least), "alike"))
+    joined = linked(links).withColumnRenamed("component", "group")
     for old in (crowd, wanted, sets):
         drop_table(old)
     return points.select("node", "rep").join(joined.hint("merge"), "node", "left").withColumn("group", F.coalesce("group", "node"))
 
 
+def linked(links: DataFrame) -> DataFrame:
+    """(node, component) of the texts of links (node, centre), written."""
+    return table(components(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))), "known")
+
+
 def least_of_each(members: DataFrame, centres: int = 1) -> DataFrame:
     """members (u: a band, v: a text) of bands with two or more, each with m, the smallest v; written. A band of very many members is dealt to several tasks.
 

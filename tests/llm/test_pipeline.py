@@ -145,3 +145,44 @@ def test_near_copies_take_linked_fingerprints(spark):
     found = nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string"), points, prints=nearcopies.near_prints(points)).collect()
     group = {r.rep: r.group for r in found}
     assert group[1] == group[2] != group[3]
+
+
+def test_rare_shingles_find_every_pair(spark):
+    """The pairs by rare shingles, checked, are those of a comparison of all pairs: edits at random places, of texts of unequal lengths."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(6):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(30, 120))]
+        for _ in range(25):
+            words = base[: len(base) - rng.randrange(12)]
+            for _ in range(rng.randrange(5)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts = ["one two", "one two three four five", *dict.fromkeys(texts)]
+    sets = common.table(nearcopies.grams(spark.createDataFrame(list(enumerate(texts)), "node long, text string")), "grams")
+    pairs = nearcopies.by_rare_shingles(sets, 0.8)
+    found = {tuple(sorted((r.node, r.centre))) for r in nearcopies.alike(pairs, sets, 0.8).collect()}
+    own = [shingle_set(t) for t in texts]
+    wanted = {(i, j) for j in range(len(own)) for i in range(j) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])}
+    assert found == wanted and len(wanted) > 100
+    assert pairs.count() == pairs.distinct().count() < len(texts) * (len(texts) - 1) // 6
+
+
+def test_unlike_texts_of_a_band_are_not_all_compared(spark, monkeypatch):
+    """A band of texts that are edited too far to be alike: a few comparisons a text, not one with each other text; a pair of copies among them is found."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(240):
+        words = list(base)
+        for at in rng.sample(range(100), 8):
+            words[at] = f"x{i}y{at}"
+        texts.append(" ".join(words))
+    texts.append(texts[77] + " again")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    points = common.table(nearcopies.sketches(docs).selectExpr("node", "doc_id as rep", "array(77L) as bands"), "points")
+    compared, alike = [], nearcopies.alike
+    monkeypatch.setattr(nearcopies, "alike", lambda pairs, sets, least: compared.append(pairs.count()) or alike(pairs, sets, least))
+    found = nearcopies.groups(docs, points).collect()
+    together = [r.rep for r in found if sum(o.group == r.group for o in found) > 1]
+    assert sorted(together) == [77, 240] and sum(compared) < 6 * len(texts)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import assignment, effects, evaluation, guides, models, order, regression, statistics
+from screenloom.operators import assignment, effects, evaluation, genomics, guides, models, order, regression, statistics
 
 
 def plan(df):
@@ -147,3 +147,34 @@ def test_rows_stay_in_place_for_guides(spark):
         assert sorted((r.guide_id, r.gene) for r in got if not r.label) == sorted((3, n) for n in {n for _, n in positive})
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_results_stay_with_their_gene_for_enrichment(spark):
+    """Results dealt by gene aren't shuffled by factor and gene to meet the bound genes, nor laid out over the widths; counts are those of a plain join."""
+    pairs = [(f, g) for f in ("A", "B", None) for g in [*range(8), None]]
+    rows = [(f, g, None if i % 3 == 0 else 0.0001 * i) for i, (f, g) in enumerate(pairs)]
+    made = spark.createDataFrame(rows, "factor string, gene long, p_value double").repartition("gene")
+    results = made.groupBy("factor", "gene").agg(F.min("p_value").alias("p_value"))
+    targets = [("A", 1), ("A", 1), ("A", 6), ("B", 2), (None, 3), ("C", 1)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = genomics.enrichment(results, spark.createDataFrame(targets, "factor string, gene long"), 0.001)
+        genes = spark.createDataFrame([(g, "c", 10_000 * g) for g in range(8)], "gene long, chr string, pos long")
+        peaks = spark.createDataFrame([(1, "c", 10_700, 10_800, "A"), (2, "c", 9_000, 9_100, "A"), (3, "c", 52_500, 52_600, "B"), (4, "c", 31_000, 31_001, None)], "id long, chr string, start long, stop long, factor string")
+        windows = genomics.enrichment_by_window(results, genes, peaks, [500, 1000, 2500, 5000], 0.001)
+        for df in (found, windows):
+            physical = df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin [factor#" not in physical and "SortMergeJoin [width#" not in physical
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    def counts(factor, bound):
+        own = [(g, p) for f, g, p in rows if f == factor]
+        hits = [g for g, p in own if p is not None and p <= 0.001]
+        return len(own), len(hits), sum((factor, g) in bound for g, _ in own), sum((factor, g) in bound for g in hits)
+
+    named = {t for t in targets if t[0]}
+    assert {tuple(r)[:5] for r in found.collect()} == {(f, *counts(f, named)) for f in ("A", "B", None)}
+    reached = {w: {(f, g) for g in range(8) for f, a, b in (("A", 10_700, 10_800), ("A", 9_000, 9_100), ("B", 52_500, 52_600)) if max(0, 10_000 * g - w) < b and a < 10_000 * g + w} for w in (500, 1000, 2500, 5000)}
+    assert sorted(map(str, (tuple(r) for r in windows.collect()))) == sorted(str((w, f, *counts(f, reached[w]))) for w in reached for f in ("A", "B", None))

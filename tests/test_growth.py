@@ -178,3 +178,14 @@ def test_results_stay_with_their_gene_for_enrichment(spark):
     assert {tuple(r)[:5] for r in found.collect()} == {(f, *counts(f, named)) for f in ("A", "B", None)}
     reached = {w: {(f, g) for g in range(8) for f, a, b in (("A", 10_700, 10_800), ("A", 9_000, 9_100), ("B", 52_500, 52_600)) if max(0, 10_000 * g - w) < b and a < 10_000 * g + w} for w in (500, 1000, 2500, 5000)}
     assert sorted(map(str, (tuple(r) for r in windows.collect()))) == sorted(str((w, f, *counts(f, reached[w]))) for w in reached for f in ("A", "B", None))
+
+
+def test_all_pairs_are_dealt_to_tasks(spark):
+    """Every pair once, repeated and null keys too; tasks follow the number of pairs, and a task's rows repeat few genes in turn."""
+    from screenloom.operators import pairs
+
+    guides, genes = spark.createDataFrame([(i,) for i in range(7)] + [(None,)], "guide_id long"), spark.createDataFrame([(i,) for i in range(40)] + [(None,), (3,)], "gene long").coalesce(1)
+    made = pairs.all_pairs(guides, genes, block=5, most=60)
+    own = lambda rows: sorted(map(repr, map(tuple, rows)))
+    assert own(made.select("guide_id", "gene").collect()) == own((a.guide_id, b.gene) for a in guides.collect() for b in genes.collect())
+    assert made.columns == ["guide_id", "gene"] and made.rdd.getNumPartitions() == 6

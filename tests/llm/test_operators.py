@@ -710,3 +710,19 @@ def test_numbered_equal_rows(spark):
     order = sorted(got, key=lambda r: r.position)
     assert all(a.x <= b.x for a, b in zip(order, order[1:]))
     assert len(laid.inputFiles()) == 4
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_short_words_merge_in_arrays(name):
+    """The same ids as the trie's, words of the longest kind and of one symbol among them; the trie isn't asked for short words."""
+    from screenloom.llm.bpe import LONGEST, TrieEncoder
+
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choices("aabeinorstTHE01é中", k=rng.randint(1, LONGEST))) for _ in range(2000)} | {"a", "a" * LONGEST, "ab" * LONGEST})
+    enc = TrieEncoder(public_tokenizers.path(name))
+    named = {w: enc.symbols(w) for w in words}
+    expected = enc.encode_words(list(named.values()))
+    got, made = enc.encoded(words)
+    assert sorted(got) == words and all(np.frombuffer(ids, "<u4").tolist() == expected[named[w]] for w, ids in zip(got, made))
+    enc.encode_words = lambda asked: {} if not asked else pytest.fail("short words in the trie")
+    enc.learn(["short", "words"])

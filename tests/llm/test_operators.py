@@ -726,3 +726,32 @@ def test_short_words_merge_in_arrays(name):
     assert sorted(got) == words and all(np.frombuffer(ids, "<u4").tolist() == expected[named[w]] for w, ids in zip(got, made))
     enc.encode_words = lambda asked: {} if not asked else pytest.fail("short words in the trie")
     enc.learn(["short", "words"])
+
+
+@pytest.mark.parametrize("made", [encoding.encode, encoding.round_trip])
+def test_round_trip_takes_every_word_through_the_trie(spark, monkeypatch, made):
+    """op4's states encode short words too: with an encoder that can't merge in arrays the ids are the library's."""
+    from screenloom.llm import bpe
+
+    def without_arrays(*args, **kwargs):
+        enc = bpe.TrieEncoder(*args, **kwargs)
+        enc.merged = None
+        return enc
+
+    monkeypatch.setattr(encoding, "encoder", without_arrays)
+    rows = [(1, "a short text, THE end's 01é中 \U0001f642"), (2, "x" * 300 + " ab"), (3, ""), (4, None), (5, "<|endoftext|> \t\x00 b")]
+    _, ids = library("byte_bpe_50k.json", rows)
+    got = {r.doc_id: bytes(r.ids) for r in made(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.json")).collect()}
+    assert got == {i: raw(x) for (i, _), x in zip(rows, ids)}
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_trie_alone_fuzz(name):
+    from screenloom.llm.bpe import TrieEncoder, ids_of, prepared
+
+    rng = random.Random(8)
+    every = list("aabcdeTHE  \n0123.,'sé") + ["中", "😀", "\x00", "<|endoftext|>"] + list(map(chr, range(0x250)))
+    made = ["".join(rng.choices(every, k=rng.randint(0, 60))) for _ in range(1500)] + ["", "a" * 2000]
+    enc, tokenizer = TrieEncoder(public_tokenizers.path(name), keep=50_000, short=0), Tokenizer.from_file(public_tokenizers.path(name))
+    for text, parsed in zip(made, prepared(enc, made)):
+        assert ids_of(enc, parsed) == raw(tokenizer.encode(text, add_special_tokens=False).ids)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from screenloom import catalog
-from screenloom.operators import assignment, effects, evaluation, genomics, guides, models, order, regression, statistics
+from screenloom.operators import assignment, effects, evaluation, exports, genomics, guides, models, order, regression, statistics
 
 
 def plan(df):
@@ -189,3 +189,15 @@ def test_all_pairs_are_dealt_to_tasks(spark):
     own = lambda rows: sorted(map(repr, map(tuple, rows)))
     assert own(made.select("guide_id", "gene").collect()) == own((a.guide_id, b.gene) for a in guides.collect() for b in genes.collect())
     assert made.columns == ["guide_id", "gene"] and made.rdd.getNumPartitions() == 6
+
+
+def test_methods_share_their_sums(spark):
+    """Effects and scores side by side come from one row of sums, with the values that a join of the two has, and aren't shuffled by guide and gene."""
+    folder = "/root/testdata/sf0.001"
+    made = catalog.queries()["methods_side_by_side"](spark, folder)
+    text = plan(made)
+    assert "LeftOuter" not in text and text.count("RepartitionByExpression [gene") == 1
+    first = catalog.queries()["perturbation_effects"](spark, folder).select("guide_id", "gene", "log2_fc", "p_value")
+    other = catalog.queries()["glm_score"](spark, folder).withColumnRenamed("guide", "guide_id").where("score_z > 0")
+    joined = exports.beside(first, other, ["guide_id", "gene"], ("effects", "score"))
+    assert made.columns == joined.columns and sorted(map(str, made.collect())) == sorted(map(str, joined.collect()))

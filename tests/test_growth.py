@@ -201,3 +201,18 @@ def test_methods_share_their_sums(spark):
     other = catalog.queries()["glm_score"](spark, folder).withColumnRenamed("guide", "guide_id").where("score_z > 0")
     joined = exports.beside(first, other, ["guide_id", "gene"], ("effects", "score"))
     assert made.columns == joined.columns and sorted(map(str, made.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_nodes_are_counted_where_edges_lie(spark):
+    """Edges dealt by dst aren't shuffled or written to count nodes; repeated edges count once, and a node may be both ends."""
+    rows = [(1, 2, 1.5, 0.5), (1, 2, 1.5, 0.5), (1, 2, -3.0, 0.01), (2, 1, 1.0, None), (3, 2, 0.5, 0.001), (None, 2, 2.0, 0.2), (4, None, 2.0, 1e-301)]
+    table = spark.createDataFrame(rows, "src long, dst long, weight double, p_value double")
+    edges = exports.edge_table(table.repartition(4, "dst"), 1.0)
+    found = exports.node_sizes(edges, ("s", "g"))
+    assert "hashpartitioning(src#" not in edges._jdf.queryExecution().executedPlan().toString()
+    got = {r.node: (r.in_edges, r.min_p, r["size"]) for r in found.collect()}
+    assert got == {"g2": (3, 0.01, 200.0), "g1": (1, None, 30000.0), "s1": (0, None, 100.0), "s2": (0, None, 100.0), "s4": (0, None, 100.0), None: (1, 1e-301, 30000.0)}
+    both = {r.node: (r.in_edges, r.min_p, r["size"]) for r in exports.node_sizes(edges).collect()}
+    assert both == {"2": (3, 0.01, 200.0), "1": (1, None, 30000.0), "4": (0, None, 100.0), None: (1, 1e-301, 30000.0)}
+    query = catalog.queries()["network_nodes"](spark, "/root/testdata/sf0.001")
+    assert any(f.endswith("lineitem.parquet") for f in query.inputFiles())

@@ -216,3 +216,22 @@ def test_nodes_are_counted_where_edges_lie(spark):
     assert both == {"2": (3, 0.01, 200.0), "1": (1, None, 30000.0), "4": (0, None, 100.0), None: (1, 1e-301, 30000.0)}
     query = catalog.queries()["network_nodes"](spark, "/root/testdata/sf0.001")
     assert any(f.endswith("lineitem.parquet") for f in query.inputFiles())
+
+
+def test_pairs_are_laid_out_in_batches(spark, monkeypatch):
+    """Lists of genes and of guides are laid out in Arrow batches, not row by row: with several lists of either and batches smaller than a list every pair is there once, keys of other types and empty sides too."""
+    from screenloom.operators import pairs
+
+    monkeypatch.setattr(pairs, "GUIDES", 3)
+    own = lambda rows: sorted(map(repr, map(tuple, rows)))
+    genes = spark.createDataFrame([(f"g{i}",) for i in range(11)] + [(None,)], "gene string")
+    guides = spark.range(8).select(F.col("id").alias("guide_id"))
+    made = pairs.all_pairs(guides, genes, block=4, most=20)
+    assert "explode" not in plan(made) and "InArrow" in plan(made)
+    assert own(made.collect()) == own((a.guide_id, b.gene) for a in guides.collect() for b in genes.collect())
+    assert pairs.all_pairs(guides, genes.limit(0)).count() == 0 and pairs.all_pairs(guides.limit(0), genes).count() == 0
+    import pyarrow as pa
+
+    monkeypatch.setattr(pairs, "BATCH_ROWS", 5)
+    rows = [batch.to_pydict() for batch in pairs.laid_out([pa.RecordBatch.from_arrays([pa.array([[1, None, 3, 4], []]), pa.array([[7, 8], [9]])], names=["a", "b"])])]
+    assert rows == [{"guide_id": [1, 1, None, None], "gene": [7, 8, 7, 8]}, {"guide_id": [3, 3, 4, 4], "gene": [7, 8, 7, 8]}]

@@ -235,3 +235,38 @@ def test_pairs_are_laid_out_in_batches(spark, monkeypatch):
     monkeypatch.setattr(pairs, "BATCH_ROWS", 5)
     rows = [batch.to_pydict() for batch in pairs.laid_out([pa.RecordBatch.from_arrays([pa.array([[1, None, 3, 4], []]), pa.array([[7, 8], [9]])], names=["a", "b"])])]
     assert rows == [{"guide_id": [1, 1, None, None], "gene": [7, 8, 7, 8]}, {"guide_id": [3, 3, 4, 4], "gene": [7, 8, 7, 8]}]
+
+
+def test_guides_and_targets_are_merged_from_one_shuffle(spark):
+    """The effects of guides and of targets in a full join, against Spark's own: counts are dealt by gene once and nothing is written, joined by guide and gene, or grouped by target."""
+    counts, treated, cells = screen(spark)
+    treated = treated.unionByName(treated.where("cell % 3 = 0").withColumn("guide", F.col("guide") + 4)).unionByName(treated.where("cell % 7 = 0").withColumn("guide", F.lit(9)))
+    known = spark.createDataFrame([(0, "T"), (1, "T"), (2, "U"), (3, None), (4, "U"), (5, "T"), (6, "V"), (6, "V"), (7, "V"), (7, "T"), (8, "T"), (11, "W"), (None, "T")], "guide_id long, target string")
+    made = effects.by_guide_and_target(counts, treated, cells, known)
+    a = effects.effects(counts, treated, cells).withColumnRenamed("guide", "guide_id").select("guide_id", "gene", "log2_fc", "p_value")
+    by_target = effects.effects(counts, effects.by_target(treated, known), cells, unit="target")
+    wide = by_target.join(known.where("guide_id is not null"), "target").select("guide_id", "gene", "log2_fc", "p_value")
+    plain = effects.merged(a, wide, ["guide_id", "gene"])
+    assert made.columns == plain.columns and sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+    text = plan(made)
+    assert text.count("RepartitionByExpression [gene") == 1 and "FullOuter" not in text
+    none = effects.by_guide_and_target(counts, treated, cells, known.where("target = 'none'"))
+    assert sorted(map(str, none.collect())) == sorted(map(str, effects.merged(a, wide.limit(0), ["guide_id", "gene"]).collect()))
+
+
+def test_merged_rows_are_laid_out_in_pieces():
+    """However rows are cut into batches, pieces and lines of the answer: each target's genes with each of its guides, beside the guide's own values."""
+    import numpy as np
+    import pyarrow as pa
+
+    ids, starts, rows = np.array([1, 2, 2, 5, 3, 4]), np.array([0, 4, 6]), [(None, 7, 9, 0.9, None)]
+    for t, genes in ((0, [None, *range(11)]), (1, [3, 4])):
+        for g in genes:
+            rows += [(t, g, None, (g or 0) / 8, None if g == 4 else 0.5), *[(t, g, i, i + (g or 0) / 16, None) for i in sorted(set(ids[starts[t] : starts[t + 1]].tolist())) if ((g or 0) + i) % 3 == 0]]
+    own = {(g, i): (f, p) for t, g, i, f, p in rows if i is not None}
+    expected = [(9, 7, 0.9, None, None, None)] + [(i, g, *own.get((g, i), (None, None)), f, p) for t, g, k, f, p in rows if k is None for i in ids[starts[t] : starts[t + 1]].tolist()]
+    table = pa.table({c: pa.array(list(v), kind) for c, v, kind in zip(("number", "gene", "guide", "log2_fc", "p_value"), zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
+    for size in (1, 4, 100):
+        for block, most in ((1, 1), (3, 5), (4, 1000), (250, 1 << 16)):
+            made = [tuple(r.values()) for b in effects.merged_batches(table.to_batches(size), ids, starts, block, most) for r in b.to_pylist()]
+            assert sorted(map(str, made)) == sorted(map(str, expected)), (size, block, most)

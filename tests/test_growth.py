@@ -270,3 +270,36 @@ def test_merged_rows_are_laid_out_in_pieces():
         for block, most in ((1, 1), (3, 5), (4, 1000), (250, 1 << 16)):
             made = [tuple(r.values()) for b in effects.merged_batches(table.to_batches(size), ids, starts, block, most) for r in b.to_pylist()]
             assert sorted(map(str, made)) == sorted(map(str, expected)), (size, block, most)
+
+
+def test_scores_shuffle_counts_once_with_their_units(spark):
+    """A count goes to its gene with its cell's units, and pairs are laid out there; scores are those of plain sums, and a cell without a batch adds to none."""
+    counts, treated, cells = screen(spark)
+    cells = cells.withColumn("batch", F.when(F.col("cell") != 5, F.col("batch")))
+    treated = treated.unionByName(treated.withColumn("guide", F.col("guide") % 2 + 10))
+    made = models.stratified_score(counts, treated, cells, [30.0, 50.0])
+    text = plan(made)
+    assert text.count("Generate inline") == 1 and text.find("Generate inline") < text.find("RepartitionByExpression [gene")
+    place = {c: (b, (d >= 30) + (d >= 50)) for c, b, d in map(tuple, cells.collect()) if b is not None}
+    depth = {s: [d for c, _, d in map(tuple, cells.collect()) if place.get(c) == s] for s in set(place.values())}
+    mean = {s: sum(d) / len(d) for s, d in depth.items()}
+    own, guides = {(c, g): n for c, g, n in map(tuple, counts.collect())}, {}
+    for c, u in map(tuple, treated.collect()):
+        guides.setdefault(u, set()).add(c)
+    got = {(r.guide, r.gene): r for r in made.collect()}
+    assert set(got) == {(u, g) for u, held in guides.items() for c, g in own if c in held}
+    for g in {g for _, g in own}:
+        rate = {b: sum(own.get((c, g), 0) for c in place if place[c][0] == b) / sum(sum(d) for s, d in depth.items() if s[0] == b) for b in {s[0] for s in depth}}
+        mu = {c: rate[s[0]] * mean[s] for c, s in place.items()}
+        spread = max(0.0, sum((own.get((c, g), 0) - mu[c]) ** 2 - mu[c] for c in place) / sum(mu[c] ** 2 for c in place))
+        scale = {c: 1 + spread * mu[c] for c in place}
+        for u, held in guides.items():
+            if (r := got.get((u, g))) is None:
+                continue
+            held = held & set(place)
+            share = {b: sum(mu[c] / scale[c] for c in held if place[c][0] == b) for b in rate}
+            whole = {b: sum(mu[c] / scale[c] for c in place if place[c][0] == b) for b in rate}
+            info = sum(share[b] - share[b] ** 2 / whole[b] for b in rate if whole[b] > 0)
+            score = sum((own.get((c, g), 0) - mu[c]) / scale[c] for c in held)
+            assert r.observed == sum(own.get((c, g), 0) for c in held) and abs(r.expected - sum(mu[c] for c in held)) < 1e-5
+            assert abs(r.z - score / info**0.5) < 1e-5 if info > 1e-9 else r.z is None

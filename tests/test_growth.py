@@ -303,3 +303,35 @@ def test_scores_shuffle_counts_once_with_their_units(spark):
             score = sum((own.get((c, g), 0) - mu[c]) / scale[c] for c in held)
             assert r.observed == sum(own.get((c, g), 0) for c in held) and abs(r.expected - sum(mu[c] for c in held)) < 1e-5
             assert abs(r.z - score / info**0.5) < 1e-5 if info > 1e-9 else r.z is None
+
+
+def test_draws_of_pairs_are_made_together(spark):
+    """Draws of several pairs at once are those of each alone, however the pairs' rows are cut into batches; a pair's tail isn't a call of its own."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    size = [1, 40, 3, 700, 1, 12]
+    pair = np.repeat(np.arange(len(size)), size)
+    stratum, cell, e = rng.integers(0, 9, len(pair)), rng.integers(0, 10**6, len(pair)), rng.gamma(1, 1, len(pair))
+    order = np.lexsort((cell, stratum, pair))
+    stratum, cell, e = stratum[order], cell[order], e[order]
+    m, sizes, salt, score = 3.0 + stratum, np.full(len(pair), 900.0), pair * 77 - 5, 1.0 + pair
+    got = regression.drawn_together(pair, stratum, cell, e, m, sizes, salt & (2**63 - 1), 50, len(size))
+    columns = {"guide": pa.array([f"g{i // 2}" for i in pair]), "gene": pa.array(pair), **{c: pa.array(v) for c, v in zip(("score", "salt", "stratum", "cell", "e", "m", "cells"), (score, salt, stratum, cell, e, m, sizes))}}
+    expected = []
+    for i in range(len(size)):
+        rows = pair == i
+        alone = regression.drawn_sums(stratum[rows], cell[rows], e[rows], m[rows], sizes[rows], int(salt[rows][0]) % 2**63, 50)
+        assert np.allclose(got[i], alone, rtol=1e-12)
+        total = np.zeros(50)  # one entry after the other, as the draws are defined
+        for s in np.unique(stratum[rows]):
+            left, wanted = 900.0, np.full(50, 3.0 + s)
+            for k in np.flatnonzero(rows & (stratum == s)):
+                hit = regression.uniforms(cell[k : k + 1], int(salt[k]) % 2**63, 50)[0] * left < wanted
+                total, wanted, left = total + hit * e[k], wanted - hit, left - 1
+        assert np.allclose(total, alone, rtol=1e-12)
+        expected.append((f"g{i // 2}", i, min(1.0, 2 * min((1 + (total >= 1.0 + i - 1e-9).sum()) / 51, (1 + (total <= 1.0 + i + 1e-9).sum()) / 51))))
+    for rows in (1, 7, 10_000):
+        batches = pa.table(columns).to_batches(rows)
+        assert [tuple(r.values()) for b in regression.drawn_tails(batches, "guide", 50) for r in b.to_pylist()] == expected
